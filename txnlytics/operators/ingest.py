@@ -131,6 +131,13 @@ def final_columns(df: DataFrame) -> DataFrame:
     return df.select(*(c for c in wanted if c in df.columns))
 
 
+def statement_columns(df: DataFrame) -> DataFrame:
+    """The final columns and the file order; rows get their scan order if they have none."""
+    if ORDER_COLUMN not in df.columns:
+        df = df.withColumn(ORDER_COLUMN, F.monotonically_increasing_id())
+    return df.select(*final_columns(df).columns, ORDER_COLUMN)
+
+
 def new_transactions(clean: DataFrame) -> DataFrame:
     """Stored form of deduplicated clean rows: keyed, uncategorised, not flagged."""
     raw_text = F.col("raw_text" if "raw_text" in clean.columns else "description")
