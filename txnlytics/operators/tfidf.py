@@ -41,10 +41,17 @@ def term_counts(df: DataFrame, text: str = "description") -> DataFrame:
     return located.withColumn("counts", counts).drop("_words", "_sorted", "_starts")
 
 
+def exploded_counts(df: DataFrame, *keep: str, text: str = "description") -> DataFrame:
+    """One (kept columns, term, count) row per distinct term of a text."""
+    # The outer form stops the optimiser from filtering on the size of the array
+    # first, which would compute all of it twice and below the shared steps.
+    counted = term_counts(df.select(*keep, text), text)
+    return counted.select(*keep, F.inline_outer("counts")).filter(F.col("term").isNotNull())
+
+
 def ngram_counts(df: DataFrame, text: str = "description") -> DataFrame:
     """(term, n_total, n_docs) over all rows; one shuffle of map-side totals."""
-    exploded = term_counts(df.select(text), text).select(F.inline("counts"))
-    return exploded.groupBy("term").agg(F.sum("count").alias("n_total"), F.count("*").alias("n_docs"))
+    return exploded_counts(df, text=text).groupBy("term").agg(F.sum("count").alias("n_total"), F.count("*").alias("n_docs"))
 
 
 def vocabulary(df: DataFrame, text: str = "description", p: Params = _P) -> DataFrame:
@@ -64,8 +71,7 @@ def tfidf_weights(df: DataFrame, row_id: str, text: str = "description", p: Para
     # The broadcast is bounded by the vocabulary limit. Terms outside it are gone
     # before the only shuffle of the document side.
     vocab = F.broadcast(vocabulary(df, text, p).select("term", "idf"))
-    exploded = term_counts(df.select(row_id, text), text).select(row_id, F.inline("counts"))
-    weighted = exploded.join(vocab, "term").select(
+    weighted = exploded_counts(df, row_id, text=text).join(vocab, "term").select(
         row_id, "term", ((1 + F.log("count")) * F.col("idf")).alias("w")
     )
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(row_id)))
