@@ -21,14 +21,22 @@ def missing_to_null(cell: Column) -> Column:
     return F.when(~cell.isin(*NA_TOKENS), cell)
 
 
-def parse_date(cell: Column) -> Column:
-    """Day-first date from one cell, each cell judged on its own; null if none.
+# Each cell is cleaned in two steps, text then value. The caller keeps them in two
+# projections, so that the text is computed once however often the value refers to it.
+
+
+def date_text(cell: Column) -> Column:
+    """Trimmed cell without a time of day."""
+    return F.regexp_replace(F.trim(missing_to_null(cell)), _TIME_SUFFIX, "")
+
+
+def parse_date(text: Column) -> Column:
+    """Day-first date from one text, each judged on its own; null if none.
 
     Accepts d/m/Y with ``/ - .``, Y-m-d with ``/ - .``, Ymd, ``d Mon Y`` and
     d/m/y. Month-first is only tried where day-first is impossible. Numeric shapes
     are rearranged to ISO and cast, so invalid cells cost no parser exception.
     """
-    text = F.regexp_replace(F.trim(cell), _TIME_SUFFIX, "")
 
     def iso(pattern: str, year: str, month: str, day: str) -> Column:
         arranged = F.regexp_replace(text, pattern, f"{year}-{month}-{day}")
@@ -59,21 +67,27 @@ def parse_date(cell: Column) -> Column:
     )
 
 
-def clean_amount(cell: Column) -> Column:
-    """Non-negative two-decimal amount from one cell; null if not a number.
+def amount_text(cell: Column) -> Column:
+    """Cell stripped of currency marks and thousands commas; ``(x)`` becomes ``-x``.
 
-    ``(x)`` means minus x. The currency marks removed are the single characters of
-    the class below, not whole words, so ``Rs. 500`` keeps its dot and reads 0.50.
+    The marks are the single characters of the class below, not whole words, so
+    ``Rs. 500`` keeps its dot and reads 0.50.
     """
-    text = F.regexp_replace(cell.cast("string"), _SPACE_ENDS, "")
+    text = F.regexp_replace(missing_to_null(cell), _SPACE_ENDS, "")
     text = F.regexp_replace(text, r"^\((.+)\)$", "-$1")
-    text = F.regexp_replace(text, r"(?U)[RsPKpkr$£€₹\s\x1c-\x1f]", "")
-    text = F.regexp_replace(text, ",", "")
+    return F.regexp_replace(text, r"(?U)[RsPKpkr$£€₹\s\x1c-\x1f,]", "")
+
+
+def parse_amount(text: Column) -> Column:
+    """Non-negative amount with two decimals, halves to even; null if not a number."""
     number = F.abs(F.when(text.rlike(_NUMBER), text.try_cast("double")))
     return F.bround(number, 2).try_cast(MONEY)
 
 
-def clean_description(cell: Column) -> Column:
-    """Trimmed, lower-case, single-spaced text; null when nothing is left."""
-    text = F.lower(F.trim(F.regexp_replace(cell, _SPACE, " ")))
-    return F.when(F.length(text) > 0, text)
+def description_text(cell: Column) -> Column:
+    """Trimmed, lower-case, single-spaced text; may be empty."""
+    return F.lower(F.trim(F.regexp_replace(missing_to_null(cell), _SPACE, " ")))
+
+
+def parse_description(text: Column) -> Column:
+    return F.nullif(text, F.lit(""))

@@ -2,66 +2,24 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 import numpy as np
-from pyspark import keyword_only
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark import inheritable_thread_target
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import (
-    CountVectorizerModel,
-    ElementwiseProduct,
-    IndexToString,
-    Normalizer,
-    StringIndexerModel,
-)
+from pyspark.ml.feature import IndexToString, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
-from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txnlytics.functions.text import words
 from txnlytics.operators.sampling import stratified_folds, stratified_split
-from txnlytics.operators.tfidf import vocabulary, with_bigrams
+from txnlytics.operators.tfidf import collect_vocabulary, feature_stages
 from txnlytics.params import Params
 from txnlytics.session import materialise
 
 _P = Params()
 
 
-class TermsTransformer(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Text column -> array of cleaned words and bigrams."""
-
-    @keyword_only
-    def __init__(self, inputCol=None, outputCol=None):
-        super().__init__()
-        self._set(**self._input_kwargs)
-
-    def _transform(self, dataset):
-        tokens = words(F.col(self.getInputCol()))
-        return (
-            dataset.withColumn("_tokens", tokens)
-            .withColumn(self.getOutputCol(), with_bigrams(F.col("_tokens")))
-            .drop("_tokens")
-        )
-
-
-@F.udf(VectorUDT(), useArrow=True)
-def _dampen(counts):
-    return SparseVector(counts.size, counts.indices, 1.0 + np.log(counts.values))
-
-
-class SublinearTransformer(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Sparse counts -> 1 + ln(count); the one step without a JVM equivalent."""
-
-    @keyword_only
-    def __init__(self, inputCol=None, outputCol=None):
-        super().__init__()
-        self._set(**self._input_kwargs)
-
-    def _transform(self, dataset):
-        return dataset.withColumn(self.getOutputCol(), _dampen(F.col(self.getInputCol())))
-
-
 def usable_labels(df: DataFrame) -> DataFrame:
     """Labelled rows with a category and a non-blank description."""
     return df.filter(F.col("category").isNotNull() & (F.trim("description") != ""))
@@ -82,26 +40,21 @@ def fit(df: DataFrame, p: Params = _P) -> PipelineModel:
     model. The penalty is scaled so that the optimum is that of
     C * sum(weight * loss) + |W|^2 / 2 with a free intercept.
     """
-    labelled = usable_labels(df).select("description", "category")
+    # Training passes over the rows many times: spread them evenly once, over as many
+    # partitions as their size asks for.
+    spread = usable_labels(df).select("description", "category").hint("rebalance")
+    labelled = materialise(spread, "training")
     classes = class_weights(labelled).orderBy("category").limit(p.max_classes + 1).collect()
     if len(classes) > p.max_classes:
         raise ValueError(f"more than {p.max_classes} classes; raise Params.max_classes to train anyway")
     if len(classes) < 2:
         raise ValueError("training needs at least two categories")
     rows = sum(c["n"] for c in classes)
-    vocab = vocabulary(labelled, p=p).orderBy(F.desc("n_total"), "term").collect()
-
     indexer = StringIndexerModel.from_labels([c["category"] for c in classes], "category", "label")
     weights = F.array(*(F.lit(c["weight"]) for c in classes))
     prepared = indexer.transform(labelled).withColumn("weight", F.get(weights, F.col("label").cast("int")))
     pipeline = Pipeline(stages=[
-        TermsTransformer(inputCol="description", outputCol="_terms"),
-        CountVectorizerModel.from_vocabulary([v["term"] for v in vocab], "_terms", "_counts"),
-        SublinearTransformer(inputCol="_counts", outputCol="_damped"),
-        ElementwiseProduct(
-            scalingVec=Vectors.dense([v["idf"] for v in vocab]), inputCol="_damped", outputCol="_weighted"
-        ),
-        Normalizer(p=2.0, inputCol="_weighted", outputCol="features"),
+        *feature_stages(collect_vocabulary(labelled, p)),
         LogisticRegression(
             family="multinomial",
             weightCol="weight",
@@ -239,10 +192,16 @@ def train(df: DataFrame, row_id: str, p: Params = _P, model_path: str | None = N
 
 
 def cross_validate(df: DataFrame, row_id: str, p: Params = _P) -> list[float]:
-    """Held-out accuracy of every fold; vocabulary and weights are refitted per fold."""
+    """Held-out accuracy of every fold; vocabulary and weights are refitted per fold.
+
+    Folds are submitted side by side, so the cluster is not idle between the many
+    short jobs of one fit.
+    """
     folded = materialise(stratified_folds(df, "category", row_id, p), "folds")
-    scores = []
-    for k in range(p.folds):
+
+    def score(k: int) -> float:
         model = fit(folded.filter(F.col("fold") != k), p)
-        scores.append(accuracy(predict(folded.filter(F.col("fold") == k), model)))
-    return scores
+        return accuracy(predict(folded.filter(F.col("fold") == k), model))
+
+    with ThreadPool(p.folds) as pool:
+        return pool.map(inheritable_thread_target(df.sparkSession)(score), range(p.folds))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from txnlytics.functions.cleaning import clean_amount, clean_description, missing_to_null, parse_date
+from txnlytics.functions import cleaning
 from txnlytics.functions.keys import month_label, txn_key
 from txnlytics.params import HEADER_ALIASES, REQUIRED_COLUMNS
 
@@ -38,7 +38,7 @@ def normalise_columns(df: DataFrame, aliases: dict[str, str] = HEADER_ALIASES) -
             raw_text = cell
         sources.setdefault(aliases.get(plain, plain), []).append(cell)
     columns = [
-        (cells[0] if len(cells) == 1 else F.coalesce(*(missing_to_null(c) for c in cells))).alias(name)
+        (cells[0] if len(cells) == 1 else F.coalesce(*(cleaning.missing_to_null(c) for c in cells))).alias(name)
         for name, cells in sources.items()
     ]
     if raw_text is not None and "raw_text" not in sources:
@@ -58,19 +58,47 @@ def check_required(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) ->
         raise ValidationError("The statement has no data rows; at least one transaction is needed.")
 
 
+_CELLS = {
+    "date": (cleaning.date_text, cleaning.parse_date),
+    "amount": (cleaning.amount_text, cleaning.parse_amount),
+    "description": (cleaning.description_text, cleaning.parse_description),
+}
+
+
+def _clean(df: DataFrame, *names: str) -> DataFrame:
+    """Cells cleaned in place, each read once; null where the cell is not usable."""
+    texts = df.select(
+        *(c for c in df.columns if c not in names),
+        *(_CELLS[n][0](F.col(n).cast("string")).alias(f"_{n}_text") for n in names),
+    )
+    values = texts.select(
+        *(c for c in df.columns if c not in names),
+        *(_CELLS[n][1](F.col(f"_{n}_text")).alias(n) for n in names),
+    )
+    step = F.lit(None).cast("string")
+    for name in reversed(names):
+        step = F.when(F.col(name).isNull(), name).otherwise(step)
+    # The generator keeps later filters above the cleaning. Pushed below it, they
+    # would repeat every regular expression just to evaluate their condition.
+    row = F.struct(*names, step.alias("drop_step"))
+    return values.select(
+        *(c for c in df.columns if c not in names), F.inline_outer(F.array(row))
+    )
+
+
 def clean_dates(df: DataFrame) -> DataFrame:
     """``date`` parsed in place, null where it cannot be."""
-    return df.withColumn("date", parse_date(missing_to_null(F.col("date").cast("string"))))
+    return _clean(df, "date").drop("drop_step")
 
 
 def clean_amounts(df: DataFrame) -> DataFrame:
     """``amount`` as non-negative DECIMAL(12,2), null where it is not a number."""
-    return df.withColumn("amount", clean_amount(missing_to_null(F.col("amount").cast("string"))))
+    return _clean(df, "amount").drop("drop_step")
 
 
 def clean_descriptions(df: DataFrame) -> DataFrame:
     """``description`` trimmed, lower-case and single-spaced, null where empty."""
-    return df.withColumn("description", clean_description(missing_to_null(F.col("description"))))
+    return _clean(df, "description").drop("drop_step")
 
 
 def clean_rows(df: DataFrame) -> DataFrame:
@@ -79,13 +107,7 @@ def clean_rows(df: DataFrame) -> DataFrame:
     The steps run in the order date, amount, description, so a row that is bad in
     two ways is counted once. Valid rows have a null ``drop_step``.
     """
-    cleaned = clean_descriptions(clean_amounts(clean_dates(df)))
-    return cleaned.withColumn(
-        "drop_step",
-        F.when(F.col("date").isNull(), "date")
-        .when(F.col("amount").isNull(), "amount")
-        .when(F.col("description").isNull(), "description"),
-    )
+    return _clean(df, "date", "amount", "description")
 
 
 def valid_rows(cleaned: DataFrame) -> DataFrame:

@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+from pyspark import keyword_only
+from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from txnlytics.functions.text import words
 from txnlytics.params import Params
@@ -19,39 +26,59 @@ def with_bigrams(tokens: Column) -> Column:
     return F.concat(tokens, neighbours)
 
 
-def term_counts(df: DataFrame, text: str = "description") -> DataFrame:
-    """``counts``: the row's distinct terms, each with its number of occurrences.
+class TermsTransformer(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Text column -> array of cleaned words and bigrams."""
 
-    Counting is done inside the row - sort the terms, find where a new one starts,
-    subtract neighbouring starts - so no document is shuffled.
-    """
-    prepared = df.withColumn("_words", words(F.col(text))).withColumn(
-        "_sorted", F.sort_array(with_bigrams(F.col("_words")))
-    )
-    s, n = F.col("_sorted"), F.size("_sorted")
-    places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-    starts = F.filter(places, lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, i - 2)))
-    located = prepared.withColumn("_starts", starts)
-    at = F.col("_starts")
-    ends = F.concat(F.slice(at, 2, F.greatest(F.size(at), F.lit(1))), F.array(n + 1))
-    counts = F.when(
-        n > 0,
-        F.zip_with(at, ends, lambda a, b: F.struct(F.get(s, a - 1).alias("term"), (b - a).alias("count"))),
-    )
-    return located.withColumn("counts", counts).drop("_words", "_sorted", "_starts")
+    @keyword_only
+    def __init__(self, inputCol=None, outputCol=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset):
+        tokens = words(F.col(self.getInputCol()))
+        return (
+            dataset.withColumn("_tokens", tokens)
+            .withColumn(self.getOutputCol(), with_bigrams(F.col("_tokens")))
+            .drop("_tokens")
+        )
+
+
+@F.udf(VectorUDT(), useArrow=True)
+def _dampen(counts):
+    return SparseVector(counts.size, counts.indices, 1.0 + np.log(counts.values))
 
 
-def exploded_counts(df: DataFrame, *keep: str, text: str = "description") -> DataFrame:
-    """One (kept columns, term, count) row per distinct term of a text."""
-    # The outer form stops the optimiser from filtering on the size of the array
-    # first, which would compute all of it twice and below the shared steps.
-    counted = term_counts(df.select(*keep, text), text)
-    return counted.select(*keep, F.inline_outer("counts")).filter(F.col("term").isNotNull())
+class SublinearTransformer(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Sparse counts -> 1 + ln(count); the one step without a JVM equivalent."""
+
+    @keyword_only
+    def __init__(self, inputCol=None, outputCol=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset):
+        return dataset.withColumn(self.getOutputCol(), _dampen(F.col(self.getInputCol())))
 
 
 def ngram_counts(df: DataFrame, text: str = "description") -> DataFrame:
-    """(term, n_total, n_docs) over all rows; one shuffle of map-side totals."""
-    return exploded_counts(df, text=text).groupBy("term").agg(F.sum("count").alias("n_total"), F.count("*").alias("n_docs"))
+    """(term, n_total, n_docs) over all rows; one shuffle of map-side totals.
+
+    Terms are sorted inside each row, so a term that differs from its neighbour is
+    its first occurrence there and counts the row once; no document is shuffled.
+    """
+    tokens = df.select(words(F.col(text)).alias("_words"))
+    ordered = tokens.select(F.sort_array(with_bigrams(F.col("_words"))).alias("_sorted"))
+    behind = F.slice("_sorted", 1, F.greatest(F.size("_sorted") - 1, F.lit(0)))
+    previous = F.concat(F.array(F.lit(None).cast("string")), behind)
+    # The outer form stops the optimiser from filtering on the array's size first, which
+    # would compute the array twice.
+    pairs = ordered.select(
+        F.inline_outer(F.arrays_zip(F.col("_sorted").alias("term"), previous.alias("previous")))
+    )
+    first = F.col("previous").isNull() | (F.col("previous") != F.col("term"))
+    return pairs.filter(F.col("term").isNotNull()).groupBy("term").agg(
+        F.count("*").alias("n_total"), F.count_if(first).alias("n_docs")
+    )
 
 
 def vocabulary(df: DataFrame, text: str = "description", p: Params = _P) -> DataFrame:
@@ -66,13 +93,45 @@ def vocabulary(df: DataFrame, text: str = "description", p: Params = _P) -> Data
     return top.withColumn("idf", F.log((F.lit(1.0) + rows) / (F.lit(1.0) + F.col("n_docs"))) + 1)
 
 
-def tfidf_weights(df: DataFrame, row_id: str, text: str = "description", p: Params = _P) -> DataFrame:
-    """(row id, term, weight) with sublinear tf, smooth idf and unit length per row."""
-    # The broadcast is bounded by the vocabulary limit. Terms outside it are gone
-    # before the only shuffle of the document side.
-    vocab = F.broadcast(vocabulary(df, text, p).select("term", "idf"))
-    weighted = exploded_counts(df, row_id, text=text).join(vocab, "term").select(
-        row_id, "term", ((1 + F.log("count")) * F.col("idf")).alias("w")
+def feature_stages(vocab: list) -> list:
+    """Pipeline stages from text to unit-length TF-IDF vectors over collected vocabulary rows.
+
+    Row-local: counts by hash lookup, 1 + ln(count), times idf, divided by the length.
+    """
+    return [
+        TermsTransformer(inputCol="description", outputCol="_terms"),
+        CountVectorizerModel.from_vocabulary([v["term"] for v in vocab], "_terms", "_counts"),
+        SublinearTransformer(inputCol="_counts", outputCol="_damped"),
+        ElementwiseProduct(
+            scalingVec=Vectors.dense([v["idf"] for v in vocab]), inputCol="_damped", outputCol="_weighted"
+        ),
+        Normalizer(p=2.0, inputCol="_weighted", outputCol="features"),
+    ]
+
+
+def collect_vocabulary(df: DataFrame, p: Params = _P) -> list:
+    """Vocabulary rows in a fixed order; at most ``p.vocabulary`` of them."""
+    return vocabulary(df, p=p).orderBy(F.desc("n_total"), "term").collect()
+
+
+_ENTRY = T.StructType([T.StructField("position", T.IntegerType()), T.StructField("weight", T.DoubleType())])
+
+
+@F.udf(T.ArrayType(_ENTRY), useArrow=True)
+def _entries(vector):
+    return [(int(i), float(w)) for i, w in zip(vector.indices, vector.values)]
+
+
+def tfidf_weights(df: DataFrame, row_id: str, p: Params = _P) -> DataFrame:
+    """(row id, term, weight) of every ``description``: the vectors the classifier sees, as rows.
+
+    Apart from the vocabulary there is no shuffle; the term names are a lookup of
+    vocabulary size.
+    """
+    vocab = collect_vocabulary(df, p)
+    names = df.sparkSession.createDataFrame(
+        [(i, v["term"]) for i, v in enumerate(vocab)], "position int, term string"
     )
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(row_id)))
-    return weighted.select(row_id, "term", (F.col("w") / norm).alias("weight"))
+    vectors = PipelineModel(feature_stages(vocab)).transform(df.select(row_id, "description"))
+    entries = vectors.select(row_id, F.inline_outer(_entries("features")))
+    return entries.join(F.broadcast(names), "position").select(row_id, "term", "weight")
