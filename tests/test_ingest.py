@@ -238,6 +238,7 @@ class TestScan:
             "MCDONALDS LAHORE", 'TWO, PARTS "Q" ', "SHORT", "LINE\nBREAK", "line break", None
         ]
         assert [r.Amount for r in rows][2] is None
+        assert read_statements(spark, csv_file).count() == 6
 
     def test_missing_file(self, spark, tmp_path):
         with pytest.raises(FileNotFoundError):

@@ -69,11 +69,13 @@ def too_many_fields(raw_line: Column, expected: int) -> Column:
 
 def usable_rows(scan: DataFrame, headers: list[str]) -> DataFrame:
     """Rows with surplus fields removed, missing markers nulled; short rows are padded."""
-    kept = scan.filter(F.col(CORRUPT).isNull() | ~too_many_fields(F.col(CORRUPT), len(headers)))
-    cells = [
-        missing_to_null(F.col("`" + name.replace("`", "``") + "`")).alias(name)
-        for name in unique_headers(headers)
-    ]
+    names = unique_headers(headers)
+    columns = [F.col("`" + name.replace("`", "``") + "`") for name in names]
+    # Spark refuses to read the raw line alone (as a bare count would), so the
+    # condition names a cell as well; it is only looked at where there is a raw line.
+    raw_line = F.coalesce(F.col(CORRUPT), columns[0])
+    kept = scan.filter(F.col(CORRUPT).isNull() | ~too_many_fields(raw_line, len(headers)))
+    cells = [missing_to_null(column).alias(name) for column, name in zip(columns, names)]
     return kept.select(*cells, *(c for c in scan.columns if c.startswith("_") and c != CORRUPT))
 
 
