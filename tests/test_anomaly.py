@@ -131,3 +131,20 @@ class TestForest:
     def test_expected_path(self):
         assert iforest.expected_path(1) == 0 and iforest.expected_path(2) == 1
         assert abs(iforest.expected_path(256) - 10.2448) < 1e-3
+
+    def test_scores_against_plain_traversal(self, crowd):
+        p = Params(trees=5, tree_rows=64)
+        points = iforest.features(crowd)
+        forest = iforest.build_forest(points, 1002, p).cache()
+        nodes = {(r.tree, r.node): r for r in forest.collect()}
+        got = iforest.score_forest(points, forest, 1002, p).select("txn_id", *iforest.FEATURES, "score").collect()
+        for row in got[::97] + got[-2:]:
+            paths = []
+            for tree in range(5):
+                node = nodes[tree, 0]
+                while node.feature >= 0:
+                    left = row[1 + node.feature] <= node.threshold
+                    node = nodes[tree, node.left if left else node.right]
+                paths.append(node.path)
+            want = -(2 ** (-np.mean(paths) / iforest.expected_path(64)))
+            assert row.score == pytest.approx(want, abs=1e-6)

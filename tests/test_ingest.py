@@ -168,6 +168,10 @@ class TestValidation:
         report = ingest.validation_report(ingest.clean_rows(messy.limit(0))).first()
         assert (report.original_rows, report.drop_rate) == (0, 0.0)
 
+    def test_rate_halves_go_to_even(self, spark):
+        cleaned = spark.range(400).select(F.when(F.col("id") == 0, "date").alias("drop_step"))
+        assert ingest.validation_report(cleaned).first().drop_rate == 0.2
+
     def test_filter_does_not_repeat_the_cleaning(self, messy):
         plan = ingest.valid_rows(ingest.clean_rows(messy))._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("(?U)[RsPKpkr") == 1

@@ -33,6 +33,11 @@ def fixed(number: Column, digits: int) -> Column:
     return F.regexp_replace(F.format_number(number, digits), ",", "")
 
 
+def rounded(number: Column, digits: int) -> Column:
+    """Rounded on the number's exact binary value, true halves to even."""
+    return fixed(number, digits).cast("double")
+
+
 def lookup(key: Column, table: dict[str, str], default: str) -> Column:
     """Value of a small fixed table, with a default."""
     pairs = [F.lit(x) for item in table.items() for x in item]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from txnlytics.functions import cleaning
 from txnlytics.functions.keys import month_label, txn_key
+from txnlytics.functions.labels import rounded
 from txnlytics.params import HEADER_ALIASES, REQUIRED_COLUMNS
 
 KEYS = ("date", "amount", "description")
@@ -128,7 +129,7 @@ def validation_report(cleaned: DataFrame) -> DataFrame:
         at("amount").alias("bad_amounts"),
         at("description").alias("bad_descriptions"),
     )
-    rate = F.round(F.col("dropped_rows") / F.col("original_rows") * 100, 1)
+    rate = rounded(F.col("dropped_rows") / F.col("original_rows") * 100, 1)
     return counts.withColumn("drop_rate", F.when(F.col("original_rows") > 0, rate).otherwise(F.lit(0.0)))
 
 

@@ -16,6 +16,7 @@ from txnlytics.functions.labels import (
     category_colour,
     is_expense,
     percent,
+    rounded,
     rupees,
     severity_colour,
     severity_rank,
@@ -114,7 +115,7 @@ def kpi_summary(df: DataFrame, p: Params = _P) -> DataFrame:
         "transactions",
         "anomalies",
         F.round(mean, 2).alias("avg_expense"),
-        F.round(rate, 1).alias("anomaly_rate"),
+        rounded(rate, 1).alias("anomaly_rate"),
     )
 
 

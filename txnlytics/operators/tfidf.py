@@ -6,10 +6,11 @@ import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from txnlytics.functions.text import words
 from txnlytics.params import Params
@@ -114,24 +115,18 @@ def collect_vocabulary(df: DataFrame, p: Params = _P) -> list:
     return vocabulary(df, p=p).orderBy(F.desc("n_total"), "term").collect()
 
 
-_ENTRY = T.StructType([T.StructField("position", T.IntegerType()), T.StructField("weight", T.DoubleType())])
-
-
-@F.udf(T.ArrayType(_ENTRY), useArrow=True)
-def _entries(vector):
-    return [(int(i), float(w)) for i, w in zip(vector.indices, vector.values)]
-
-
 def tfidf_weights(df: DataFrame, row_id: str, p: Params = _P) -> DataFrame:
     """(row id, term, weight) of every ``description``: the vectors the classifier sees, as rows.
 
     Apart from the vocabulary there is no shuffle; the term names are a lookup of
-    vocabulary size.
+    vocabulary size. Vectors are unfolded to vocabulary width inside generated code,
+    which costs less than handing their entries to Python.
     """
     vocab = collect_vocabulary(df, p)
     names = df.sparkSession.createDataFrame(
         [(i, v["term"]) for i, v in enumerate(vocab)], "position int, term string"
     )
     vectors = PipelineModel(feature_stages(vocab)).transform(df.select(row_id, "description"))
-    entries = vectors.select(row_id, F.inline_outer(_entries("features")))
+    dense = F.posexplode(vector_to_array("features")).alias("position", "weight")
+    entries = vectors.select(row_id, dense).filter(F.col("weight") != 0)
     return entries.join(F.broadcast(names), "position").select(row_id, "term", "weight")

@@ -12,6 +12,7 @@ from txnlytics.functions.keys import category_key
 from txnlytics.functions.labels import lookup
 from txnlytics.operators.ingest import ORDER_COLUMN
 from txnlytics.params import MONEY, Params
+from txnlytics.session import materialise
 
 # Income and transfer stand-ins among the market segments.
 SEGMENT_PARAMS = Params(income_category="HOUSEHOLD", transfer_category="MACHINERY")
@@ -56,7 +57,8 @@ def txn(spark: SparkSession, folder: str) -> DataFrame:
 def segments(spark: SparkSession, folder: str) -> DataFrame:
     """Category dimension: the distinct market segments."""
     names = table(spark, folder, "customer").select(F.col("c_mktsegment").alias("name")).distinct()
-    return names.select(
+    # Pinned, as a stored dimension would be: its size is then known to every join.
+    return materialise(names, "segments").select(
         category_key("name").alias("category_id"),
         "name",
         lookup(F.col("name"), SEGMENT_COLOURS, "#888888").alias("color_hex"),
@@ -134,7 +136,7 @@ def evt(spark: SparkSession, folder: str) -> DataFrame:
 def event_kinds(spark: SparkSession, folder: str) -> DataFrame:
     """Category dimension of the events; ``error`` is missing from it."""
     names = table(spark, folder, "events").select(F.col("event_type").alias("name")).distinct()
-    return names.filter(F.col("name") != "error").select(
+    return materialise(names, "event-kinds").filter(F.col("name") != "error").select(
         category_key("name").alias("category_id"), "name", F.lit("#4ECDC4").alias("color_hex")
     )
 
