@@ -106,7 +106,7 @@ def test_missing_model_only_skips_its_step(spark, tmp_path):
 def test_ingest_without_saving(spark, tmp_path):
     (tmp_path / "a.csv").write_text(statement(months=1, outlier=False))
     row = jobs.ingest_files(spark, str(tmp_path / "a.csv"), None).first()
-    assert (row.total_clean, row.db_inserted) == (12, 0)
+    assert (row.total_clean, row.db_inserted, row.db_skipped) == (12, 0, 0)
 
 
 def test_uploaded_frame(spark, tmp_path):

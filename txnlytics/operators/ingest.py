@@ -188,19 +188,24 @@ def append_new(new: DataFrame, stored: DataFrame, keys: Sequence[str] = KEYS) ->
     return new.join(known, list(keys), "left_anti")
 
 
-def ingest_summary(cleaned: DataFrame, unique: DataFrame, inserted: DataFrame) -> DataFrame:
+def ingest_summary(cleaned: DataFrame, unique: DataFrame, inserted: DataFrame | None) -> DataFrame:
     """One row of counts for a whole ingest run.
 
     ``cleaned`` is the flagged input, ``unique`` the deduplicated valid rows (with
-    ``copies``), ``inserted`` the rows that were not stored yet.
+    ``copies``), ``inserted`` the rows that were not stored yet. Without ``inserted``
+    nothing was to be saved: no row counts as inserted or skipped.
     """
     unique_counts = unique.agg(
         F.count("*").alias("total_clean"),
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates_removed"),
     )
     report = validation_report(cleaned)
-    n_inserted = inserted.agg(F.count("*").alias("n")).scalar()
     n_clean = unique_counts.select("total_clean").scalar()
+    if inserted is None:
+        n_inserted = n_skipped = F.lit(0).cast("bigint")
+    else:
+        n_inserted = inserted.agg(F.count("*").alias("n")).scalar()
+        n_skipped = n_clean - n_inserted
     return report.select(
         F.col("original_rows").alias("total_read"),
         n_clean.alias("total_clean"),
@@ -208,7 +213,7 @@ def ingest_summary(cleaned: DataFrame, unique: DataFrame, inserted: DataFrame) -
         "drop_rate",
         unique_counts.select("duplicates_removed").scalar().alias("duplicates_removed"),
         n_inserted.alias("db_inserted"),
-        (n_clean - n_inserted).alias("db_skipped"),
+        n_skipped.alias("db_skipped"),
     )
 
 

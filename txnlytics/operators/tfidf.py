@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
-from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -46,19 +46,25 @@ class TermsTransformer(Transformer, HasInputCol, HasOutputCol, DefaultParamsRead
 
 @F.udf(VectorUDT(), useArrow=True)
 def _dampen(counts):
-    return SparseVector(counts.size, counts.indices, 1.0 + np.log(counts.values))
+    return counts and SparseVector(counts.size, counts.indices, 1.0 + np.log(counts.values))
 
 
-class SublinearTransformer(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Sparse counts -> 1 + ln(count); the one step without a JVM equivalent."""
+class SublinearTransformer(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """(terms, sparse counts) -> 1 + ln(count); the one step without a JVM equivalent.
+
+    Counts of a text that repeats no term are all 1 and stay as they are, so the
+    usual short description is never handed to Python.
+    """
 
     @keyword_only
-    def __init__(self, inputCol=None, outputCol=None):
+    def __init__(self, inputCols=None, outputCol=None):
         super().__init__()
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset):
-        return dataset.withColumn(self.getOutputCol(), _dampen(F.col(self.getInputCol())))
+        terms, counts = (F.col(c) for c in self.getInputCols())
+        repeats = F.size(F.array_distinct(terms)) < F.size(terms)
+        return dataset.withColumn(self.getOutputCol(), F.coalesce(_dampen(F.when(repeats, counts)), counts))
 
 
 def ngram_counts(df: DataFrame, text: str = "description") -> DataFrame:
@@ -102,7 +108,7 @@ def feature_stages(vocab: list) -> list:
     return [
         TermsTransformer(inputCol="description", outputCol="_terms"),
         CountVectorizerModel.from_vocabulary([v["term"] for v in vocab], "_terms", "_counts"),
-        SublinearTransformer(inputCol="_counts", outputCol="_damped"),
+        SublinearTransformer(inputCols=["_terms", "_counts"], outputCol="_damped"),
         ElementwiseProduct(
             scalingVec=Vectors.dense([v["idf"] for v in vocab]), inputCol="_damped", outputCol="_weighted"
         ),

@@ -39,9 +39,9 @@ def ingest_rows(raw: DataFrame, store: TableStore | None) -> DataFrame:
     ingest.check_required(named)
     cleaned = materialise(ingest.clean_rows(ingest.statement_columns(named)), "cleaned")
     unique = materialise(ingest.dedupe(ingest.valid_rows(cleaned)), "unique")
-    rows = ingest.new_transactions(ingest.final_columns(unique))
     if store is None:
-        return ingest.ingest_summary(cleaned, unique, rows.limit(0))
+        return ingest.ingest_summary(cleaned, unique, None)
+    rows = ingest.new_transactions(ingest.final_columns(unique))
     stored = store.read("transactions", months_in(rows))
     fresh = materialise(ingest.append_new(rows, stored), "fresh")
     if not fresh.isEmpty():
