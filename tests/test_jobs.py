@@ -4,7 +4,7 @@ import pytest
 
 from txnlytics.operators import classify
 from txnlytics.params import CATEGORY_COLOURS, Params
-from txnlytics.plans import jobs
+from txnlytics.plans import jobs, pages
 from txnlytics.sources.store import TableStore
 from txnlytics.streaming import file_drop
 
@@ -80,6 +80,32 @@ class TestRun:
         saved = store.read("forecasts").collect()
         assert {r.forecast_month for r in saved} == {date(2024, 5, 1)} and len(saved) == 3
 
+    def test_dashboard_page(self, ran):
+        page = pages.dashboard(ran[0], category="Transport", sort="amount_highest")
+        assert page["kpis"].first().transactions == 49
+        assert page["top_category"].first().category == "Transport"
+        assert page["explorer"].first().Description == "uber trip overseas"
+        assert page["explorer_footer"].first().matching == 17
+        assert page["top_expenses"].first().label == "Rs 900,000"
+        assert page["shares"].count() == 3 and page["rows"].count() == 49
+
+    def test_anomaly_page(self, ran):
+        page = pages.anomalies(ran[0], search="OVERSEAS")
+        card = page["cards"].first()
+        assert (card.title, card.category) == ("Uber Trip Overseas", "Transport")
+        assert page["footer"].first().shown == 1
+        assert page["kpis"].first().flagged == page["rows"].count()
+        assert page["scatter"].filter("series = 'Anomaly'").count() == page["rows"].count()
+
+    def test_forecast_page(self, ran):
+        page = pages.forecasts(ran[0])
+        overview = page["overview"].first()
+        assert overview.forecasts == 3 and page["alert"].first().total_predicted == overview.total_predicted
+        cards = page["cards"].collect()
+        assert cards[0].hover == "→ Based on historical linear trend" and cards[0].forecast_month == "2024-05-01"
+        assert {r["Actual Amount"] for r in page["table"].collect()} == {"⏳ Pending"}
+        assert pages.forecasts(ran[0], month="2030-01-01")["overview"].first().forecasts == 0
+
     def test_second_run_changes_nothing(self, spark, ran, model_path):
         store, _, source = ran
         before = sorted(store.read("transactions").drop("uploaded_at").collect(), key=repr)

@@ -165,7 +165,7 @@ def forecast_cards(forecasts: DataFrame, p: Params = _P, palette: dict | None =
         share_band(share, p).alias("band_color"),
         category_colour(F.col("category"), palette).alias("color"),
         F.concat_ws(" ", trend_symbol(F.col("trend")), "trend_note").alias("hover"),
-        F.date_format("forecast_month", "yyyy-MM-dd").alias("forecast_month"),
+        F.date_format(F.col("forecast_month").cast("date"), "yyyy-MM-dd").alias("forecast_month"),
     ).orderBy(F.desc("predicted"), "category")
 
 

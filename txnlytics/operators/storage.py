@@ -28,6 +28,7 @@ def attach_category(
 
 def transaction_rows(enriched: DataFrame) -> DataFrame:
     """Report form of enriched facts; a zero confidence counts as none."""
+    uploaded = [F.date_format("uploaded_at", "yyyy-MM-dd HH:mm:ss").alias("uploaded_at")]
     return enriched.select(
         "txn_id",
         F.date_format("date", "yyyy-MM-dd").alias("date"),
@@ -37,6 +38,7 @@ def transaction_rows(enriched: DataFrame) -> DataFrame:
         "category_color",
         "is_anomaly",
         F.when(F.col("confidence") != 0, F.bround("confidence", 2)).alias("confidence"),
+        *(uploaded if "uploaded_at" in enriched.columns else []),
     )
 
 

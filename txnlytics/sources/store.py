@@ -3,8 +3,8 @@
 A table is a set of immutable partition folders named in a numbered manifest.
 Writing adds folders, then publishes the next manifest: a failed or repeated job
 leaves the table as it was, and no folder that is being read is ever overwritten.
-The fact table is partitioned by ``year_month``, so an update rewrites the months
-it touches and nothing else.
+The fact table is partitioned by ``year_month``, so an update rewrites the months it
+touches and nothing else. Publishing relies on a file system whose rename is atomic.
 """
 
 from __future__ import annotations
