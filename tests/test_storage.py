@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from txnlytics.functions.labels import title_case
 from txnlytics.operators import ingest, reports, storage
-from txnlytics.params import FORECASTS, Params
+from txnlytics.params import FORECASTS
 from txnlytics.sources.store import TableStore
 
 FACTS = "txn_id string, date date, description string, amount decimal(12,2), category string, is_anomaly boolean, confidence double"

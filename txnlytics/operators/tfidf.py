@@ -64,7 +64,10 @@ class SublinearTransformer(Transformer, HasInputCols, HasOutputCol, DefaultParam
     def _transform(self, dataset):
         terms, counts = (F.col(c) for c in self.getInputCols())
         repeats = F.size(F.array_distinct(terms)) < F.size(terms)
-        return dataset.withColumn(self.getOutputCol(), F.coalesce(_dampen(F.when(repeats, counts)), counts))
+        # A column of its own, so that the terms themselves do not travel past Python.
+        picked = dataset.withColumn("_repeated", F.when(repeats, counts))
+        damped = F.coalesce(_dampen(F.col("_repeated")), counts)
+        return picked.withColumn(self.getOutputCol(), damped).drop("_repeated")
 
 
 def ngram_counts(df: DataFrame, text: str = "description") -> DataFrame:

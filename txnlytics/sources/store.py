@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from txnlytics.params import ANOMALIES, CATEGORIES, FORECASTS, TRANSACTIONS
 
@@ -119,7 +119,3 @@ def _month_of(part: str) -> str | None:
 def months_in(rows: DataFrame) -> list[str]:
     """Distinct months of ``rows``; at most 12 per calendar year."""
     return sorted(r[0] for r in rows.select(MONTH).distinct().collect())
-
-
-def months_of_dates(rows: DataFrame, date: str = "date") -> list[str]:
-    return months_in(rows.select(F.date_format(date, "yyyy-MM").alias(MONTH)))

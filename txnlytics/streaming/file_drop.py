@@ -42,7 +42,8 @@ def cleaned_stream(spark: SparkSession, folder: str, multiline: bool = True) ->
     )
     located = scan.withColumn(ingest.ORDER_COLUMN, order)
     named = ingest.normalise_columns(usable_rows(located, headers))
-    return ingest.clean_rows(ingest.statement_columns(named)).withColumn(LOAD_DATE, F.to_date(f"{ingest.ORDER_COLUMN}.arrived"))
+    cleaned = ingest.clean_rows(ingest.statement_columns(named))
+    return cleaned.withColumn(LOAD_DATE, F.to_date(f"{ingest.ORDER_COLUMN}.arrived"))
 
 
 def start_file_drop(
