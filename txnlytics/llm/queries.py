@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txnlytics.llm import chat, exact, mixing, quality, sharding
+from txnlytics.llm import chat, exact, jaccard, mixing, packing, quality, sharding
 from txnlytics.llm.chat import Argument
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,12 +70,22 @@ def op4_quality_rules(spark, folder):
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "lost_chars", "kept")
 
 
+@query
+def op5_best_fit_packing(spark, folder):
+    return packing.pack_documents(_table(spark, folder, "documents"))
+
+
 @query
 def op6_exact_dedup(spark, folder):
     found = exact.dedup(_table(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query
+def op7_ngram_jaccard_join(spark, folder):
+    return jaccard.near_duplicates(_table(spark, folder, "documents"), jaccard.Join(words=4, percent=85))
+
+
 @query
 def op8_sharding(spark, folder):
     placed = sharding.assign_shards(_table(spark, folder, "documents").select("doc_id", "source"), SHARDS)
