@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txnlytics.llm import chat, exact, jaccard, mixing, packing, quality, sharding
+from txnlytics.llm import chat, exact, jaccard, language, mixing, packing, quality, sharding
 from txnlytics.llm.chat import Argument
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,14 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_language_id(spark, folder):
+    held_out = language.remainder("doc_id", 3) == 1
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out)
+    model = language.fit(docs.filter(~F.col("held_out")))
+    return language.identify(docs.select("doc_id", "held_out", "text"), model)
+
+
 @query
 def op3_chat_formatting(spark, folder):
     """User turns as calls (each waiting for the conversation's previous one), the following turns as results."""
