@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txnlytics.llm import chat, exact, jaccard, language, mixing, packing, quality, sharding
+from txnlytics.llm import chat, exact, jaccard, language, mixing, packing, quality, sharding, suffix
 from txnlytics.llm.chat import Argument
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,9 @@ def op8_sharding(spark, folder):
 def op9_source_mixing(spark, folder):
     mixed = mixing.mix_sources(_table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op10_suffix_array_dedup(spark, folder):
+    cleaned = suffix.remove_repeats(_table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
