@@ -417,12 +417,17 @@ def _regions_join(members: DataFrame, rules: Join) -> DataFrame:
     return out
 
 
-def _sets_of(df: DataFrame, nodes: DataFrame, key: str, text: str, rules: Join) -> DataFrame:
-    """(node, items): the n-grams of the documents named by ``nodes`` (node, rep)."""
+def _members_of(df: DataFrame, nodes: DataFrame, key: str, text: str, rules: Join) -> DataFrame:
+    """(region, node, active, items): the n-grams of the documents named by ``nodes`` (node, region, rep).
+
+    Sets are computed again from those texts instead of being kept for all documents. The
+    two lookups are 16 bytes a row: broadcast up to 500,000 rows, beyond that both sides are
+    shuffled. Rows that repeat a document repeat its node.
+    """
+    few = nodes.count() <= 500_000
+    side = F.broadcast if few else (lambda rows: rows)
     names = nodes.select(F.col("rep").alias("_rep")).distinct()
-    if names.count() <= 500_000:  # 8 bytes each: small beside an executor; beyond that both sides are shuffled
-        names = F.broadcast(names)
-    bodies = df.select(F.col(key).alias("key"), _body(df, text)).join(names, F.col("key").eqNullSafe(F.col("_rep")), "left_semi")
+    bodies = df.select(F.col(key).alias("key"), _body(df, text)).join(side(names), F.col("key").eqNullSafe(F.col("_rep")), "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(rules.words)
@@ -434,7 +439,8 @@ def _sets_of(df: DataFrame, nodes: DataFrame, key: str, text: str, rules: Join)
                 yield pa.RecordBatch.from_arrays([pa.array(set_keys(gram, owner, size)), items], ["node", "items"])
 
     found = bodies.select("body").mapInArrow(sets, "node long, items array<long>")
-    return found.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    places = nodes.select(F.col("node").alias("_node"), "region")
+    return found.join(side(places), F.col("node") == F.col("_node")).select("region", "node", F.lit(True).alias("active"), "items")
 
 
 def near_duplicates(df: DataFrame, rules: Join = Join(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -462,8 +468,7 @@ def near_duplicates(df: DataFrame, rules: Join = Join(), key: str = "doc_id", te
     nodes = materialise(
         regions.join(classes, F.col("node") == F.col("set_key")).select("node", F.col("root").alias("region"), "rep"), "nodes"
     )
-    sets = materialise(_sets_of(df, nodes, key, text, rules), "sets")
-    members = sets.join(nodes.select("node", "region"), "node").select("region", "node", F.lit(True).alias("active"), "items")
+    members = _members_of(df, nodes, key, text, rules)
     joined = materialise(components(_regions_join(members, rules)), "joined")
     known = classes.join(joined, F.col("set_key") == F.col("node"), "left").select(
         "set_key", "rep", F.coalesce("root", "set_key").alias("root")
