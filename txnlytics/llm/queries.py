@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txnlytics.llm import chat, exact, jaccard, language, mixing, packing, quality, sharding, suffix
+from txnlytics.llm import chat, exact, jaccard, language, mixing, packing, pitman_yor, quality, sharding, suffix
 from txnlytics.llm.chat import Argument
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,15 @@ def op1_language_id(spark, folder):
     return language.identify(docs.select("doc_id", "held_out", "text"), model)
 
 
+@query
+def op2_lm_scoring(spark, folder):
+    held_out = language.remainder("doc_id", 7) == 2
+    scored = pitman_yor.score_texts(_table(spark, folder, "documents").select("doc_id", "text"), ~held_out)
+    return scored.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"
+    )
+
+
 @query
 def op3_chat_formatting(spark, folder):
     """User turns as calls (each waiting for the conversation's previous one), the following turns as results."""
