@@ -479,3 +479,22 @@ def near_duplicates(df: DataFrame, rules: Join = Join(), key: str = "doc_id", te
     out = docs.join(named, (F.col("set_key") == F.col("name")) & (F.col("n") > 0), "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key"))
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def keep_one_of_each(df: DataFrame, rules: Join = Join(), key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df`` left when of each group of near copies the one with the smallest key (null last) stays.
+
+    All columns stay. Rows are told apart by key and text; of rows that repeat both, one
+    stays. Rows without words belong to no group and all stay.
+    """
+    name = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text"))
+    keyed = df.withColumn("_name", name)
+    near = near_duplicates(keyed.select("_name", F.col(text).alias("_text")), rules, "_name", "_text")
+    alike = F.col("_name").eqNullSafe(F.col("component_id"))
+    stays = near.filter(alike | (F.col("n_shingles") == 0)).groupBy("_name").agg(F.count("*").alias("_n"), F.max("n_shingles").alias("_size"))
+    stays = materialise(stays, "stays").withColumnRenamed("_name", "_stay")
+    rows = keyed.join(stays, F.col("_name").eqNullSafe(F.col("_stay")))
+    single = (F.col("_n") == 1) | (F.col("_size") == 0)
+    order = Window.partitionBy("_name").orderBy("_n")
+    several = rows.filter(~single).withColumn("_k", F.row_number().over(order)).filter(F.col("_k") == 1)
+    return rows.filter(single).select(*df.columns).unionByName(several.select(*df.columns))

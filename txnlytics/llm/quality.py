@@ -118,20 +118,22 @@ def clean_lines(df: DataFrame, rules: LineRules = LineRules(), text: str = "text
     lost = F.zip_with(F.col("_bad"), chars, lambda bad, c: F.when(bad, c).otherwise(0))
     total = lambda numbers: F.aggregate(numbers, F.lit(0).cast("long"), lambda a, x: a + x)
     kept_lines = F.filter(F.arrays_zip("_lines", "_bad"), lambda x: ~x["_bad"])
-    out = out.select(
-        "*",
+    found = F.struct(
         n.cast("long").alias("n_words"),
         total(chars).alias("word_chars"),
         _count(F.col("_t"), SYMBOLS).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(_repeat_words(F.col("_starts")), F.lit(0)).cast("long").alias("n_repeat_words"),
         total(lost).alias("lost_chars"),
+        total(chars).alias("line_chars"),
         F.concat_ws("\n", F.transform(kept_lines, lambda x: x["_lines"])).alias("cleaned_text"),
     )
+    # A generator between the counts and what is decided from them: a later filter on a
+    # verdict would otherwise be pushed below, every expression above written out in it.
+    helpers = ("_t", "_words", "_lines", "_bad", "_windows", "_hits", "_starts")
+    out = out.select(*[c for c in out.columns if c not in helpers], F.inline(F.array(found)))
     failed = (F.col("n_words") < rules.min_words) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * rules.max_repeat_percent
     )
     heavy = F.col("lost_chars") > F.col("word_chars") * rules.lost_share
-    return out.withColumn("base_failed", failed).withColumn("kept", ~failed & ~heavy).drop(
-        "_t", "_words", "_lines", "_bad", "_windows", "_hits", "_starts"
-    )
+    return out.withColumn("base_failed", failed).withColumn("kept", ~failed & ~heavy)
