@@ -35,7 +35,7 @@ class Packing:
 # --- documents to pieces ----------------------------------------------------------
 
 #: Units whose ids a worker remembers; beyond that it starts anew, so its memory is bounded.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 
 #: Latin letters and some marks: runs of either are units for any of the vocabulary's split rules.
 _UNITS = re.compile("[a-zß-öø-ÿ]+|[.,!?;:|*&%$#]+")
@@ -95,6 +95,16 @@ class Encoder:
         return [b"".join(map(self.parts.__getitem__, units)) for units in split]
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder(vocabulary: str) -> Encoder:
+    """One encoder a worker process, with what it remembers from earlier tasks."""
+    if vocabulary not in _ENCODERS:
+        _ENCODERS[vocabulary] = Encoder(vocabulary)
+    return _ENCODERS[vocabulary]
+
+
 def cut_pieces(df: DataFrame, rules: Packing = Packing(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, piece, start, length, ids) of every document: ids as bytes, the end id included.
 
@@ -106,7 +116,7 @@ def cut_pieces(df: DataFrame, rules: Packing = Packing(), key: str = "doc_id", t
     step = rules.capacity * 4
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(rules.vocabulary)
+        encoder = _encoder(rules.vocabulary)
         for batch in batches:
             keys, bodies = batch["key"].tolist(), batch["body"].tolist()
             for begin, stop in slices(bodies, 1 << 20):
