@@ -74,7 +74,7 @@ class Shingler:
     def sets(self, texts: list[bytes], heavy: np.ndarray | None = None):
         """(gram, text, first position of each text, size of each text's set): sorted by text, then rarest first."""
         gram, owner = self.grams(texts)
-        if heavy is not None and len(heavy):
+        if heavy is not None and len(heavy[0]):
             values, rank = heavy
             at = np.minimum(np.searchsorted(values, gram), len(values) - 1)
             found = values[at] == gram

@@ -9,19 +9,25 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from txnlytics.llm.common import mix, slices
 from txnlytics.session import materialise
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """A table of texts, written once in the session's shared folder."""
+    return materialise(df, label, compression="zstd")
+
+
 @dataclass(frozen=True)
 class Repeats:
     """Strings of ``length`` bytes count; places are chosen by the smallest hash among the ``gram``-byte strings in them."""
 
     length: int = 400
     gram: int = 64
-    slice_bytes: int = 4 << 20
+    slice_bytes: int = 16 << 20
     part_items: int = 40_000
     bucket_places: int = 2_000_000
     broadcast_places: int = 4_000_000
@@ -50,7 +56,7 @@ def places(texts: list[bytes], rules: Repeats) -> tuple[np.ndarray, np.ndarray,
     several tie. Equal strings choose alike, so strings that repeat are found at places
     whose grams repeat. About one place per length / 2 bytes results, in any text.
     """
-    ends = np.cumsum([len(t) for t in texts])
+    ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
     starts = ends - [len(t) for t in texts]
     raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
     width = rules.length - rules.gram + 1
@@ -135,10 +141,14 @@ def _repeated_places(docs: DataFrame, rules: Repeats) -> DataFrame:
 # --- items: a place with the bytes before and after it --------------------------------------
 
 
+def _side(rows: DataFrame, numbers: int, rules: Repeats) -> DataFrame:
+    """A join side to broadcast if the measured numbers are few; else it is shuffled."""
+    return F.broadcast(rows) if numbers <= rules.broadcast_places else rows
+
+
 def _by_row(docs: DataFrame, rows: DataFrame, numbers: int, rules: Repeats, how: str) -> DataFrame:
     """Join documents with (row, array) rows: broadcast if the measured numbers are few, else by shuffling both."""
-    side = F.broadcast(rows) if numbers <= rules.broadcast_places else rows
-    return docs.join(side, "row", how)
+    return docs.join(_side(rows, numbers, rules), "row", how)
 
 
 def _items(docs: DataFrame, found: DataFrame, rules: Repeats) -> DataFrame:
@@ -260,39 +270,40 @@ def merge_runs(runs: list[Iterator[tuple[bytes, int, tuple]]]) -> Iterator[tuple
             node //= 2
 
 
-def neighbours(merged: Iterator[tuple[bytes, int, tuple]]) -> Iterator[tuple[tuple, int, int]]:
-    """(payload, own, other) of each item of a merged order: the best of its two neighbours by common prefix.
+def neighbours(merged: Iterator[tuple[bytes, int, tuple]]) -> Iterator[tuple[tuple, int, int, bool]]:
+    """(payload, own, other, again) of each item of a merged order: the best of its two neighbours by common prefix.
 
     Payloads are (other side, copies, ...). ``own`` is the common prefix of the keys,
     ``other`` that of the other sides; an item with copies has itself as a neighbour.
+    ``again`` marks an item that equals the one before it on both sides.
     """
-    waiting, best = None, (0, 0)
+    waiting, best, again = None, (0, 0), False
     for key, shared, payload in merged:
-        here = (len(key), len(payload[0])) if payload[1] > 1 else (0, 0)
+        here, same = ((len(key), len(payload[0])) if payload[1] > 1 else (0, 0)), False
         if waiting is not None:
             pair = (shared, common_prefix(waiting[0], payload[0]))
-            yield waiting, *max(best, pair)
+            same = pair == (len(key), len(payload[0])) == (len(waiting[-1]), len(waiting[0]))
+            yield waiting, *max(best, pair), again
             here = max(here, pair)
-        waiting, best = payload, here
+        waiting, best, again = payload, here, same
     if waiting is not None:
-        yield waiting, *best
-
+        yield waiting, *best, again
 
-_FOUND = "row long, pos long, side int, own int, other int"
 
+def _sorted_neighbours(items: DataFrame, rules: Repeats) -> tuple[DataFrame, DataFrame]:
+    """Items (row, pos, own, other, copies) in the order of (own, other).
 
-def _sorted_neighbours(items: DataFrame, side: int, rules: Repeats) -> DataFrame:
-    """(row, pos, side, own, other): each item's best neighbour in the order of its bytes after (side 0) or before (side 1).
+    Returns (row, pos, a_own, a_other) with each item's best neighbour, and the items
+    themselves without those that repeat their predecessor on both sides.
 
     Tasks sort their items into runs, cut them at sampled splitters and front-code the
     pieces; a task per range merges its pieces. The last item of a range and the first of
     the next are compared afterwards: every range but the first holds its splitter, so none
-    of those is empty.
+    of those is empty. Splitters are at most as many as ranges.
     """
-    own, other = ("after", "before") if side == 0 else ("before", "after")
     total = items.count()
     parts = total // rules.part_items + 1
-    rows = items.select("row", "pos", F.col(own).alias("own"), F.col(other).alias("other"), "copies")
+    rows = items.select("row", "pos", "own", "other", "copies")
     sample = rows.select("own", "other").sample(min(1.0, 8 * parts / max(1, total)), seed=11).collect() if parts > 1 else []
     drawn = sorted({(bytes(r["own"]), bytes(r["other"])) for r in sample})
     step = max(1, -(-len(drawn) // parts))
@@ -303,7 +314,7 @@ def _sorted_neighbours(items: DataFrame, side: int, rules: Repeats) -> DataFrame
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from bisect import bisect_left
 
-        bounds = shared.value
+        bounds, squeeze = shared.value, zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -316,7 +327,7 @@ def _sorted_neighbours(items: DataFrame, side: int, rules: Repeats) -> DataFrame
                     n, m, joined = front_code([x[0] for x in piece])
                     number = lambda k, kind: np.array([x[k] for x in piece], dtype=kind).tobytes()
                     out.append((
-                        part, n.tobytes(), m.tobytes(), joined, b"".join(x[1] for x in piece),
+                        part, n.tobytes(), m.tobytes(), squeeze(joined), squeeze(b"".join(x[1] for x in piece)),
                         np.array([len(x[1]) for x in piece], dtype=np.uint16).tobytes(),
                         number(2, np.int32), number(3, np.int64), number(4, np.int64),
                     ))
@@ -329,8 +340,9 @@ def _sorted_neighbours(items: DataFrame, side: int, rules: Repeats) -> DataFrame
             number = lambda name, kind: np.frombuffer(piece[name], dtype=kind)
             lengths = number("other_length", np.uint16)
             ends = np.cumsum(lengths, dtype=np.int64).tolist()
-            whole, at = piece["other"], 0
-            keys = front_decode(number("shared", np.uint16), number("length", np.uint16), piece["joined"])
+            expand = zstandard.ZstdDecompressor().decompress
+            whole, at = expand(piece["other"]), 0
+            keys = front_decode(number("shared", np.uint16), number("length", np.uint16), expand(piece["joined"]))
             rest = zip(number("copies", np.int32).tolist(), number("row", np.int64).tolist(), number("pos", np.int64).tolist())
             for (text, n), end, (copies, row, pos) in zip(keys, ends, rest):
                 yield text, n, (whole[at:end], copies, row, pos, text)
@@ -338,39 +350,33 @@ def _sorted_neighbours(items: DataFrame, side: int, rules: Repeats) -> DataFrame
 
         ordered = merge_runs([unpack(p) for p in pieces.to_dict("records")])
         out, first, last = [], None, None
-        for payload, mine, others in neighbours(ordered):
-            out.append((payload[2], payload[3], mine, others))
+        for payload, mine, others, again in neighbours(ordered):
+            side, copies, row, pos, text = payload
+            out.append((row, pos, mine, others, key[0], int(again), None if again else text, None if again else side, copies))
             first, last = first or payload, payload
-        frame = pd.DataFrame(out, columns=["row", "pos", "own", "other"]).astype("int64")
-        frame["part"] = key[0]
-        frame["edge"] = 0
-        frame["key"] = None
-        frame["side_key"] = None
-        ends = pd.DataFrame(
-            [(p[2], p[3], 0, 0, key[0], kind, p[4], p[0]) for kind, p in ((1, first), (2, last))],
-            columns=["row", "pos", "own", "other", "part", "edge", "key", "side_key"],
-        )
-        return pd.concat([frame, ends], ignore_index=True)
-
-    schema = "row long, pos long, own int, other int, part int, edge int, key binary, side_key binary"
+        out += [(p[2], p[3], 0, 0, key[0], kind, p[4], p[0], p[1]) for kind, p in ((2, first), (3, last))]
+        return pd.DataFrame(out, columns=["row", "pos", "a_own", "a_other", "part", "kind", "own", "other", "copies"])
+
+    # kind 0: an item, 1: one that repeats its predecessor, 2 and 3: the ends of a range once more
+    schema = "row long, pos long, a_own int, a_other int, part int, kind int, own binary, other binary, copies int"
     pieces = rows.mapInArrow(runs, ", ".join(f"{n} {'int' if n == 'part' else 'binary'}" for n in names))
-    merged = materialise(pieces.groupBy("part").applyInPandas(merge, schema), "merged")
+    merged = _stored(pieces.groupBy("part").applyInPandas(merge, schema), "merged")
 
     def borders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for x in b.to_dict("records"):
-                pair = common_prefix(x["key"], x["key2"]), common_prefix(x["side_key"], x["side_key2"])
+                pair = common_prefix(x["own"], x["own2"]), common_prefix(x["other"], x["other2"])
                 out += [(x["row"], x["pos"], *pair), (x["row2"], x["pos2"], *pair)]
-            yield pd.DataFrame(out, columns=["row", "pos", "own", "other"])
+            yield pd.DataFrame(out, columns=["row", "pos", "a_own", "a_other"])
 
-    last = merged.filter("edge = 2").select("row", "pos", "key", "side_key", (F.col("part") + 1).alias("part"))
-    first = merged.filter("edge = 1").select(
-        F.col("row").alias("row2"), F.col("pos").alias("pos2"), F.col("key").alias("key2"), F.col("side_key").alias("side_key2"), "part"
+    last = merged.filter("kind = 3").select("row", "pos", "own", "other", (F.col("part") + 1).alias("part"))
+    first = merged.filter("kind = 2").select(
+        F.col("row").alias("row2"), F.col("pos").alias("pos2"), F.col("own").alias("own2"), F.col("other").alias("other2"), "part"
     )
-    across = last.join(first, "part").drop("part").mapInPandas(borders, "row long, pos long, own int, other int")
-    found = merged.filter("edge = 0").select("row", "pos", "own", "other").unionByName(across)
-    return found.withColumn("side", F.lit(side))
+    across = last.join(first, "part").drop("part").mapInPandas(borders, "row long, pos long, a_own int, a_other int")
+    found = merged.filter("kind < 2").select("row", "pos", "a_own", "a_other").unionByName(across)
+    return found, merged.filter("kind = 0").select("row", "pos", "own", "other", "copies")
 
 
 # --- what is covered --------------------------------------------------------------------------
@@ -381,51 +387,82 @@ def _reaches(items: DataFrame, rules: Repeats) -> DataFrame:
 
     A partner that shares l bytes before and r after the place repeats a string there if
     l + r reaches ``length``. All such ranges contain the place, so what matters is the
-    largest r and the largest l among such partners. The neighbour in either order has the
-    largest there is; if it is such a partner, it settles its side. The few items whose
-    neighbours don't settle a side are settled by counting the strings around them.
+    largest r and the largest l among such partners. The neighbour in the order of the
+    bytes after (before) has the largest r (l) there is. Where a known partner of that kind
+    reaches it, that side is settled. Otherwise the strings that could reach further are
+    counted one by one: few items, and of those only the lengths in question.
     """
-    both = _sorted_neighbours(items, 0, rules).unionByName(_sorted_neighbours(items, 1, rules))
-    pair = F.struct("own", "other")
+    after_sorted, left_over = _sorted_neighbours(items.select("row", "pos", F.col("after").alias("own"), F.col("before").alias("other"), "copies"), rules)
+    swapped = left_over.select("row", "pos", F.col("other").alias("own"), F.col("own").alias("other"), "copies")
+    before_sorted, _ = _sorted_neighbours(swapped, rules)
+    both = after_sorted.withColumn("side", F.lit(0)).unionByName(before_sorted.withColumn("side", F.lit(1)))
+    pair = F.struct("a_own", "a_other")
     best = both.groupBy("row", "pos").agg(
         F.max(F.when(F.col("side") == 0, pair)).alias("a"), F.max(F.when(F.col("side") == 1, pair)).alias("b")
     )
-    right, left = F.col("a.own"), F.col("b.own")
-    whole = F.lit(rules.length)
-    settled = (right + F.col("a.other") >= whole) & (left + F.col("b.other") >= whole)
+    whole = rules.length
+    # Of items that repeat each other on both sides only one is in the second order; the first has told all of them.
+    most_right, most_left = F.col("a.a_own"), F.greatest("b.a_own", "a.a_other")
+    by_right = most_right + F.col("a.a_other") >= whole
+    by_left = F.coalesce(F.col("b.a_own") + F.col("b.a_other") >= whole, F.lit(False))
+    left = F.greatest(F.when(by_right, F.col("a.a_other")), F.when(by_left, F.col("b.a_own")))
+    right = F.greatest(F.when(by_right, most_right), F.when(by_left, F.col("b.a_other")))
     best = materialise(
-        best.filter(right + left >= whole).select("row", "pos", left.alias("left"), right.alias("right"), settled.alias("settled")), "best"
+        best.filter(most_right + most_left >= whole).select(
+            "row", "pos", most_left.alias("most_left"), most_right.alias("most_right"), left.alias("left"), right.alias("right")
+        ),
+        "best",
     )
-    sure = best.filter("settled").drop("settled")
-    open_ = best.filter(~F.col("settled"))
+    sure = best.filter(F.col("left").isNotNull()).select("row", "pos", "left", "right")
+    # Lengths before the place that are still open: beyond the known left, or so short that the right would reach further.
+    top = F.least("most_left", F.lit(whole - rules.gram))
+    bottom = F.greatest(F.lit(whole) - F.col("most_right"), F.lit(0))
+    open_ = best.select(
+        "row", "pos",
+        F.coalesce(F.col("left") + 1, bottom).alias("low"), top.alias("high"),
+        bottom.alias("low2"), F.coalesce(F.lit(whole - 1) - F.col("right"), F.lit(-1)).alias("high2"),
+    ).filter("low <= high or low2 <= high2")
+    open_ = materialise(open_, "open")
     if open_.isEmpty():
         return sure
-    gram = items.withColumn("gram", F.xxhash64(F.substring("after", 1, rules.gram)))
-    near = gram.join(best, ["row", "pos"]).select("row", "pos", "copies", "gram", "after", "before", "left", "right", "settled")
-    grams = near.filter(~F.col("settled")).select("gram").distinct()
-    near = near.join(grams, "gram", "left_semi")
-    names = ["row", "pos", "copies", "before", "settled", "name"]
+    gram = F.xxhash64(F.substring("after", 1, rules.gram)).alias("gram")
+    named = materialise(items.select("row", "pos", gram), "grams")
+    # What is open for a gram: one row a gram, whatever the number of items.
+    asked = named.join(open_, ["row", "pos"]).groupBy("gram").agg(
+        F.min(F.when(F.expr("low <= high"), F.col("low"))).alias("low"), F.max(F.when(F.expr("low <= high"), F.col("high"))).alias("high"),
+        F.min(F.when(F.expr("low2 <= high2"), F.col("low2"))).alias("low2"), F.max(F.when(F.expr("low2 <= high2"), F.col("high2"))).alias("high2"),
+    )
+    asked = materialise(asked, "asked")
+    able = named.join(_side(asked, asked.count() * 6, rules), "gram").join(best.select("row", "pos", "most_left", "most_right"), ["row", "pos"])
+    span = lambda lo, hi: F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+    lengths = F.array_union(
+        span(F.greatest(bottom, F.coalesce("low", F.lit(1 << 20))), F.least(top, F.coalesce("high", F.lit(-1)))),
+        span(F.greatest(bottom, F.coalesce("low2", F.lit(1 << 20))), F.least(top, F.coalesce("high2", F.lit(-1)))),
+    )
+    able = materialise(able.select("row", "pos", lengths.alias("lengths")).filter(F.size("lengths") > 0), "able")
+    texts = items.join(_side(able, able.count() * 8, rules), ["row", "pos"]).select("row", "pos", "copies", "after", "before", "lengths")
+    names = ["row", "pos", "copies", "length", "name"]
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x in batch.to_pylist():
                 text = x["before"][::-1] + x["after"]
                 middle, out = len(x["before"]), []
-                for d in range(max(0, rules.length - x["right"]), min(x["left"], rules.length - rules.gram) + 1):
-                    name = hashlib.blake2b(text[middle - d : middle - d + rules.length], digest_size=16).digest()
-                    out.append((x["row"], x["pos"], x["copies"], d, x["settled"], name))
-                if out:
-                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
-
-    spelled = materialise(near.mapInArrow(strings, "row long, pos long, copies int, before int, settled boolean, name binary"), "strings")
+                for d in x["lengths"]:
+                    name = hashlib.blake2b(text[middle - d : middle - d + whole], digest_size=16).digest()
+                    out.append((x["row"], x["pos"], x["copies"], d, name))
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+
+    spelled = materialise(texts.mapInArrow(strings, "row long, pos long, copies int, length int, name binary"), "strings")
     # Two places may spell one and the same string of one row; only different starts are repeats.
-    start = F.struct("row", (F.col("pos") - F.col("before")).alias("start"))
+    start = F.struct("row", (F.col("pos") - F.col("length")).alias("start"))
     often = spelled.groupBy("name").agg(F.min(start).alias("a"), F.max(start).alias("b"), F.max("copies").alias("n"))
     often = often.filter((F.col("a") != F.col("b")) | (F.col("n") > 1)).select("name")
-    hits = spelled.filter(~F.col("settled")).join(often, "name", "left_semi")
-    exact = hits.groupBy("row", "pos").agg(F.max("before").alias("left"), (whole - F.min("before")).alias("right"))
-    return sure.unionByName(exact.select("row", "pos", "left", "right"))
+    exact = spelled.join(often, "name", "left_semi").groupBy("row", "pos").agg(
+        F.max("length").alias("left"), (F.lit(whole) - F.min("length")).alias("right")
+    )
+    return sure.unionByName(exact).groupBy("row", "pos").agg(F.max("left").alias("left"), F.max("right").alias("right"))
 
 
 def repeated_spans(docs: DataFrame, rules: Repeats = Repeats()) -> DataFrame:
@@ -434,7 +471,7 @@ def repeated_spans(docs: DataFrame, rules: Repeats = Repeats()) -> DataFrame:
     ``row`` is unique and not null, ``body`` the bytes, not null. Only documents with a
     repeated string have a row.
     """
-    items = materialise(_items(docs, _repeated_places(docs, rules), rules), "items")
+    items = _stored(_items(docs, _repeated_places(docs, rules), rules), "items")
     leads = items.filter("copies > 0").select("row", "pos", "after", "before", "copies")
     reaches = materialise(_reaches(leads, rules), "reaches")
     known = items.filter("copies = 0").select("row", "pos", "rep_row", "rep_pos")
@@ -470,7 +507,7 @@ def remove_repeats(
     null; other columns are not read; an empty table gives an empty table.
     """
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    docs = materialise(df.select(F.col(key).alias("key"), body.alias("body"), F.monotonically_increasing_id().alias("row")), "texts")
+    docs = _stored(df.select(F.col(key).alias("key"), body.alias("body"), F.monotonically_increasing_id().alias("row")), "texts")
     spans = materialise(repeated_spans(docs, rules), "spans")
     numbers = spans.agg(F.coalesce(F.sum(2 * F.size("spans") + 4), F.lit(0))).first()[0]
     joined = _by_row(docs, spans, numbers, rules, "left")
