@@ -43,7 +43,7 @@ ALPHABET = 155
 def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(symbols of all texts, end of each): Latin letters lowered, runs between words as one symbol."""
     raw = np.frombuffer(b"".join(texts), dtype=np.uint8).copy()
-    ends = np.cumsum([len(t) for t in texts])
+    ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
     if len(raw):
         upper = np.flatnonzero((raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97) & (raw[:-1] == 0xC3)) + 1
         raw[upper] += 0x20
@@ -88,35 +88,46 @@ def suffix_automaton(text: np.ndarray) -> list[dict[int, int]]:
     return moves
 
 
-def parse_table(text: np.ndarray) -> np.ndarray:
-    """Flat table: entry [state * ALPHABET + symbol] = 2 * (next state * ALPHABET) + 1 if a phrase ends before the symbol.
-
-    After the end of a phrase the symbol starts the next one at the root. A symbol that
-    the text lacks is a phrase of its own: it leads to the last state, which ends at once.
-    """
-    moves = suffix_automaton(text)
-    nowhere = len(moves)
-    begin = np.full(ALPHABET, nowhere, dtype=np.int64)
-    for symbol, to in moves[0].items():
-        begin[symbol] = to
-    table = np.tile(begin * (2 * ALPHABET) + 1, (nowhere + 1, 1))
-    table[0, begin == nowhere] -= 1  # no phrase is open at the root
-    for state, step in enumerate(moves):
-        for symbol, to in step.items():
-            table[state, symbol] = to * (2 * ALPHABET)
-    return table.astype(np.int32).ravel()
-
-
 @dataclass(frozen=True)
 class Model:
-    """Languages in order, their parse tables joined, where each begins, and the log of each sample's length."""
+    """Per language: its automaton's moves (from, symbol, to), its number of states, and the log of its sample's length."""
 
     languages: tuple[str, ...]
-    table: np.ndarray
-    begin: np.ndarray
+    moves: tuple[tuple[np.ndarray, np.ndarray, np.ndarray], ...]
+    states: tuple[int, ...]
     weight: np.ndarray
 
 
+class Tables:
+    """The moves of all languages in one flat table: entry [state + symbol] = 2 * next state, + 1 if a phrase ends before the symbol.
+
+    States are counted in steps of the alphabet, which has the symbols learned and one for
+    all others. After the end of a phrase the symbol starts the next one at the root. A
+    symbol that the text lacks is a phrase of its own: it leads to the last state, which
+    ends at once.
+    """
+
+    def __init__(self, model: Model) -> None:
+        seen = np.unique(np.concatenate([m[1] for m in model.moves])) if model.moves else np.zeros(0, np.uint8)
+        self.symbol = np.full(ALPHABET, len(seen), dtype=np.uint8)
+        self.symbol[seen] = np.arange(len(seen))
+        width = len(seen) + 1
+        parts, self.begin, offset = [], [], 0
+        for (source, symbol, target), states in zip(model.moves, model.states):
+            symbol = self.symbol[symbol]
+            begin = np.full(width, states, dtype=np.int64)
+            root = source == 0
+            begin[symbol[root]] = target[root]
+            table = np.tile(2 * (begin * width + offset) + 1, (states + 1, 1))
+            table[0, begin == states] -= 1  # no phrase is open at the root
+            table[source, symbol] = 2 * (target.astype(np.int64) * width + offset)
+            parts.append(table.astype(np.int32).ravel())
+            self.begin.append(offset)
+            offset += table.size
+        self.flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        self.root = np.array(self.begin, dtype=np.int32)[:, None]
+
+
 def fit(labelled: DataFrame, rules: Parsing = Parsing(), text: str = "text", lang: str = "lang", key: str = "doc_id") -> Model:
     """Learn from rows with a text and a label.
 
@@ -142,22 +153,26 @@ def fit(labelled: DataFrame, rules: Parsing = Parsing(), text: str = "text", lan
                 size += len(t) + 1
         if not chosen and texts:
             chosen = [min(texts, key=lambda t: (len(t), t))[: rules.sample_bytes]]
-        if not chosen:
-            return pd.DataFrame({"lang": [], "bytes": [], "table": []}).astype({"lang": object, "table": object, "bytes": "int64"})
-        code, ends = symbols(chosen)
-        return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "bytes": [len(code)], "table": [parse_table(code).tobytes()]})
-
-    built = rows.groupBy("lang").applyInPandas(build, "lang string, bytes long, table binary").orderBy("lang").collect()
-    tables = [np.frombuffer(row["table"], dtype=np.int32) for row in built]
-    begin = np.cumsum([0, *[len(t) for t in tables]])[:-1].astype(np.int64) if built else np.zeros(0, np.int64)
-    joined = np.concatenate([t + 2 * b for t, b in zip(tables, begin)]).astype(np.int32) if built else np.zeros(0, np.int32)
-    weight = np.log2(np.array([row["bytes"] + 1 for row in built], dtype=float))
-    return Model(tuple(row["lang"] for row in built), joined, begin, weight)
+        code, _ = symbols(chosen)
+        moves = suffix_automaton(code)
+        steps = np.array([(k, symbol, to) for k, step in enumerate(moves) for symbol, to in step.items()], dtype=np.int32).reshape(-1, 3)
+        return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "bytes": [len(code)], "states": [len(moves)], "moves": [steps.T.tobytes()]})
+
+    built = rows.groupBy("lang").applyInPandas(build, "lang string, bytes long, states int, moves binary")
+    built = built.filter("bytes > 0").orderBy("lang").collect()
+    moves = [np.frombuffer(row["moves"], dtype=np.int32).reshape(3, -1) for row in built]
+    return Model(
+        tuple(row["lang"] for row in built),
+        tuple((m[0], m[1].astype(np.uint8), m[2]) for m in moves),
+        tuple(row["states"] for row in built),
+        np.log2(np.array([row["bytes"] + 1 for row in built], dtype=float)),
+    )
 
 
-def phrases(texts: list[bytes], model: Model, rules: Parsing = Parsing()) -> np.ndarray:
+def phrases(texts: list[bytes], tables: Tables, rules: Parsing = Parsing()) -> np.ndarray:
     """Number of phrases of each text (rows) in each language (columns): greedy longest matches, many segments in step."""
     code, ends = symbols(texts)
+    code = tables.symbol[code]
     starts = np.concatenate([[0], ends[:-1]])
     pieces = -(-(ends - starts) // rules.segment)
     owner = np.repeat(np.arange(len(texts)), pieces)
@@ -165,23 +180,22 @@ def phrases(texts: list[bytes], model: Model, rules: Parsing = Parsing()) -> np.
     begin = starts[owner] + inner * rules.segment
     length = np.minimum(ends[owner] - begin, rules.segment)
     order = np.argsort(-length, kind="stable")
-    counts = np.zeros((len(owner), len(model.languages)), dtype=np.int64)
-    root = model.begin.astype(np.int32)[:, None]
+    counts = np.zeros((len(owner), len(tables.root)), dtype=np.int64)
     for at in range(0, len(order), rules.lanes):
         lane = order[at : at + rules.lanes]
         longest = int(length[lane[0]])
         step = np.arange(longest)[:, None]
         grid = code[np.minimum(begin[lane][None, :] + step, len(code) - 1)]
         active = np.searchsorted(-length[lane], -np.arange(longest), side="left")
-        state = np.repeat(root, len(lane), axis=1)
-        broken = np.ones((len(model.languages), len(lane)), dtype=np.int32)
+        state = np.repeat(tables.root, len(lane), axis=1)
+        broken = np.ones((len(tables.root), len(lane)), dtype=np.int32)
         for t in range(longest):
             n = active[t]
-            to = model.table[state[:, :n] + grid[t, :n]]
+            to = tables.flat[state[:, :n] + grid[t, :n]]
             broken[:, :n] += to & 1
             state[:, :n] = to >> 1
         counts[lane] = broken.T
-    out = np.zeros((len(texts), len(model.languages)))
+    out = np.zeros((len(texts), len(tables.root)))
     np.add.at(out, owner, counts)
     return out
 
@@ -201,6 +215,7 @@ def identify(df: DataFrame, model: Model, rules: Parsing = Parsing(), text: str
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
+        tables = Tables(known)
         for batch in batches:
             bodies = batch.column(text).to_pylist()
             for begin, end in slices(bodies, 4 << 20):
@@ -209,7 +224,7 @@ def identify(df: DataFrame, model: Model, rules: Parsing = Parsing(), text: str
                 name = np.full(len(texts), UNDETERMINED, dtype=object)
                 score = np.zeros(len(texts))
                 if clear.any():
-                    cost = phrases([t for t, c in zip(texts, clear) if c], known, rules) * known.weight
+                    cost = phrases([t for t, c in zip(texts, clear) if c], tables, rules) * known.weight
                     best = np.argmin(cost, axis=1)
                     name[clear] = np.array(known.languages, dtype=object)[best]
                     low = np.sort(cost, axis=1)
