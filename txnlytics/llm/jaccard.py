@@ -339,9 +339,10 @@ def _split(large: DataFrame, rules: Join, level: int) -> tuple[DataFrame, DataFr
 
     ``pivots`` active sets of each region, those of smallest seeded hash, are compared with
     all its members. Members of a pivot's ball (distance e or less) link with it. Those in
-    the largest ball are connected by that, so they turn passive: from now on only pairs
-    with a set outside of the ball count. By the triangle inequality a passive set can be
-    dropped if its distance to that pivot is not within e of that of any active set.
+    the largest ball are connected by that, so they turn passive, unless a passive set
+    outside of the ball may be within e: from now on only pairs with a set outside of the
+    ball count. By the triangle inequality a passive set can be dropped if its distance to
+    that pivot is not within e of that of any active set.
 
     The rest is dealt to the pivots' Voronoi regions. A set is active where its pivot is
     nearest. If x, nearest pivot at distance d, links with y in the region of pivot q, then
@@ -362,9 +363,12 @@ def _split(large: DataFrame, rules: Join, level: int) -> tuple[DataFrame, DataFr
     links = near.filter(F.col("d") <= e).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     balls = near.groupBy("region", "pivot").agg(F.sum((F.col("d") <= e).cast("int")).alias("inside"))
     balls = balls.groupBy("region").agg(F.max_by("pivot", F.struct("inside", "pivot")).alias("ball"))
-    main = near.join(balls, "region").filter(F.col("pivot") == F.col("ball")).select(
-        "region", "node", (F.col("active") & (F.col("d") > e)).alias("active"), F.col("d").alias("at")
-    )
+    main = near.join(balls, "region").filter(F.col("pivot") == F.col("ball")).select("region", "node", "active", F.col("d").alias("at"))
+    main = materialise(main, "main")
+    # A set in the ball still has to meet the passive sets outside of it that may be within e.
+    outside = main.filter(~F.col("active") & (F.col("at") > e)).groupBy("region").agg(F.min("at").alias("outer"))
+    open_ = (F.col("at") > e) | F.coalesce(F.col("at") >= F.col("outer") - e, F.lit(False))
+    main = main.join(outside, "region", "left").select("region", "node", (F.col("active") & open_).alias("active"), "at")
     rings = main.filter("active").groupBy("region").agg(F.min("at").alias("low"), F.max("at").alias("high"))
     left = main.join(rings, "region").filter(F.col("active") | F.col("at").between(F.col("low") - e, F.col("high") + e))
     left = materialise(left.select("region", "node", "active"), "left")
@@ -417,7 +421,7 @@ def _regions_join(members: DataFrame, rules: Join) -> DataFrame:
     return out
 
 
-def _members_of(df: DataFrame, nodes: DataFrame, key: str, text: str, rules: Join) -> DataFrame:
+def _members_of(df: DataFrame, nodes: DataFrame, key: str, text: str, rules: Join, heavy) -> DataFrame:
     """(region, node, active, items): the n-grams of the documents named by ``nodes`` (node, region, rep).
 
     Sets are computed again from those texts instead of being kept for all documents. The
@@ -434,7 +438,7 @@ def _members_of(df: DataFrame, nodes: DataFrame, key: str, text: str, rules: Joi
         for batch in batches:
             texts = _texts(batch)
             for begin, end in slices(texts, rules.slice_bytes // 4):
-                gram, owner, first, size = shingler.sets(texts[begin:end])
+                gram, owner, first, size = shingler.sets(texts[begin:end], heavy)
                 items = pa.ListArray.from_arrays(pa.array(np.append(first, len(gram)).astype(np.int32)), pa.array(gram.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(set_keys(gram, owner, size)), items], ["node", "items"])
 
@@ -468,7 +472,7 @@ def near_duplicates(df: DataFrame, rules: Join = Join(), key: str = "doc_id", te
     nodes = materialise(
         regions.join(classes, F.col("node") == F.col("set_key")).select("node", F.col("root").alias("region"), "rep"), "nodes"
     )
-    members = _members_of(df, nodes, key, text, rules)
+    members = _members_of(df, nodes, key, text, rules, (values, rank))
     joined = materialise(components(_regions_join(members, rules)), "joined")
     known = classes.join(joined, F.col("set_key") == F.col("node"), "left").select(
         "set_key", "rep", F.coalesce("root", "set_key").alias("root")
