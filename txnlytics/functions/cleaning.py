@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from txnlytics.params import MONEY, NA_TOKENS
+from txnlytics.params import MONEY, MONTHS, NA_TOKENS
 
 # Java's Unicode whitespace plus the four separators Python also strips.
 _SPACE = r"(?U)[\s\x1c-\x1f]+"
 _SPACE_ENDS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 _TIME_SUFFIX = (
-    r"[T ]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*([AaPp][Mm])?\s*(Z|[+-]\d{2}:?\d{2})?$"
+    r"[T ,]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*([AaPp][Mm])?\s*(Z|[+-]\d{2}:?\d{2})?$"
 )
+_WEEKDAY = r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*[, ]+"
+_NAME = r"((?i:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?))"
+_DAY_FIRST = rf"^(\d{{1,2}})[ /-]?{_NAME}[.,]?[ /-]?,? ?(\d{{4}}|\d{{2}})$"
+_NAME_FIRST = rf"^{_NAME}[.]?[ /-]?(\d{{1,2}})(?:, ?|[ /-])(\d{{4}}|\d{{2}})$"
+_MONTH_ONLY = rf"^{_NAME}[.,]?[ /-]?(\d{{4}})$"
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -26,15 +31,34 @@ def missing_to_null(cell: Column) -> Column:
 
 
 def date_text(cell: Column) -> Column:
-    """Trimmed cell without a time of day."""
-    return F.regexp_replace(F.trim(missing_to_null(cell)), _TIME_SUFFIX, "")
+    """Trimmed cell without a weekday before and a time of day after the date."""
+    text = F.regexp_replace(missing_to_null(cell), _SPACE_ENDS, "")
+    return F.regexp_replace(F.regexp_replace(text, _TIME_SUFFIX, ""), _WEEKDAY, "")
+
+
+def _century(year: Column) -> Column:
+    """Four-digit year; the POSIX pivot makes 69-99 19xx and 00-68 20xx."""
+    return F.when(F.length(year) == 4, year).when(year >= "69", F.concat(F.lit("19"), year)).otherwise(F.concat(F.lit("20"), year))
+
+
+def _named_date(text: Column) -> Column:
+    """``15 Jan 2024``, ``15Jan24``, ``Jan 15, 2024``, ``Jan 2024`` (its first day) and the like."""
+    shapes = [(_DAY_FIRST, 1, 2, 3), (_NAME_FIRST, 2, 1, 3), (_MONTH_ONLY, None, 1, 2)]
+    found = []
+    for pattern, day, name, year in shapes:
+        part = lambda k: F.regexp_extract(text, pattern, k)  # noqa: E731, B023
+        known = F.lower(F.substring(part(name), 1, 3))
+        month = F.element_at(F.create_map(*[F.lit(x) for k, m in enumerate(MONTHS, 1) for x in (m, f"{k:02d}")]), known)
+        made = F.concat_ws("-", _century(part(year)), F.coalesce(month, F.lit("x")), F.lit("01") if day is None else part(day))
+        found.append(F.when(text.rlike(pattern), made.try_cast("date")))
+    return F.coalesce(*found)
 
 
 def parse_date(text: Column) -> Column:
     """Day-first date from one text, each judged on its own; null if none.
 
-    Accepts d/m/Y with ``/ - .``, Y-m-d with ``/ - .``, Ymd, ``d Mon Y`` and
-    d/m/y. Month-first is only tried where day-first is impossible. Numeric shapes
+    Accepts d/m/Y with ``/ - .``, Y-m-d with ``/ - .``, Ymd, d/m/y, and month names
+    before or after the day. Month-first is only tried where day-first is impossible. Numeric shapes
     are rearranged to ISO and cast, so invalid cells cost no parser exception.
     """
 
@@ -44,26 +68,19 @@ def parse_date(text: Column) -> Column:
 
     long_form = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})$"
     short_form = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{2})$"
-    short_year = F.regexp_extract(text, short_form, 3)
-    # POSIX pivot for two-digit years: 69-99 are 19xx, 00-68 are 20xx.
-    century = F.when(short_year >= "69", "19").otherwise("20")
+    year = _century(F.regexp_extract(text, short_form, 3))
     day, month = F.regexp_extract(text, short_form, 1), F.regexp_extract(text, short_form, 2)
     short_iso = [
-        F.concat(century, short_year, F.lit("-"), a, F.lit("-"), b).try_cast("date")
+        F.concat(year, F.lit("-"), a, F.lit("-"), b).try_cast("date")
         for a, b in ((month, day), (day, month))
     ]
-    named = r"^\d{1,2}[ -][A-Za-z]{3,9}[ -]\d{4}$"
-    named_text = F.initcap(F.lower(F.regexp_replace(text, "-", " ")))
     return F.coalesce(
         iso(long_form, "$3", "$2", "$1"),
         iso(long_form, "$3", "$1", "$2"),
         iso(r"^(\d{4})[/.-](\d{1,2})[/.-](\d{1,2})$", "$1", "$2", "$3"),
         iso(r"^(\d{4})(\d{2})(\d{2})$", "$1", "$2", "$3"),
         F.when(text.rlike(short_form), F.coalesce(*short_iso)),
-        F.when(
-            text.rlike(named),
-            F.coalesce(F.try_to_date(named_text, "d MMM yyyy"), F.try_to_date(named_text, "d MMMM yyyy")),
-        ),
+        _named_date(text),
     )
 
 
@@ -79,9 +96,12 @@ def amount_text(cell: Column) -> Column:
 
 
 def parse_amount(text: Column) -> Column:
-    """Non-negative amount with two decimals, halves to even; null if not a number."""
+    """Non-negative amount with two decimals; null if not a number.
+
+    Rounded as binary numbers are: scaled by a hundred, then halves to even, so 1.015 is 1.01.
+    """
     number = F.abs(F.when(text.rlike(_NUMBER), text.try_cast("double")))
-    return F.bround(number, 2).try_cast(MONEY)
+    return (F.bround(number * 100, 0) / 100).try_cast(MONEY)
 
 
 def description_text(cell: Column) -> Column:

@@ -16,7 +16,10 @@ from txnlytics.params import (
 
 def is_expense(category: Column, p: Params) -> Column:
     """True unless income or transfer; a missing category counts as expense."""
-    return ~F.coalesce(category, F.lit(UNCATEGORISED)).isin(*p.non_expense)
+    # Spelled so that a filter can be pushed to the scan.
+    if UNCATEGORISED in p.non_expense:
+        return category.isNotNull() & ~category.isin(*p.non_expense)
+    return category.isNull() | ~category.isin(*p.non_expense)
 
 
 def rupees(amount: Column) -> Column:

@@ -19,6 +19,11 @@ def words(text: Column, stopwords=STOPWORDS, min_length: int = 3) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(pattern), F.lit(0))
 
 
+def not_blank(text: Column) -> Column:
+    """True for a text with anything but (Unicode) blanks."""
+    return text.rlike(r"(?U)[^\s\x1c-\x1f]")
+
+
 def clean_text(text: Column) -> Column:
     """The kept words joined by single spaces; empty string for null."""
     return F.array_join(words(text), " ")

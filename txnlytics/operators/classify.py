@@ -12,6 +12,7 @@ from pyspark.ml.feature import IndexToString, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from txnlytics.functions.text import not_blank
 from txnlytics.operators.sampling import stratified_folds, stratified_split
 from txnlytics.operators.tfidf import collect_vocabulary, feature_stages
 from txnlytics.params import Params
@@ -22,7 +23,7 @@ _P = Params()
 
 def usable_labels(df: DataFrame) -> DataFrame:
     """Labelled rows with a category and a non-blank description."""
-    return df.filter(F.col("category").isNotNull() & (F.trim("description") != ""))
+    return df.filter(F.col("category").isNotNull() & not_blank(F.col("description")))
 
 
 def class_weights(df: DataFrame) -> DataFrame:
@@ -35,18 +36,16 @@ def class_weights(df: DataFrame) -> DataFrame:
 def fit(df: DataFrame, p: Params = _P) -> PipelineModel:
     """Train on (description, category).
 
-    What reaches the driver is bounded by parameters: the vocabulary (``p.vocabulary``
-    terms) and the class list (``p.max_classes``), both of which are part of the
-    model. The penalty is scaled so that the optimum is that of
+    What reaches the driver is part of the model: the vocabulary (``p.vocabulary`` terms)
+    and the class list. Two classes share one coefficient row, as the binomial objective
+    has it. The penalty is scaled so that the optimum is that of
     C * sum(weight * loss) + |W|^2 / 2 with a free intercept.
     """
     # Training passes over the rows many times: spread them evenly once, over as many
     # partitions as their size asks for.
     spread = usable_labels(df).select("description", "category").hint("rebalance")
     labelled = materialise(spread, "training")
-    classes = class_weights(labelled).orderBy("category").limit(p.max_classes + 1).collect()
-    if len(classes) > p.max_classes:
-        raise ValueError(f"more than {p.max_classes} classes; raise Params.max_classes to train anyway")
+    classes = class_weights(labelled).orderBy("category").collect()
     if len(classes) < 2:
         raise ValueError("training needs at least two categories")
     rows = sum(c["n"] for c in classes)
@@ -56,7 +55,7 @@ def fit(df: DataFrame, p: Params = _P) -> PipelineModel:
     pipeline = Pipeline(stages=[
         *feature_stages(collect_vocabulary(labelled, p)),
         LogisticRegression(
-            family="multinomial",
+            family="auto",
             weightCol="weight",
             regParam=1.0 / (p.inverse_penalty * rows),
             standardization=False,

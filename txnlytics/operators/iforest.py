@@ -57,21 +57,16 @@ def _draw(*salt) -> Column:
 def sample_rows(points: DataFrame, rows: int, p: Params) -> DataFrame:
     """About twice the wanted rows of every tree, drawn by hash of the id.
 
-    The draw is a filter, hence no shuffle of the facts. Large tables: a row is drawn
-    for at most one tree, so the samples are disjoint. Small tables: each tree draws
-    on its own. Repeated ids count once, so a hot id cannot swell a tree's group.
+    One rule for every size: a row enters the pool with probability wanted / rows, and a
+    row of the pool joins each tree with probability 2 * tree_rows / pool, both at most 1.
+    The draw is a filter, hence no shuffle of the facts. Repeated ids count once, so a hot
+    id cannot swell a tree's group.
     """
     wanted = 2 * min(p.tree_rows, rows) * p.trees
-    if rows >= wanted:
-        limit = max(1, math.ceil(wanted / rows * _HASH_RANGE))
-        tree = F.pmod(_draw(p.forest_seed + 1), F.lit(p.trees)).cast("int")
-        drawn = points.filter(_draw(p.forest_seed) < limit).withColumn("tree", tree)
-    else:
-        limit = math.ceil(min(1.0, 2 * p.tree_rows / rows) * _HASH_RANGE)
-        hits = F.filter(
-            F.sequence(F.lit(0), F.lit(p.trees - 1)), lambda t: _draw(p.forest_seed, t) < limit
-        )
-        drawn = points.withColumn("tree", F.explode(hits))
+    pooled = math.ceil(min(1.0, wanted / rows) * _HASH_RANGE)
+    joined = math.ceil(min(1.0, 2 * p.tree_rows / min(rows, wanted)) * _HASH_RANGE)
+    hits = F.filter(F.sequence(F.lit(0), F.lit(p.trees - 1)), lambda t: _draw(p.forest_seed, t) < joined)
+    drawn = points.filter(_draw(p.forest_seed + 1) < pooled).withColumn("tree", F.explode(hits))
     return drawn.dropDuplicates(["txn_id", "tree"]).withColumn("rank", _draw(p.forest_seed + 2, F.col("tree")))
 
 
@@ -120,10 +115,7 @@ def score_forest(points: DataFrame, forest: DataFrame, rows: int, p: Params = _P
     data. Scores keep six digits, which bounds the number of distinct values and
     makes the exact percentile cheap.
     """
-    bound = p.trees * (2 * p.tree_rows - 1)
-    table = forest.limit(bound + 1).toPandas()
-    if len(table) > bound:
-        raise ValueError(f"forest has more than {bound} nodes")
+    table = forest.toPandas()  # at most trees * (2 * tree_rows - 1) rows
     trees = [
         tuple(nodes[c].to_numpy() for c in ("feature", "threshold", "left", "right", "path"))
         for _, nodes in table.sort_values(["tree", "node"]).groupby("tree")

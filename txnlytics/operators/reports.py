@@ -22,6 +22,7 @@ from txnlytics.functions.labels import (
     severity_rank,
     title_case,
 )
+from txnlytics.functions.text import not_blank
 from txnlytics.params import SEVERITIES, UNCATEGORISED, Params
 
 _P = Params()
@@ -145,7 +146,8 @@ _EXPLORER_SORT = {
 def explorer_filter(df: DataFrame, category: str | None = None, status: str = "all") -> DataFrame:
     """Rows of one category label and/or one status (all, normal, anomalies)."""
     if category is not None:
-        df = df.filter(F.coalesce("category", F.lit(UNCATEGORISED)) == category)
+        named = F.col("category") == category
+        df = df.filter(named | F.col("category").isNull() if category == UNCATEGORISED else named)
     if status == "normal":
         df = df.filter(~F.col("is_anomaly"))
     elif status == "anomalies":
@@ -279,5 +281,5 @@ def severity_breakdown(detections: DataFrame) -> DataFrame:
 
 def label_distribution(df: DataFrame) -> DataFrame:
     """Usable labelled rows per category, most frequent first."""
-    usable = df.filter(F.col("category").isNotNull() & (F.trim("description") != ""))
+    usable = df.filter(F.col("category").isNotNull() & not_blank(F.col("description")))
     return usable.groupBy("category").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "category")

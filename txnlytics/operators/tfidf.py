@@ -6,7 +6,6 @@ import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -127,15 +126,21 @@ def collect_vocabulary(df: DataFrame, p: Params = _P) -> list:
 def tfidf_weights(df: DataFrame, row_id: str, p: Params = _P) -> DataFrame:
     """(row id, term, weight) of every ``description``: the vectors the classifier sees, as rows.
 
-    Apart from the vocabulary there is no shuffle; the term names are a lookup of
-    vocabulary size. Vectors are unfolded to vocabulary width inside generated code,
-    which costs less than handing their entries to Python.
+    Apart from the vocabulary there is no shuffle and no Python. The counts stay sparse:
+    each row's arrays of positions and counts are damped, weighted by idf and divided by
+    their length with array functions; position and idf lookups have vocabulary size.
     """
     vocab = collect_vocabulary(df, p)
     names = df.sparkSession.createDataFrame(
         [(i, v["term"]) for i, v in enumerate(vocab)], "position int, term string"
     )
-    vectors = PipelineModel(feature_stages(vocab)).transform(df.select(row_id, "description"))
-    dense = F.posexplode(vector_to_array("features")).alias("position", "weight")
-    entries = vectors.select(row_id, dense).filter(F.col("weight") != 0)
-    return entries.join(F.broadcast(names), "position").select(row_id, "term", "weight")
+    counts = PipelineModel(feature_stages(vocab)[:2]).transform(df.select(row_id, "description"))
+    sparse = counts.select(row_id, F.unwrap_udt("_counts").alias("v"))
+    idf = F.array(*[F.lit(v["idf"]) for v in vocab]).cast("array<double>")
+    weights = F.zip_with("v.indices", "v.values", lambda i, n: (1 + F.log(n)) * F.get(idf, i))
+    rows = sparse.select(row_id, F.col("v.indices").alias("position"), weights.alias("weight"))
+    length = F.sqrt(F.aggregate("weight", F.lit(0.0), lambda s, w: s + w * w))
+    # The outer form keeps the optimiser from repeating the arrays in a filter on their size.
+    entries = rows.withColumn("length", length).select(row_id, "length", F.inline_outer(F.arrays_zip("position", "weight")))
+    named = entries.filter(F.col("position").isNotNull()).join(F.broadcast(names), "position")
+    return named.select(row_id, "term", (F.col("weight") / F.col("length")).alias("weight"))

@@ -58,6 +58,8 @@ FALLBACK_COLOUR = "#CCCCCC"
 UNCATEGORISED = "Uncategorized"
 UNKNOWN = "Unknown"
 
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+
 # Tokens a CSV cell may hold to mean "missing".
 NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -102,7 +104,6 @@ class Params:
     test_fraction: float = 0.2
     folds: int = 5
     split_seed: int = 42
-    max_classes: int = 1000
 
     @property
     def non_expense(self) -> tuple[str, str]:

@@ -148,8 +148,8 @@ def anomaly_summary(spark, folder):
 
 
 def _saved_forecasts(spark, folder):
-    """Monthly totals from 2001-05 on as saved forecasts; some amounts missing or zero."""
-    totals = forecast.monthly_history(views.txn(spark, folder), P).filter(F.col("year_month") >= "2001-05")
+    """Monthly totals as saved forecasts; some amounts missing or zero."""
+    totals = forecast.monthly_history(views.txn(spark, folder), P)
     month = F.col("month_num")
     money = F.round("total", 2).cast("decimal(12,2)")
     return totals.filter(F.col("category") != "BUILDING").select(
@@ -175,7 +175,9 @@ def forecast_table(spark, folder):
 
 @query
 def forecast_upsert(spark, folder):
-    early = views.txn(spark, folder).filter(F.col("date") < "2001-06-01")
+    """Forecasts of the last month from all before it: known categories are updated, others inserted."""
+    facts = views.txn(spark, folder)
+    early = facts.filter(F.col("date") < facts.agg(F.trunc(F.max("date"), "MM")).scalar())
     new = forecast.forecast(forecast.monthly_history(early, P), P)
     known = views.segments(spark, folder).filter(F.col("name") != "FURNITURE")
     state = storage.upsert_forecasts(new, _saved_forecasts(spark, folder), known, views.fixed_time())
@@ -242,7 +244,7 @@ def integrity_report(spark, folder):
     orphans = facts.filter(key % 700 == 0).select((-key - 1).alias("txn_id"), F.lit("high").alias("severity"))
     anomalies = found.unionByName(found.filter(key % 500 == 0)).unionByName(orphans)
     saved = _saved_forecasts(spark, folder)
-    forecasts = saved.unionByName(saved.filter(F.col("forecast_month") == "2001-06-01"))
+    forecasts = saved.unionByName(saved.filter(F.month("forecast_month") == 6))
     return storage.integrity_report(facts, categories, anomalies, forecasts)
 
 

@@ -40,8 +40,13 @@ SEGMENTS = f"""segments AS (
 RAW = """raw AS (
   SELECT o_orderkey AS k,
     CASE WHEN o_orderkey % 97 = 0 THEN 'not-a-date'
-         WHEN o_orderkey % 10 = 3 THEN strftime(o_orderdate, '%Y-%m-%d')
-         ELSE strftime(o_orderdate, '%d/%m/%Y') END AS date,
+         ELSE CASE o_orderkey % 10
+           WHEN 0 THEN strftime(o_orderdate, '%d/%m/%Y') WHEN 1 THEN strftime(o_orderdate, '%d-%b-%y')
+           WHEN 2 THEN strftime(o_orderdate, '%-d %b %Y') WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%d')
+           WHEN 4 THEN strftime(o_orderdate, '%b %d, %Y') WHEN 5 THEN strftime(o_orderdate, '%Y%m%d')
+           WHEN 6 THEN strftime(o_orderdate, '%d.%m.%Y') WHEN 7 THEN strftime(o_orderdate, '%a, %d %b %Y')
+           WHEN 8 THEN strftime(o_orderdate, '%d %B %Y') ELSE strftime(o_orderdate, '%d/%m/%Y, %H:%M') END
+         END AS date,
     CASE WHEN o_orderkey % 53 = 0 THEN ''
          ELSE '  ' || upper(c_mktsegment) || '   STORE REF' || o_orderkey || ' ' END AS description,
     CASE WHEN o_orderkey % 41 = 0 THEN 'abc'
@@ -59,7 +64,8 @@ COPIES = RAW + """, rows AS (
 def _parsed(source: str) -> str:
     return f"""parsed AS (
   SELECT k, copy, description AS raw_text,
-    CAST(try_strptime(date, ['%d/%m/%Y', '%Y-%m-%d']) AS DATE) AS date,
+    CAST(try_strptime(date, ['%d/%m/%Y', '%d-%b-%y', '%d %b %Y', '%Y-%m-%d', '%b %d, %Y', '%Y%m%d', '%d.%m.%Y',
+      '%a, %d %b %Y', '%d %B %Y', '%d/%m/%Y, %H:%M']) AS DATE) AS date,
     abs(try_cast(regexp_replace(regexp_replace(amount, '^\\((.+)\\)$', '-\\1'), '[A-Za-z ,]', '', 'g')
       AS DECIMAL(12,2))) AS amount,
     nullif(lower(trim(regexp_replace(description, ' +', ' ', 'g'))), '') AS description
@@ -164,7 +170,7 @@ SAVED = f"""saved AS (
   SELECT {_key('category')} AS category_id, category, year_month || '-01' AS forecast_month,
     CASE WHEN month_num % 3 <> 0 THEN round(total, 2) END AS predicted_amount,
     CASE WHEN month_num % 2 = 0 THEN round(total, 2) ELSE 0.0 END AS actual_amount
-  FROM history WHERE year_month >= '2001-05' AND category <> 'BUILDING')"""
+  FROM history WHERE category <> 'BUILDING')"""
 
 DOCS = "docs AS (SELECT doc_id, text AS description, lang AS category FROM documents)"
 
@@ -253,7 +259,7 @@ SELECT txn_id, strftime(date, '%Y-%m-%d') AS date, description, CAST(amount AS D
     sql["forecast_table"] = f"""WITH {ALL_HISTORY}, {SAVED}, s AS ({summary.format(name='category')})
 SELECT category AS "Category", forecast_month AS "Forecast Month", {_rs('predicted')} AS "Predicted Amount",
   coalesce({_rs('actual')}, '⏳ Pending') AS "Actual Amount", created_at AS "Generated At" FROM s"""
-    early = HISTORY.format(where="AND date < DATE '2001-06-01'").replace("history AS", "early AS")
+    early = HISTORY.format(where="AND date < (SELECT date_trunc('month', max(date)) FROM txn)").replace("history AS", "early AS")
     late = ALL_HISTORY[len(TXN) + 2:].replace("spent", "spent2").replace("totals", "totals2").replace(
         "months AS", "months2 AS").replace("JOIN months", "JOIN months2")
     sql["forecast_upsert"] = f"""WITH {early}, {FORECAST.format(h='early')}, {late}, {SAVED}, incoming AS (
@@ -284,7 +290,7 @@ SELECT (SELECT count(DISTINCT c_mktsegment) FROM customer) AS categories, count(
   FROM txn WHERE txn_id % 50 = 0), anom AS (
   SELECT * FROM found UNION ALL SELECT * FROM found WHERE txn_id % 500 = 0 UNION ALL
   SELECT -txn_id - 1, 'high' FROM txn WHERE txn_id % 700 = 0), fore AS (
-  SELECT * FROM saved UNION ALL SELECT * FROM saved WHERE forecast_month = '2001-06-01')
+  SELECT * FROM saved UNION ALL SELECT * FROM saved WHERE month(CAST(forecast_month AS DATE)) = 6)
 SELECT 'transaction date not null' AS rule, count(*) FILTER (date IS NULL) AS violations FROM txn UNION ALL
 SELECT 'transaction description not null', count(*) FILTER (txn_id % 101 = 0) FROM txn UNION ALL
 SELECT 'transaction amount not null', count(*) FILTER (txn_id % 103 = 0) FROM txn UNION ALL

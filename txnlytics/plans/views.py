@@ -66,6 +66,20 @@ def segments(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Shapes of statement dates, by the last digit of the order key.
+DATE_SHAPES = (
+    "dd/MM/yyyy", "dd-MMM-yy", "d MMM yyyy", "yyyy-MM-dd", "MMM dd, yyyy",
+    "yyyyMMdd", "dd.MM.yyyy", "EEE, dd MMM yyyy", "dd MMMM yyyy", "dd/MM/yyyy, HH:mm",
+)
+
+
+def _written_date(k):
+    text = F.when(k % 97 == 0, "not-a-date")
+    for digit, shape in enumerate(DATE_SHAPES):
+        text = text.when(k % len(DATE_SHAPES) == digit, F.date_format("o_orderdate", shape))
+    return text
+
+
 def raw_txn(spark: SparkSession, folder: str, copies: bool = False) -> DataFrame:
     """Orders as messy statement text; with ``copies`` some rows occur twice.
 
@@ -77,10 +91,7 @@ def raw_txn(spark: SparkSession, folder: str, copies: bool = False) -> DataFrame
     money = F.col("o_totalprice").cast(MONEY)
     rows = orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).select(
         k.alias("k"),
-        F.when(k % 97 == 0, "not-a-date")
-        .when(k % 10 == 3, F.date_format("o_orderdate", "yyyy-MM-dd"))
-        .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
-        .alias("date"),
+        _written_date(k).alias("date"),
         F.when(k % 53 == 0, "")
         .otherwise(F.concat(
             F.lit("  "), F.upper("c_mktsegment"), F.lit("   STORE REF"), k.cast("string"), F.lit(" ")))
