@@ -379,6 +379,10 @@ def _sorted_neighbours(items: DataFrame, rules: Repeats) -> tuple[DataFrame, Dat
     return found, merged.filter("kind = 0").select("row", "pos", "own", "other", "copies")
 
 
+#: Open lengths are matched in blocks of so many.
+_STEP = 16
+
+
 # --- what is covered --------------------------------------------------------------------------
 
 
@@ -427,20 +431,45 @@ def _reaches(items: DataFrame, rules: Repeats) -> DataFrame:
         return sure
     gram = F.xxhash64(F.substring("after", 1, rules.gram)).alias("gram")
     named = materialise(items.select("row", "pos", gram), "grams")
-    # What is open for a gram: one row a gram, whatever the number of items.
-    asked = named.join(open_, ["row", "pos"]).groupBy("gram").agg(
-        F.min(F.when(F.expr("low <= high"), F.col("low"))).alias("low"), F.max(F.when(F.expr("low <= high"), F.col("high"))).alias("high"),
-        F.min(F.when(F.expr("low2 <= high2"), F.col("low2"))).alias("low2"), F.max(F.when(F.expr("low2 <= high2"), F.col("high2"))).alias("high2"),
+    # Lengths are asked for in blocks. A partner that settles a length of block [u, v] shares
+    # the u bytes before the place and the length - v after it, so places are first matched
+    # by the names of those strings; only places that match an asking one spell all lengths.
+    block = lambda lo, hi: F.when(F.col(lo) <= F.col(hi), F.sequence(F.expr(f"{lo} div {_STEP}"), F.expr(f"{hi} div {_STEP}"))).otherwise(
+        F.array().cast("array<bigint>")
+    )
+    asking = open_.select("row", "pos", F.array_union(block("low", "high"), block("low2", "high2")).cast("array<int>").alias("own"))
+    asked = named.join(asking, ["row", "pos"]).select("gram", F.explode("own").alias("k")).distinct()
+    asked = materialise(asked.groupBy("gram").agg(F.collect_set("k").alias("asked")), "asked")  # a bounded number of blocks a gram
+    able = named.join(_side(asked, asked.count() * 12, rules), "gram").join(best.select("row", "pos", "most_left", "most_right"), ["row", "pos"])
+    able = able.join(asking, ["row", "pos"], "left").select("row", "pos", bottom.alias("low"), top.alias("high"), "asked", F.coalesce("own", F.array().cast("array<int>")).alias("own"))
+    reach = F.filter("asked", lambda k: (k * _STEP <= F.col("high")) & (k * _STEP + _STEP - 1 >= F.col("low")))
+    able = materialise(able.withColumn("asked", reach).filter(F.size("asked") > 0), "able")
+    texts = items.join(_side(able, able.count() * 16, rules), ["row", "pos"])
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for x in batch.to_pylist():
+                before, after = x["before"], x["after"]
+                for k in x["asked"]:
+                    u, v = k * _STEP, min(k * _STEP + _STEP - 1, whole - rules.gram)
+                    if len(before) >= u and len(after) >= whole - v:
+                        name = hashlib.blake2b(before[:u] + b"|" + after[: whole - v], digest_size=16).digest()
+                        out.append((x["row"], x["pos"], x["copies"], k, k in x["own"], name, max(u, x["low"]), min(v, x["high"])))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.int32(), pa.int32())
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["row", "pos", "copies", "k", "asks", "name", "low", "high"])
+
+    met = materialise(
+        texts.mapInArrow(blocks, "row long, pos long, copies int, k int, asks boolean, name binary, low int, high int"), "blocks"
     )
-    asked = materialise(asked, "asked")
-    able = named.join(_side(asked, asked.count() * 6, rules), "gram").join(best.select("row", "pos", "most_left", "most_right"), ["row", "pos"])
-    span = lambda lo, hi: F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
-    lengths = F.array_union(
-        span(F.greatest(bottom, F.coalesce("low", F.lit(1 << 20))), F.least(top, F.coalesce("high", F.lit(-1)))),
-        span(F.greatest(bottom, F.coalesce("low2", F.lit(1 << 20))), F.least(top, F.coalesce("high2", F.lit(-1)))),
+    live = met.groupBy("k", "name").agg(F.max("asks").alias("asks"), F.count("*").alias("n"), F.max("copies").alias("c"))
+    live = live.filter(F.col("asks") & ((F.col("n") > 1) | (F.col("c") > 1))).select("k", "name")
+    able = met.filter("low <= high").join(live, ["k", "name"], "left_semi").groupBy("row", "pos").agg(
+        F.array_distinct(F.flatten(F.collect_list(F.sequence("low", "high")))).alias("lengths")
     )
-    able = materialise(able.select("row", "pos", lengths.alias("lengths")).filter(F.size("lengths") > 0), "able")
-    texts = items.join(_side(able, able.count() * 8, rules), ["row", "pos"]).select("row", "pos", "copies", "after", "before", "lengths")
+    able = materialise(able, "live")
+    texts = items.join(_side(able, able.count() * 24, rules), ["row", "pos"]).select("row", "pos", "copies", "after", "before", "lengths")
     names = ["row", "pos", "copies", "length", "name"]
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -449,10 +478,12 @@ def _reaches(items: DataFrame, rules: Repeats) -> DataFrame:
                 text = x["before"][::-1] + x["after"]
                 middle, out = len(x["before"]), []
                 for d in x["lengths"]:
-                    name = hashlib.blake2b(text[middle - d : middle - d + whole], digest_size=16).digest()
-                    out.append((x["row"], x["pos"], x["copies"], d, name))
+                    if middle >= d and len(x["after"]) >= whole - d:
+                        name = hashlib.blake2b(text[middle - d : middle - d + whole], digest_size=16).digest()
+                        out.append((x["row"], x["pos"], x["copies"], d, name))
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
     spelled = materialise(texts.mapInArrow(strings, "row long, pos long, copies int, length int, name binary"), "strings")
     # Two places may spell one and the same string of one row; only different starts are repeats.
