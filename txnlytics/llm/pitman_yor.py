@@ -28,9 +28,9 @@ class Restaurants:
     sweeps: int = 3
     burn: int = 1
     seed: int = 5
-    slice_bytes: int = 8 << 20
-    bucket_bytes: int = 16 << 20
-    busy: int = 256
+    slice_bytes: int = 3 << 20
+    bucket_bytes: int = 8 << 20
+    busy: int = 128
 
 
 CONTEXTS, PARENTS = 1 << 16, 1 << 8
