@@ -98,6 +98,22 @@ def set_keys(gram: np.ndarray, owner: np.ndarray, size: np.ndarray) -> np.ndarra
     return mix(total + size.astype(np.uint64)).view(np.int64)
 
 
+#: Pivots that every set is measured against: the universe of grams dealt to so many classes.
+CLASSES = 32
+
+
+def class_counts(gram: np.ndarray, owner: np.ndarray, count: int) -> list[bytes]:
+    """Per text, how many of its grams lie in each class.
+
+    The symmetric difference of a set and a class is a metric whose only unknown is this
+    count, so by the triangle inequality the counts of two sets differ, summed over the
+    classes, by no more than the sets do.
+    """
+    place = owner * CLASSES + (mix(gram + np.uint64(17)) % np.uint64(CLASSES)).astype(np.int64)
+    table = np.bincount(place, minlength=count * CLASSES).astype(np.uint32).reshape(count, CLASSES)
+    return [row.tobytes() for row in table]
+
+
 def _texts(batch: pa.RecordBatch, name: str = "body") -> list[bytes]:
     return batch.column(name).to_pylist()
 
@@ -149,7 +165,7 @@ def _scan(df: DataFrame, key: str, text: str, rules: Join, heavy, buckets: int)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(rules.words)
-        names = ["key", "set_key", "n", "bucket", "grams", "sets", "sizes", "places"]
+        names = ["key", "set_key", "n", "classes", "bucket", "grams", "sets", "sizes", "places"]
         for batch in batches:
             texts = _texts(batch)
             for begin, end in slices(texts, rules.slice_bytes):
@@ -157,7 +173,8 @@ def _scan(df: DataFrame, key: str, text: str, rules: Join, heavy, buckets: int)
                 keys = set_keys(gram, owner, size)
                 count, none = end - begin, lambda n: pa.nulls(n, pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("key").slice(begin, count), pa.array(keys), pa.array(size), pa.array(np.full(count, -1, np.int32)),
+                    [batch.column("key").slice(begin, count), pa.array(keys), pa.array(size), pa.array(class_counts(gram, owner, count), pa.binary()),
+                     pa.array(np.full(count, -1, np.int32)),
                      none(count), none(count), none(count), none(count)], names,
                 )
                 _, once = np.unique(keys, return_index=True)  # copies within a slice are looked at once
@@ -174,12 +191,12 @@ def _scan(df: DataFrame, key: str, text: str, rules: Join, heavy, buckets: int)
                 if rows:
                     cut = lambda x: pa.array([x[a:b].tobytes() for _, a, b in rows], pa.binary())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.nulls(len(rows), batch.schema.field("key").type), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64()),
+                        [pa.nulls(len(rows), batch.schema.field("key").type), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.binary()),
                          pa.array([r[0] for r in rows], pa.int32()), cut(gram), cut(keys[owner]), cut(size[owner].astype(np.int32)), cut(place)],
                         names,
                     )
 
-    schema = f"key {kind}, set_key long, n long, bucket int, grams binary, sets binary, sizes binary, places binary"
+    schema = f"key {kind}, set_key long, n long, classes binary, bucket int, grams binary, sets binary, sizes binary, places binary"
     return df.select(F.col(key).alias("key"), _body(df, text)).mapInArrow(scan, schema)
 
 
@@ -216,38 +233,99 @@ def _partnered(size: np.ndarray, reach: np.ndarray, percent: int) -> np.ndarray:
     return best >= size
 
 
-def bucket_edges(grams: np.ndarray, sets: np.ndarray, sizes: np.ndarray, places: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(set, smallest set) for the sets that share a first gram and may link through it."""
+def bucket_members(grams: np.ndarray, sets: np.ndarray, sizes: np.ndarray, places: np.ndarray, percent: int) -> pd.DataFrame:
+    """(gram, node, n, place) for the sets that share a first gram with a set within the bounds of size and place."""
     order = np.lexsort((sets, sizes, grams))
     grams, sets, sizes, places = grams[order], sets[order], sizes[order].astype(np.int64), places[order].astype(np.int64)
     keep = np.ones(len(grams), dtype=bool)
     keep[1:] = (grams[1:] != grams[:-1]) | (sets[1:] != sets[:-1])
     grams, sets, sizes, places = grams[keep], sets[keep], sizes[keep], places[keep]
-    edges = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])) if len(grams) else np.zeros(0, np.int64)
-    length = np.diff(np.append(edges, len(grams)))
+    first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])) if len(grams) else np.zeros(0, np.int64)
+    length = np.diff(np.append(first, len(grams)))
     reach = _reach(sizes, places, percent)
-    two = edges[length == 2]
-    a, b = sizes[two], sizes[two + 1]
-    fit = (100 * a >= percent * b) & (b <= reach[two]) & (a <= reach[two + 1])
-    left, right = [sets[two][fit]], [sets[two + 1][fit]]
-    for at, n in zip(edges[length > 2].tolist(), length[length > 2].tolist()):
-        some = np.flatnonzero(_partnered(sizes[at : at + n], reach[at : at + n], percent)) + at
-        if len(some) > 1:
-            members = sets[some]
-            left.append(members)
-            right.append(np.full(len(members), members.min()))
-    return np.concatenate(left), np.concatenate(right)
-
-
-def _candidate_edges(blobs: DataFrame, rules: Join) -> DataFrame:
+    use = np.zeros(len(grams), dtype=bool)
+    two = first[length == 2]
+    fit = two[(100 * sizes[two] >= percent * sizes[two + 1]) & (sizes[two + 1] <= reach[two]) & (sizes[two] <= reach[two + 1])]
+    use[fit] = use[fit + 1] = True
+    for at, n in zip(first[length > 2].tolist(), length[length > 2].tolist()):
+        use[at : at + n] = _partnered(sizes[at : at + n], reach[at : at + n], percent)
+    return pd.DataFrame({"gram": grams[use].view(np.int64), "node": sets[use], "n": sizes[use], "place": places[use]})
+
+
+def near_in_cell(size: np.ndarray, reach: np.ndarray, counts: np.ndarray, lead: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of one gram's sets that connect all pairs (with a leading set) which the bounds let pass."""
+    parent = list(range(len(size)))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    found = []
+    for x in np.flatnonzero(lead).tolist():
+        near = (size <= reach[x]) & (size[x] <= reach)
+        near[x] = False
+        rows = np.flatnonzero(near)
+        apart = np.abs(counts[rows] - counts[x]).sum(axis=1)
+        for y in rows[apart * (100 + percent) <= (100 - percent) * (size[rows] + size[x])].tolist():
+            a, b = find(x), find(y)
+            if a != b:
+                parent[a] = b
+                found.append((x, y))
+    return found
+
+
+def _candidate_edges(blobs: DataFrame, docs: DataFrame, rules: Join) -> DataFrame:
+    """(a, b) pairs of sets that connect all pairs which may be similar.
+
+    Sets that share a first gram meet in its cell. A pair passes if size, place and the
+    distances to the class pivots allow it: by the triangle inequality no similar pair is
+    lost. Cells of more than ``2 * region`` sets are compared block by block.
+    """
+
     def meet(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         whole = lambda name, kind: np.frombuffer(b"".join(rows[name]), dtype=kind)
-        a, b = bucket_edges(whole("grams", np.uint64), whole("sets", np.int64), whole("sizes", np.int32), whole("places", np.int32), rules.percent)
-        pairs = np.unique(np.stack([a, b]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
-        pairs = pairs[:, pairs[0] != pairs[1]]
+        return bucket_members(whole("grams", np.uint64), whole("sets", np.int64), whole("sizes", np.int32), whole("places", np.int32), rules.percent)
+
+    met = materialise(blobs.groupBy("bucket").applyInPandas(meet, "gram long, node long, n long, place long"), "cells")
+    counts = docs.filter("n > 0").groupBy("set_key").agg(F.first("classes").alias("classes"))
+    most = 2 * rules.region
+    large = met.groupBy("gram").agg(F.ceil(F.count("*") / rules.region).cast("int").alias("blocks")).filter(F.col("blocks") > most // rules.region)
+    large = materialise(large.withColumnRenamed("gram", "cell"), "large-cells")
+    rows = met.join(counts, F.col("node") == F.col("set_key")).select("gram", "node", "n", "place", "classes")
+    rows = rows.join(large, F.col("gram") == F.col("cell"), "left")
+    block = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    each = F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own = F.coalesce(block, F.lit(0))
+    leads = rows.select("*", own.alias("i"), each.alias("j"), F.lit(True).alias("lead"))
+    others = rows.filter("blocks is not null").select("*", each.alias("i"), own.alias("j"), F.lit(False).alias("lead"))
+    groups = max(1, met.count() // 50_000)
+    dealt = leads.unionByName(others).withColumn("g", F.when(F.col("blocks").isNull(), F.pmod(F.xxhash64("gram"), F.lit(groups))).otherwise(F.xxhash64("gram", "i", "j")))
+
+    def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["gram", "i", "j", "lead", "node"], ascending=[True, True, True, False, True]).drop_duplicates(["gram", "i", "j", "node"])
+        node, size, place = (pdf[c].to_numpy(dtype=np.int64) for c in ("node", "n", "place"))
+        gram, lead = pdf["gram"].to_numpy(dtype=np.int64), pdf["lead"].to_numpy(dtype=bool)
+        table = np.frombuffer(b"".join(pdf["classes"]), dtype=np.uint32).reshape(-1, CLASSES).astype(np.int32)
+        reach = _reach(size, place, rules.percent)
+        first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+        length = np.diff(np.append(first, len(gram)))
+        two = first[length == 2]
+        apart = np.abs(table[two] - table[two + 1]).sum(axis=1)
+        fit = (size[two] <= reach[two + 1]) & (size[two + 1] <= reach[two]) & (lead[two] | lead[two + 1])
+        two = two[fit & (apart * (100 + rules.percent) <= (100 - rules.percent) * (size[two] + size[two + 1]))]
+        out = [np.stack([node[two], node[two + 1]])]
+        for at, n in zip(first[length > 2].tolist(), length[length > 2].tolist()):
+            part = slice(at, at + n)
+            found = near_in_cell(size[part], reach[part], table[part], lead[part], rules.percent)
+            if found:
+                out.append(node[part][np.array(found).T])
+        pairs = np.sort(np.concatenate(out, axis=1), axis=0)
+        pairs = np.unique(pairs, axis=1)
         return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
 
-    return blobs.groupBy("bucket").applyInPandas(meet, "a long, b long").distinct()
+    return dealt.select("g", "gram", "i", "j", "node", "n", "place", "classes", "lead").groupBy("g").applyInPandas(compare, "a long, b long").distinct()
 
 
 # --- joining regions ----------------------------------------------------------------------
@@ -457,7 +535,8 @@ def near_duplicates(df: DataFrame, rules: Join = Join(), key: str = "doc_id", te
     table gives an empty table. Grams and sets are told apart by 63 and 64 bit hashes.
 
     1. Equal sets become one node. 2. Sets whose first grams (rarest first) meet, within
-    bounds of size and place, form regions: no link crosses a region. 3. Regions are joined
+    bounds of size, place and distance to the class pivots, form regions: no link crosses
+    a region. 3. Regions are joined
     exactly, large ones by pivots and triangle-inequality windows, recursively. 4. Links
     are connected. Lists, regions and links are never collected: what a task holds is
     bounded by a slice, a bucket of grams or ``region`` sets.
@@ -466,7 +545,8 @@ def near_duplicates(df: DataFrame, rules: Join = Join(), key: str = "doc_id", te
     buckets = max(8, total * (100 - rules.percent) // 100 // rules.bucket_grams + 1)
     scanned = materialise(_scan(df, key, text, rules, (values, rank), buckets), "grams")
     docs = scanned.filter("bucket < 0").select("key", "set_key", "n")
-    edges = materialise(_candidate_edges(scanned.filter("bucket >= 0").drop("key", "set_key", "n"), rules), "edges")
+    counted = scanned.filter("bucket < 0").select("set_key", "n", "classes")
+    edges = materialise(_candidate_edges(scanned.filter("bucket >= 0").drop("key", "set_key", "n", "classes"), counted, rules), "edges")
     regions = components(edges)
     classes = docs.filter("n > 0").groupBy("set_key").agg(F.min("key").alias("rep"))
     nodes = materialise(
