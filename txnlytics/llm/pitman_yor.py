@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -206,7 +207,24 @@ _STATE = (
 
 
 def _pack(array: np.ndarray, kind) -> bytes:
-    return np.ascontiguousarray(array).astype(kind).tobytes()
+    """Numbers as compressed bytes, all first bytes first, since most high bytes are zero."""
+    flat = np.ascontiguousarray(array).astype(kind).ravel()
+    planes = flat.view(np.uint8).reshape(len(flat), flat.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpack(raw: bytes | None, kind) -> np.ndarray:
+    if not raw:
+        return np.zeros(0, dtype=kind)
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch one by one; their blobs are large, so only one row is copied at a time."""
+    for k in range(batch.num_rows):
+        yield {name: column[k].as_py() for name, column in zip(batch.schema.names, batch.columns)}
 
 
 def _map_slice(bodies: list[bytes], train: np.ndarray, hasher: WordHasher, buckets: int, rules: Restaurants):
@@ -253,7 +271,7 @@ def _build_bucket(pdf: pd.DataFrame) -> dict:
     word, context, count, piece, text, times = [], [], [], [], [], []
     busy_word, busy_context, busy_count, busy_piece = [], [], [], []
     pdf = pdf.sort_values("slice")
-    read = lambda raw, kind: np.frombuffer(raw or b"", dtype=kind)
+    read = _unpack
     for k, row in enumerate(pdf.to_dict("records")):
         flagged = read(row["texts"], np.uint32)
         n = read(row["times"], np.uint32).astype(np.int64)
@@ -288,11 +306,11 @@ def _build_bucket(pdf: pd.DataFrame) -> dict:
 
 
 def _dishes(row: dict) -> Dishes:
-    sizes = np.frombuffer(row["words"], dtype=np.uint32)
+    sizes = _unpack(row["words"], np.uint32)
     return Dishes(
         np.repeat(np.arange(len(sizes)), sizes),
-        np.frombuffer(row["contexts"], dtype=np.uint16),
-        np.frombuffer(row["counts"], dtype=np.uint32).astype(np.int64),
+        _unpack(row["contexts"], np.uint16),
+        _unpack(row["counts"], np.uint32).astype(np.int64),
     )
 
 
@@ -344,18 +362,21 @@ _SUMS = "level int, place int, customers double, tables double"
 def _totals(model: DataFrame, history: list[Totals], vocabulary: int, rules: Restaurants) -> Totals:
     """Totals of all restaurants after the sweeps so far: at most contexts + parents + 1 rows reach the driver."""
 
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_dict("records"):
+            for row in _rows(batch):
                 dishes = _dishes(row)
                 for tables in chain(dishes, history, vocabulary, rules, row["bucket"]):
                     last = tables
                 found = totals_of(dishes, last)
                 for level, (customers, tables) in enumerate(zip(found.customers, found.tables)):
                     place = np.flatnonzero(customers)
-                    yield pd.DataFrame({"level": level, "place": place, "customers": customers[place], "tables": tables[place]})
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(place), level, np.int32)), pa.array(place.astype(np.int32)), pa.array(customers[place]), pa.array(tables[place])],
+                        ["level", "place", "customers", "tables"],
+                    )
 
-    sums = model.mapInPandas(add, _SUMS).groupBy("level", "place").agg(F.sum("customers").alias("customers"), F.sum("tables").alias("tables"))
+    sums = model.mapInArrow(add, _SUMS).groupBy("level", "place").agg(F.sum("customers").alias("customers"), F.sum("tables").alias("tables"))
     rows = sums.toPandas()
     out = Totals()
     for level, size in enumerate((1, PARENTS, CONTEXTS)):
@@ -385,28 +406,28 @@ def score_texts(df: DataFrame, train: Column, rules: Restaurants = Restaurants()
     state = _gather(df, train, key, text, rules)
     model = state.filter("bucket >= 0").select("bucket", "words", "contexts", "counts")
 
-    def sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_dict("records"):
+            for row in _rows(batch):
                 dishes = _dishes(row)
                 per_word = np.bincount(dishes.word, dishes.count, dishes.words)
-                yield pd.DataFrame({"v": [int((per_word > 0).sum())], "n": [int(per_word.sum())]})
+                yield pa.RecordBatch.from_pydict({"v": [int((per_word > 0).sum())], "n": [int(per_word.sum())]})
 
-    found = model.mapInPandas(sizes, "v long, n long").agg(F.coalesce(F.sum("v"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    found = model.mapInArrow(sizes, "v long, n long").agg(F.coalesce(F.sum("v"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     vocabulary, trained = int(found[0]), int(found[1])
     history: list[Totals] = []
     for _ in range(rules.sweeps + 1):
         history.append(_totals(model, history, vocabulary, rules))
     shared = df.sparkSession.sparkContext.broadcast(history)  # (contexts + parents + 1) numbers per sweep
 
-    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_dict("records"):
+            for row in _rows(batch):
                 yield _answer_bucket(row, shared.value, vocabulary, trained, rules)
 
     answers = state.filter("bucket >= 0").select(
         "bucket", "words", "contexts", "counts", "slices", "firsts", "pair", "text", "times", "busy_firsts", "busy_pair"
-    ).mapInPandas(answer, _ANSWERS)
+    ).mapInArrow(answer, _ANSWERS)
     own = state.filter("bucket < 0").select(
         "slice", "pair", "text", "times", "keys", "train", F.lit(-1).alias("bucket"),
         *[F.lit(None).cast("binary").alias(c) for c in ("sums", "logs")],
@@ -432,7 +453,7 @@ def score_texts(df: DataFrame, train: Column, rules: Restaurants = Restaurants()
 _ANSWERS = "slice long, bucket int, text binary, sums binary, logs binary"
 
 
-def _answer_bucket(row: dict, history: list[Totals], vocabulary: int, trained: int, rules: Restaurants) -> pd.DataFrame:
+def _answer_bucket(row: dict, history: list[Totals], vocabulary: int, trained: int, rules: Restaurants) -> pa.RecordBatch:
     """Per slice: sums over the bucket's rare tokens by text, and the logs of its busy pairs."""
     dishes = _dishes(row)
     mean, samples = np.zeros(len(dishes.word)), 0
@@ -444,10 +465,10 @@ def _answer_bucket(row: dict, history: list[Totals], vocabulary: int, trained: i
     per_word = np.bincount(dishes.word, dishes.count, dishes.words)
     base = np.log10((per_word + 1) / (trained + vocabulary + 1))[dishes.word]
     known = (per_word > 0).astype(np.float64)[dishes.word]
-    names = np.frombuffer(row["slices"], dtype=np.int64)
-    firsts, busy_firsts = (np.frombuffer(row[c], dtype=np.int64) for c in ("firsts", "busy_firsts"))
-    pair, busy_pair, text = (np.frombuffer(row[c], dtype=np.uint32) for c in ("pair", "busy_pair", "text"))
-    times = np.frombuffer(row["times"], dtype=np.uint32).astype(np.float64)
+    names = _unpack(row["slices"], np.int64)
+    firsts, busy_firsts = (_unpack(row[c], np.int64) for c in ("firsts", "busy_firsts"))
+    pair, busy_pair, text = (_unpack(row[c], np.uint32) for c in ("pair", "busy_pair", "text"))
+    times = _unpack(row["times"], np.uint32).astype(np.float64)
     out = []
     for k, name in enumerate(names):
         a, b = firsts[k], firsts[k + 1]
@@ -455,8 +476,10 @@ def _answer_bucket(row: dict, history: list[Totals], vocabulary: int, trained: i
         p, n = pair[a:b], times[a:b]
         sums = np.stack([np.bincount(where, n * v[p], len(ids)) for v in (log, base, known, np.ones(len(log)))]) if len(ids) else np.zeros((4, 0))
         q = busy_pair[busy_firsts[k] : busy_firsts[k + 1]]
-        out.append((int(name), row["bucket"], _pack(ids, np.uint32), sums.tobytes(), np.stack([log[q], base[q], known[q]]).tobytes()))
-    return pd.DataFrame(out, columns=["slice", "bucket", "text", "sums", "logs"])
+        out.append((int(name), row["bucket"], _pack(ids, np.uint32), _pack(sums, np.float64), _pack(np.stack([log[q], base[q], known[q]]), np.float64)))
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    columns = list(zip(*out)) or [()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["slice", "bucket", "text", "sums", "logs"])
 
 
 def _finish_slice(pdf: pd.DataFrame, trained: int) -> pd.DataFrame:
@@ -467,12 +490,12 @@ def _finish_slice(pdf: pd.DataFrame, trained: int) -> pd.DataFrame:
     sums = np.zeros((4, n))
     logs = [np.zeros((3, 0))]
     for row in pdf.iloc[1:].to_dict("records"):
-        ids = np.frombuffer(row["text"], dtype=np.uint32)
-        sums[:, ids] += np.frombuffer(row["sums"]).reshape(4, -1)
-        logs.append(np.frombuffer(row["logs"]).reshape(3, -1))
+        ids = _unpack(row["text"], np.uint32)
+        sums[:, ids] += _unpack(row["sums"], np.float64).reshape(4, -1)
+        logs.append(_unpack(row["logs"], np.float64).reshape(3, -1))
     log = np.concatenate(logs, axis=1)  # busy pairs are in bucket order
-    pair, text = (np.frombuffer(own[c], dtype=np.uint32) for c in ("pair", "text"))
-    times = np.frombuffer(own["times"], dtype=np.uint32).astype(np.float64)
+    pair, text = (_unpack(own[c], np.uint32) for c in ("pair", "text"))
+    times = _unpack(own["times"], np.uint32).astype(np.float64)
     for k in range(3):
         sums[k] += np.bincount(text, times * log[k][pair], n)
     sums[3] += np.bincount(text, times, n)
