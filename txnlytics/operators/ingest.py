@@ -181,10 +181,12 @@ def new_transactions(clean: DataFrame) -> DataFrame:
 def append_new(new: DataFrame, stored: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Rows of ``new`` whose key is not stored yet.
 
-    The stored side is reduced to its distinct keys first: the aggregation shares
-    the join's partitioning and keeps a hot stored key from piling up in one task.
+    The stored side is reduced to the keys of the delivery first. A small (pinned)
+    delivery is broadcast for that, so the store is only scanned; what is shuffled then
+    is at most as large as the delivery, each key once.
     """
-    known = stored.select(*keys).groupBy(*keys).agg(F.count("*").alias("_n")).drop("_n")
+    wanted = new.select(*keys).distinct()
+    known = stored.select(*keys).join(wanted, list(keys), "left_semi").distinct()
     return new.join(known, list(keys), "left_anti")
 
 
@@ -195,12 +197,12 @@ def ingest_summary(cleaned: DataFrame, unique: DataFrame, inserted: DataFrame |
     ``copies``), ``inserted`` the rows that were not stored yet. Without ``inserted``
     nothing was to be saved: no row counts as inserted or skipped.
     """
-    unique_counts = unique.agg(
-        F.count("*").alias("total_clean"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates_removed"),
+    counts = F.struct(
+        F.count("*").alias("total_clean"), F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates_removed")
     )
+    counted = unique.agg(counts.alias("c")).scalar()  # one struct, so that both come from one plan
     report = validation_report(cleaned)
-    n_clean = unique_counts.select("total_clean").scalar()
+    n_clean = counted["total_clean"]
     if inserted is None:
         n_inserted = n_skipped = F.lit(0).cast("bigint")
     else:
@@ -211,7 +213,7 @@ def ingest_summary(cleaned: DataFrame, unique: DataFrame, inserted: DataFrame |
         n_clean.alias("total_clean"),
         F.col("dropped_rows").alias("total_dropped"),
         "drop_rate",
-        unique_counts.select("duplicates_removed").scalar().alias("duplicates_removed"),
+        counted["duplicates_removed"].alias("duplicates_removed"),
         n_inserted.alias("db_inserted"),
         n_skipped.alias("db_skipped"),
     )

@@ -12,6 +12,7 @@ from txnlytics.functions.text import clean_text as clean_text_of
 from txnlytics.operators import anomaly, classify, forecast, iforest, ingest, reports, sampling, storage, tfidf
 from txnlytics.plans import jobs, views
 from txnlytics.plans.views import SEGMENT_COLOURS, SEGMENT_PARAMS
+from txnlytics.session import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,7 +94,8 @@ def _stored(spark, folder):
 
 
 def _fresh(spark, folder):
-    unique = ingest.dedupe(ingest.valid_rows(_cleaned(spark, folder, copies=True)))
+    cleaned = _cleaned(spark, folder, copies=True)
+    unique = materialise(ingest.dedupe(ingest.valid_rows(cleaned)), "unique")  # as the job does
     rows = ingest.new_transactions(ingest.final_columns(unique))
     return unique, ingest.append_new(rows, _stored(spark, folder))
 
