@@ -429,8 +429,8 @@ def _reaches(items: DataFrame, rules: Repeats) -> DataFrame:
     open_ = materialise(open_, "open")
     if open_.isEmpty():
         return sure
-    gram = F.xxhash64(F.substring("after", 1, rules.gram)).alias("gram")
-    named = materialise(items.select("row", "pos", gram), "grams")
+    gram = F.xxhash64(F.substring("after", 1, rules.gram))
+    named = items.select("row", "pos", gram.alias("gram"))
     # Lengths are asked for in blocks. A partner that settles a length of block [u, v] shares
     # the u bytes before the place and the length - v after it, so places are first matched
     # by the names of those strings; only places that match an asking one spell all lengths.
@@ -440,11 +440,9 @@ def _reaches(items: DataFrame, rules: Repeats) -> DataFrame:
     asking = open_.select("row", "pos", F.array_union(block("low", "high"), block("low2", "high2")).cast("array<int>").alias("own"))
     asked = named.join(asking, ["row", "pos"]).select("gram", F.explode("own").alias("k")).distinct()
     asked = materialise(asked.groupBy("gram").agg(F.collect_set("k").alias("asked")), "asked")  # a bounded number of blocks a gram
-    able = named.join(_side(asked, asked.count() * 12, rules), "gram").join(best.select("row", "pos", "most_left", "most_right"), ["row", "pos"])
-    able = able.join(asking, ["row", "pos"], "left").select("row", "pos", bottom.alias("low"), top.alias("high"), "asked", F.coalesce("own", F.array().cast("array<int>")).alias("own"))
-    reach = F.filter("asked", lambda k: (k * _STEP <= F.col("high")) & (k * _STEP + _STEP - 1 >= F.col("low")))
-    able = materialise(able.withColumn("asked", reach).filter(F.size("asked") > 0), "able")
-    texts = items.join(_side(able, able.count() * 16, rules), ["row", "pos"])
+    # The texts stay where they are: what is asked of a gram is small and comes to them.
+    texts = items.withColumn("gram", gram).join(_side(asked, asked.count() * 12, rules), "gram")
+    texts = texts.select("row", "pos", "copies", "after", "before", "asked")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -455,21 +453,27 @@ def _reaches(items: DataFrame, rules: Repeats) -> DataFrame:
                     u, v = k * _STEP, min(k * _STEP + _STEP - 1, whole - rules.gram)
                     if len(before) >= u and len(after) >= whole - v:
                         name = hashlib.blake2b(before[:u] + b"|" + after[: whole - v], digest_size=16).digest()
-                        out.append((x["row"], x["pos"], x["copies"], k, k in x["own"], name, max(u, x["low"]), min(v, x["high"])))
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.int32(), pa.int32())
+                        out.append((x["row"], x["pos"], x["copies"], k, name))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["row", "pos", "copies", "k", "asks", "name", "low", "high"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["row", "pos", "copies", "k", "name"])
 
-    met = materialise(
-        texts.mapInArrow(blocks, "row long, pos long, copies int, k int, asks boolean, name binary, low int, high int"), "blocks"
+    met = materialise(texts.mapInArrow(blocks, "row long, pos long, copies int, k int, name binary"), "blocks")
+    asks = asking.select("row", "pos", F.explode("own").alias("k"), F.lit(True).alias("asks"))
+    live = met.join(asks, ["row", "pos", "k"], "left").groupBy("k", "name").agg(
+        F.max("asks").alias("asks"), F.count("*").alias("n"), F.max("copies").alias("c")
     )
-    live = met.groupBy("k", "name").agg(F.max("asks").alias("asks"), F.count("*").alias("n"), F.max("copies").alias("c"))
     live = live.filter(F.col("asks") & ((F.col("n") > 1) | (F.col("c") > 1))).select("k", "name")
-    able = met.filter("low <= high").join(live, ["k", "name"], "left_semi").groupBy("row", "pos").agg(
-        F.array_distinct(F.flatten(F.collect_list(F.sequence("low", "high")))).alias("lengths")
-    )
+    able = met.join(live, ["k", "name"], "left_semi").groupBy("row", "pos").agg(F.collect_list("k").alias("ks"))
+    able = able.join(best.select("row", "pos", bottom.alias("low"), top.alias("high")), ["row", "pos"])
+    inside = lambda k: F.sequence(F.greatest(k * _STEP, "low"), F.least(k * _STEP + _STEP - 1, "high"))
+    open_blocks = F.filter("ks", lambda k: F.greatest(k * _STEP, "low") <= F.least(k * _STEP + _STEP - 1, "high"))
+    able = able.select("row", "pos", F.flatten(F.transform(open_blocks, inside)).alias("lengths")).filter(F.size("lengths") > 0)
     able = materialise(able, "live")
-    texts = items.join(_side(able, able.count() * 24, rules), ["row", "pos"]).select("row", "pos", "copies", "after", "before", "lengths")
+    grams = named.join(able.select("row", "pos"), ["row", "pos"], "left_semi").select("gram").distinct()
+    grams = materialise(grams, "live-grams")
+    texts = items.withColumn("gram", gram).join(_side(grams, grams.count(), rules), "gram", "left_semi")
+    texts = texts.join(_side(able, able.count() * 24, rules), ["row", "pos"]).select("row", "pos", "copies", "after", "before", "lengths")
     names = ["row", "pos", "copies", "length", "name"]
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
