@@ -99,7 +99,7 @@ def set_keys(gram: np.ndarray, owner: np.ndarray, size: np.ndarray) -> np.ndarra
 
 
 #: Pivots that every set is measured against: the universe of grams dealt to so many classes.
-CLASSES = 32
+CLASSES = 128
 
 
 def class_counts(gram: np.ndarray, owner: np.ndarray, count: int) -> list[bytes]:
@@ -109,8 +109,9 @@ def class_counts(gram: np.ndarray, owner: np.ndarray, count: int) -> list[bytes]
     count, so by the triangle inequality the counts of two sets differ, summed over the
     classes, by no more than the sets do.
     """
+    # Counts beyond 65,535 stay there: that only makes the difference smaller.
     place = owner * CLASSES + (mix(gram + np.uint64(17)) % np.uint64(CLASSES)).astype(np.int64)
-    table = np.bincount(place, minlength=count * CLASSES).astype(np.uint32).reshape(count, CLASSES)
+    table = np.bincount(place, minlength=count * CLASSES).clip(max=65_535).astype(np.uint16).reshape(count, CLASSES)
     return [row.tobytes() for row in table]
 
 
@@ -307,7 +308,7 @@ def _candidate_edges(blobs: DataFrame, docs: DataFrame, rules: Join) -> DataFram
         pdf = pdf.sort_values(["gram", "i", "j", "lead", "node"], ascending=[True, True, True, False, True]).drop_duplicates(["gram", "i", "j", "node"])
         node, size, place = (pdf[c].to_numpy(dtype=np.int64) for c in ("node", "n", "place"))
         gram, lead = pdf["gram"].to_numpy(dtype=np.int64), pdf["lead"].to_numpy(dtype=bool)
-        table = np.frombuffer(b"".join(pdf["classes"]), dtype=np.uint32).reshape(-1, CLASSES).astype(np.int32)
+        table = np.frombuffer(b"".join(pdf["classes"]), dtype=np.uint16).reshape(-1, CLASSES).astype(np.int32)
         reach = _reach(size, place, rules.percent)
         first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
         length = np.diff(np.append(first, len(gram)))
@@ -352,8 +353,6 @@ def region_links(sets: list[np.ndarray], active: np.ndarray, percent: int) -> li
         table = np.zeros((n, min(width, int(shared.sum()) - begin)), dtype=np.float32)
         table[owner[a:b], code[a:b] - begin] = 1
         common += table[lead] @ table.T
-    common = np.rint(common).astype(np.int64)
-    similar = 100 * common >= percent * (size[lead][:, None] + size[None, :] - common)
     parent = list(range(n))
 
     def find(x: int) -> int:
@@ -363,11 +362,13 @@ def region_links(sets: list[np.ndarray], active: np.ndarray, percent: int) -> li
         return x
 
     found = []
-    for k, y in zip(*np.nonzero(similar)):
-        a, b = find(int(lead[k])), find(int(y))
-        if a != b:
-            parent[a] = b
-            found.append((int(lead[k]), int(y)))
+    for k, x in enumerate(lead.tolist()):
+        shared_with = np.rint(common[k]).astype(np.int64)
+        for y in np.flatnonzero(100 * shared_with >= percent * (size[x] + size - shared_with)).tolist():
+            a, b = find(x), find(y)
+            if a != b:
+                parent[a] = b
+                found.append((x, y))
     return found
 
 
@@ -395,10 +396,10 @@ def _whole(members: DataFrame, rules: Join) -> DataFrame:
 def _blocks(members: DataFrame, rules: Join) -> DataFrame:
     """Links of regions that no pivot splits: each block of active sets against each block of members, one task a pair.
 
-    Blocks are hash ranges of about ``region`` / 2 sets, so a task's memory is bounded; a
+    Blocks are hash ranges of about 4 * ``region`` sets, so a task's memory is bounded; a
     block of active sets travels once per block of members and the other way round.
     """
-    half = rules.region // 2
+    half = 4 * rules.region
     sizes = members.groupBy("region").agg(
         F.ceil(F.sum(F.col("active").cast("int")) / half).cast("int").alias("leads"), F.ceil(F.count("*") / half).cast("int").alias("blocks")
     ).filter("leads > 0")
