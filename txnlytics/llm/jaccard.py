@@ -32,7 +32,7 @@ class Join:
     pivots: int = 8
     depth: int = 4
     ordered: int = 65_536
-    slice_bytes: int = 12 << 20
+    slice_bytes: int = 6 << 20
     bucket_grams: int = 2_000_000
 
 
@@ -396,10 +396,10 @@ def _whole(members: DataFrame, rules: Join) -> DataFrame:
 def _blocks(members: DataFrame, rules: Join) -> DataFrame:
     """Links of regions that no pivot splits: each block of active sets against each block of members, one task a pair.
 
-    Blocks are hash ranges of about 4 * ``region`` sets, so a task's memory is bounded; a
+    Blocks are hash ranges of about 2 * ``region`` sets, so a task's memory is bounded; a
     block of active sets travels once per block of members and the other way round.
     """
-    half = 4 * rules.region
+    half = 2 * rules.region
     sizes = members.groupBy("region").agg(
         F.ceil(F.sum(F.col("active").cast("int")) / half).cast("int").alias("leads"), F.ceil(F.count("*") / half).cast("int").alias("blocks")
     ).filter("leads > 0")
