@@ -110,6 +110,39 @@ def test_base_scores_and_gain_over_them(spark):
     assert all(abs(r["score"]) < 1e-9 and r["train_tokens"] == 0 for r in blind)
 
 
+def test_every_word_before_is_a_restaurant_of_its_own(spark):
+    """Scores of the first seating (one table a dish) against plain counts by the whole word before and its real ending."""
+    rng = random.Random(6)
+    words = [f"w{k}ba" for k in range(900)] + [f"{a}{b}" for a in "xyzé" for b in "aeiou"] + list("pqr")
+    texts = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(80)] + ["", "w1ba " * 300]
+    df = spark.createDataFrame([(k, t, k % 5 != 1) for k, t in enumerate(texts)], "doc_id long, text string, train boolean")
+    ending = lambda w: None if w is None else w.encode()[-2:]
+    pairs = lambda t: list(zip([None, *token_list(t)[:-1]], token_list(t)))
+    count = Counter(p for k, t in enumerate(texts) if k % 5 != 1 for p in pairs(t))
+    low, low_tables = Counter(), Counter()
+    for (c, w), n in count.items():
+        low[c] += n
+        low_tables[c] += 1
+    dish = Counter((ending(c), w) for c, w in count)
+    middle, middle_tables = Counter(), Counter()
+    for (e, w), n in dish.items():
+        middle[e] += n
+        middle_tables[e] += 1
+    top = Counter(w for _, w in dish)
+    v, d = len(top), pitman_yor.Restaurants().discounts
+
+    def chance(c, w):
+        p = 1 / (v + 1)
+        p = (top[w] - d[0] * (w in top) + (1 + d[0] * v) * p) / (1 + sum(top.values()))
+        e = ending(c)
+        p = (dish[e, w] - d[1] * ((e, w) in dish) + (1 + d[1] * middle_tables[e]) * p) / (1 + middle[e])
+        return (count[c, w] - d[2] * ((c, w) in count) + (1 + d[2] * low_tables[c]) * p) / (1 + low[c])
+
+    rules = pitman_yor.Restaurants(sweeps=0, slice_bytes=2000, bucket_bytes=4000, busy=20)
+    got = {r["doc_id"]: r["score"] for r in pitman_yor.score_texts(df, F.col("train"), rules).collect()}
+    assert got == pytest.approx({k: sum(math.log10(chance(*p)) for p in pairs(t)) for k, t in enumerate(texts)}, abs=1e-6)
+
+
 def test_predictive_probabilities_sum_to_one():
     rng = np.random.default_rng(4)
     rules = pitman_yor.Restaurants()

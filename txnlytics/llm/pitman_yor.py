@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -13,15 +14,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from txnlytics.llm.common import WordHasher, mix, slices
-from txnlytics.session import materialise
+from txnlytics.session import checkpoint_dir, materialise
 
 
 @dataclass(frozen=True)
 class Restaurants:
     """Discounts and strengths from the root down; ``sweeps`` Gibbs sweeps, the first ``burn`` of which are not averaged.
 
-    A context is the word before: 256 classes of its ending, each the parent of 256 classes
-    of the word itself. ``busy`` tokens of a word in a slice make it one whose tokens stay there.
+    A context is the word before, by its whole hash; its parent is that word's ending (two
+    bytes). ``busy`` tokens of a word in a slice make it one whose tokens stay there.
     """
 
     discounts: tuple[float, float, float] = (0.6, 0.7, 0.8)
@@ -34,28 +35,26 @@ class Restaurants:
     busy: int = 128
 
 
-CONTEXTS, PARENTS = 1 << 16, 1 << 8
-END = np.uint64(0xE4D0E4D0E4D0E4D1)
-_END_CONTEXT = np.uint16(0xE4D0)
+END = np.uint64(0xE4D0E4D0E4D0E4D1)  # the end of a text, and the empty context before its first word
+_END_ENDING = np.uint32(1 << 17)
 
 
 # --- tokens ---------------------------------------------------------------------------
 
 
-def tokens(texts: list[bytes], hasher: WordHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, context, text number) of every token: the words in order, then the end of the text."""
+def tokens(texts: list[bytes], hasher: WordHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word, context, the context's ending, text number) of every token: the words in order, then the end of the text."""
     word, start, end, owner, low = hasher.words(texts)
-    ending = low[end - 1].astype(np.uint64) | np.where(end - start > 1, low[np.maximum(end - 2, 0)], 0).astype(np.uint64) << np.uint64(8)
-    own = ((mix(ending + np.uint64(1)) & np.uint64(255)) << np.uint64(8) | (word >> np.uint64(8)) & np.uint64(255)).astype(np.uint16)
+    long = (end - start > 1).astype(np.uint32)
+    own = low[end - 1].astype(np.uint32) | long * (low[np.maximum(end - 2, 0)].astype(np.uint32) << np.uint32(8) | np.uint32(1 << 16))
     n = len(word) + len(texts)
     text = np.full(n, -1, dtype=np.int64)
     at = np.arange(len(word)) + owner
     last = np.cumsum(np.bincount(owner, minlength=len(texts))) + np.arange(len(texts)) if len(texts) else np.zeros(0, np.int64)
-    value = np.full(n, END, dtype=np.uint64)
-    value[at], text[at], text[last] = word, owner, np.arange(len(texts))
-    after = np.full(n, _END_CONTEXT, dtype=np.uint16)
-    after[at] = own
-    return value, np.concatenate([[_END_CONTEXT], after[:-1]]).astype(np.uint16) if n else after, text
+    value, ending = np.full(n, END, dtype=np.uint64), np.full(n, _END_ENDING, dtype=np.uint32)
+    value[at], ending[at], text[at], text[last] = word, own, owner, np.arange(len(texts))
+    before = lambda array, empty: np.concatenate([np.full(min(n, 1), empty, array.dtype), array[:-1]])
+    return value, before(value, END), before(ending, _END_ENDING), text
 
 
 def bucket_of(word: np.ndarray, buckets: int) -> np.ndarray:
@@ -108,7 +107,7 @@ def seat(customers: np.ndarray, base: np.ndarray, opening: np.ndarray, discount:
 
 @dataclass
 class Totals:
-    """Customers and tables of every restaurant: per context, per parent, of the root."""
+    """Customers and tables of restaurants: of the root, per parent, per context, as a bucket numbers them."""
 
     customers: list[np.ndarray] = field(default_factory=list)
     tables: list[np.ndarray] = field(default_factory=list)
@@ -116,18 +115,20 @@ class Totals:
 
 @dataclass
 class Dishes:
-    """A bucket's words: pairs (word, context) sorted by both, their counts, and where words and parents begin."""
+    """A bucket's words: pairs (word, context) sorted by both, their counts, and the words and parents they belong to."""
 
     word: np.ndarray  # of each pair, numbered in the bucket
-    context: np.ndarray
+    context: np.ndarray  # of each pair, numbered in the bucket
     count: np.ndarray
+    endings: np.ndarray | None = None  # of each context; without them all contexts have one parent
 
     def __post_init__(self) -> None:
-        parent = self.context >> 8
-        new = _new(self.word, parent)
-        self.parent_of = np.cumsum(new) - 1  # of each pair
-        self.parent = parent[new].astype(np.int64)
-        self.word_of = self.word[new]  # of each (word, parent)
+        if self.endings is None:
+            self.endings = np.zeros(int(self.context.max(initial=0)) + 1, np.uint32)
+        self.parents, under = np.unique(self.endings, return_inverse=True)
+        both = self.word.astype(np.int64) * len(self.parents) + under[self.context]
+        found, self.parent_of = np.unique(both, return_inverse=True)  # (word, parent) of each pair
+        self.word_of, self.parent = np.divmod(found, max(1, len(self.parents)))
         self.words = int(self.word[-1]) + 1 if len(self.word) else 0
 
 
@@ -151,7 +152,7 @@ def served(dishes: Dishes, tables: list[np.ndarray]) -> list[np.ndarray]:
 def totals_of(dishes: Dishes, tables: list[np.ndarray]) -> Totals:
     customers = served(dishes, tables)
     where = [np.zeros(dishes.words, np.int64), dishes.parent, dishes.context.astype(np.int64)]
-    sizes = [1, PARENTS, CONTEXTS]
+    sizes = [1, len(dishes.parents), len(dishes.endings)]
     add = lambda values: [np.bincount(w, v, s) for w, v, s in zip(where, values, sizes)]
     return Totals(add(customers), add(tables))
 
@@ -196,11 +197,11 @@ def chain(dishes: Dishes, history: list[Totals], vocabulary: int, rules: Restaur
 # --- slices and buckets -------------------------------------------------------------------
 
 _MAPPED = (
-    "bucket int, slice long, words binary, pairs binary, contexts binary, texts binary, times binary, "
+    "bucket int, slice long, places binary, endings binary, words binary, pairs binary, contexts binary, texts binary, times binary, "
     "busy_words binary, busy_pairs binary, busy_contexts binary, busy_counts binary, keys array<string>, train array<boolean>"
 )
 _STATE = (
-    "bucket int, slice long, words binary, contexts binary, counts binary, "
+    "slot long, slice long, places binary, endings binary, words binary, contexts binary, counts binary, "
     "slices binary, firsts binary, pair binary, text binary, times binary, busy_firsts binary, busy_pair binary, "
     "keys array<string>, train array<boolean>"
 )
@@ -221,6 +222,14 @@ def _unpack(raw: bytes | None, kind) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
+def _pack_hashes(sorted_hashes: np.ndarray) -> bytes:
+    return _pack(np.diff(sorted_hashes, prepend=np.uint64(0)), np.uint64)
+
+
+def _unpack_hashes(raw: bytes | None) -> np.ndarray:
+    return np.cumsum(_unpack(raw, np.uint64), dtype=np.uint64)
+
+
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
     """The rows of a batch one by one; their blobs are large, so only one row is copied at a time."""
     for k in range(batch.num_rows):
@@ -229,40 +238,43 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
 
 def _map_slice(bodies: list[bytes], train: np.ndarray, hasher: WordHasher, buckets: int, rules: Restaurants):
     """(rows for buckets, row of the slice) as dicts."""
-    word, context, text = tokens(bodies, hasher)
+    word, context, ending, text = tokens(bodies, hasher)
+    known, lead, context = np.unique(context, return_index=True, return_inverse=True)
+    ending = ending[lead]
     order = np.lexsort((text, context, word))
     word, context, text = word[order], context[order], text[order]
     first, length = _runs(_new(word))
     busy = np.repeat(length >= rules.busy, length)
     first, times = _runs(_new(word, context, text))
     word, context, text, busy = word[first], context[first], text[first], busy[first]
-    rows = {}
-
-    def by_bucket(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        edges = np.searchsorted(bucket_of(values, buckets), np.arange(buckets + 1))
-        return ((b, edges[b], edges[b + 1]) for b in range(buckets) if edges[b] < edges[b + 1])
-
     rare = ~busy
     w, c, t, n = word[rare], context[rare], text[rare], times[rare]
     flagged = t | (train[t].astype(np.int64) << 31)
-    for b, lo, hi in by_bucket(w):
-        starts, sizes = _runs(_new(w[lo:hi]))
-        rows[b] = {
-            "words": _pack(w[lo:hi][starts], np.uint64), "pairs": _pack(sizes, np.uint32), "contexts": _pack(c[lo:hi], np.uint16),
-            "texts": _pack(flagged[lo:hi], np.uint32), "times": _pack(n[lo:hi], np.uint32),
-        }
-    w, c, t, n = word[busy], context[busy], text[busy], times[busy]
-    new = _new(w, c)
+    bt, bn, new = text[busy], times[busy], _new(word[busy], context[busy])
     pair = np.cumsum(new) - 1
-    counts = np.bincount(pair, n * train[t], int(new.sum())).astype(np.int64)
-    pw, pc = w[new], c[new]
-    for b, lo, hi in by_bucket(pw):
-        starts, sizes = _runs(_new(pw[lo:hi]))
-        rows.setdefault(b, {}).update(
-            busy_words=_pack(pw[lo:hi][starts], np.uint64), busy_pairs=_pack(sizes, np.uint32),
-            busy_contexts=_pack(pc[lo:hi], np.uint16), busy_counts=_pack(counts[lo:hi], np.uint32),
-        )
-    own = {"pairs": _pack(pair, np.uint32), "texts": _pack(t, np.uint32), "times": _pack(n, np.uint32)}
+    counts = np.bincount(pair, bn * train[bt], int(new.sum())).astype(np.int64)
+    pw, pc = word[busy][new], context[busy][new]
+    rows = {}
+    edges, busy_edges = (np.searchsorted(bucket_of(values, buckets), np.arange(buckets + 1)) for values in (w, pw))
+    for b in range(buckets):
+        lo, hi, blo, bhi = edges[b], edges[b + 1], busy_edges[b], busy_edges[b + 1]
+        if lo == hi and blo == bhi:
+            continue
+        here, number = np.unique(np.concatenate([c[lo:hi], pc[blo:bhi]]), return_inverse=True)
+        rows[b] = {"places": _pack_hashes(known[here]), "endings": _pack(ending[here], np.uint32)}
+        if lo < hi:
+            starts, sizes = _runs(_new(w[lo:hi]))
+            rows[b].update(
+                words=_pack(w[lo:hi][starts], np.uint64), pairs=_pack(sizes, np.uint32), contexts=_pack(number[: hi - lo], np.uint32),
+                texts=_pack(flagged[lo:hi], np.uint32), times=_pack(n[lo:hi], np.uint32),
+            )
+        if blo < bhi:
+            starts, sizes = _runs(_new(pw[blo:bhi]))
+            rows[b].update(
+                busy_words=_pack(pw[blo:bhi][starts], np.uint64), busy_pairs=_pack(sizes, np.uint32),
+                busy_contexts=_pack(number[hi - lo :], np.uint32), busy_counts=_pack(counts[blo:bhi], np.uint32),
+            )
+    own = {"pairs": _pack(pair, np.uint32), "texts": _pack(bt, np.uint32), "times": _pack(bn, np.uint32)}
     return rows, own
 
 
@@ -272,17 +284,21 @@ def _build_bucket(pdf: pd.DataFrame) -> dict:
     busy_word, busy_context, busy_count, busy_piece = [], [], [], []
     pdf = pdf.sort_values("slice")
     read = _unpack
+    named = [_unpack_hashes(raw) for raw in pdf["places"]]
+    places, lead = np.unique(np.concatenate(named), return_index=True)
+    endings = np.concatenate([read(raw, np.uint32) for raw in pdf["endings"]])[lead]
     for k, row in enumerate(pdf.to_dict("records")):
         flagged = read(row["texts"], np.uint32)
+        number = np.searchsorted(places, named[k]).astype(np.uint32)  # of the slice's contexts
         n = read(row["times"], np.uint32).astype(np.int64)
         word.append(np.repeat(read(row["words"], np.uint64), read(row["pairs"], np.uint32)))
-        context.append(read(row["contexts"], np.uint16))
+        context.append(number[read(row["contexts"], np.uint32)])
         count.append(n * (flagged >> 31))
         text.append(flagged & 0x7FFFFFFF)
         times.append(n)
         piece.append(np.full(len(n), k))
         busy_word.append(np.repeat(read(row["busy_words"], np.uint64), read(row["busy_pairs"], np.uint32)))
-        busy_context.append(read(row["busy_contexts"], np.uint16))
+        busy_context.append(number[read(row["busy_contexts"], np.uint32)])
         busy_count.append(read(row["busy_counts"], np.uint32).astype(np.int64))
         busy_piece.append(np.full(len(busy_count[-1]), k))
     rare = sum(map(len, word))
@@ -296,7 +312,8 @@ def _build_bucket(pdf: pd.DataFrame) -> dict:
     firsts = lambda p: _pack(np.searchsorted(p, np.arange(len(pdf) + 1)), np.int64)
     return {
         "words": _pack(np.diff(np.append(np.flatnonzero(_new(word[lead])), len(lead))), np.uint32),
-        "contexts": _pack(context[lead], np.uint16),
+        "places": _pack_hashes(places), "endings": _pack(endings, np.uint32),
+        "contexts": _pack(context[lead], np.uint32),
         "counts": _pack(np.bincount(number, count, len(lead)), np.uint32),
         "slices": _pack(pdf["slice"].to_numpy(), np.int64),
         "firsts": firsts(piece[:rare]), "pair": _pack(number[:rare], np.uint32),
@@ -309,13 +326,27 @@ def _dishes(row: dict) -> Dishes:
     sizes = _unpack(row["words"], np.uint32)
     return Dishes(
         np.repeat(np.arange(len(sizes)), sizes),
-        _unpack(row["contexts"], np.uint16),
+        _unpack(row["contexts"], np.uint32),
         _unpack(row["counts"], np.uint32).astype(np.int64),
+        _unpack(row["endings"], np.uint32),
     )
 
 
-def _gather(df: DataFrame, train: Column, key: str, text: str, rules: Restaurants) -> DataFrame:
-    """The state: a row per bucket of words and a row per slice of documents."""
+def _dealt(df: DataFrame, label: str, column: str, parts: int) -> DataFrame:
+    """``df`` written once in ``parts`` buckets of ``column``, so that meeting other rows by it does not shuffle it again.
+
+    Only tables can be bucketed; the name goes at once, the files stay as those of ``materialise``.
+    """
+    spark, name = df.sparkSession, f"{label}_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark)}/txnlytics/{name}"
+    df.write.format("parquet").bucketBy(parts, column).option("path", path).option("compression", "snappy").saveAsTable(name)
+    written = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return written
+
+
+def _gather(df: DataFrame, train: Column, key: str, text: str, rules: Restaurants) -> tuple[DataFrame, int]:
+    """The state, a row per bucket of words (slot 0, 1, ...) and a row per slice of documents (slot below 0); how many buckets."""
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = df.select(F.col(key).cast("string").alias("key"), F.coalesce(train, F.lit(False)).alias("train"), body.alias("body"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()[0]
@@ -345,47 +376,110 @@ def _gather(df: DataFrame, train: Column, key: str, text: str, rules: Restaurant
 
     def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         if key[0] >= 0:
-            row = {"bucket": key[0], "slice": -1, **_build_bucket(pdf)}
+            row = {"slot": key[0], "slice": -1, **_build_bucket(pdf)}
         else:
             own = pdf.iloc[0]
-            row = {"bucket": -1, "slice": own["slice"], "pair": own["pairs"], "text": own["texts"], "times": own["times"]}
+            row = {"slot": key[0], "slice": own["slice"], "pair": own["pairs"], "text": own["texts"], "times": own["times"]}
             row |= {"keys": own["keys"], "train": own["train"]}
-        return pd.DataFrame({c: pd.Series([row.get(c)], dtype="int64" if c in ("bucket", "slice") else object) for c in columns})
-
-    lone = F.when(F.col("bucket") < 0, F.col("slice")).otherwise(-1)
-    return materialise(mapped.groupBy("bucket", lone.alias("lone")).applyInPandas(build, _STATE), "restaurants")
+        return pd.DataFrame({c: pd.Series([row.get(c)], dtype="int64" if c in ("slot", "slice") else object) for c in columns})
+
+    slot = F.when(F.col("bucket") < 0, -1 - F.col("slice")).otherwise(F.col("bucket").cast("long"))
+    return _dealt(mapped.groupBy(slot.alias("slot")).applyInPandas(build, _STATE), "restaurants", "slot", buckets), buckets
+
+
+# --- totals of restaurants ------------------------------------------------------------------
+#
+# A restaurant's total is added up at its spot: the root has one, parents and contexts are dealt by hash.
+# A bucket names its restaurants to the spots once; then only numbers go there and back, in that order.
+
+_NAMES = "spot int, slot long, level int, names binary"
+_SUMS = "spot int, slot long, customers binary, tables binary"
+_TOTALS = "slot long, spot int, customers binary, tables binary, sweep int"
+
+
+def _spots(dishes: Dishes, places: np.ndarray, spots: int) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(spot, level, the bucket's restaurants dealt to it, their names) in the order of spots."""
+    parents = dishes.parents.astype(np.uint64)
+    out = [(0, 0, np.zeros(1, np.int64), np.zeros(1, np.uint64))]
+    for level, names, hashed in ((1, parents, mix(parents + np.uint64(1))), (2, places, places)):
+        at = bucket_of(hashed, spots)
+        order = np.argsort(at, kind="stable")
+        edges = np.searchsorted(at[order], np.arange(spots + 1))
+        for k in range(spots):
+            which = order[edges[k] : edges[k + 1]]
+            if len(which):
+                out.append((1 + (level - 1) * spots + k, level, which, names[which]))
+    return out
 
 
-_SUMS = "level int, place int, customers double, tables double"
+def _history(dishes: Dishes, dealt: list, found: pd.DataFrame) -> list[Totals]:
+    """What came back from the spots for the sweeps so far; the customers of contexts do not change and came once."""
+    history: list[Totals] = []
+    for _, rows in sorted(found.groupby("sweep"), key=lambda x: x[0]):
+        back = {spot: (customers, tables) for spot, customers, tables in zip(rows["spot"], rows["customers"], rows["tables"])}
+        sizes = (1, len(dishes.parents), len(dishes.endings))
+        totals = Totals([np.zeros(n) for n in sizes], [np.zeros(n) for n in sizes])
+        for spot, level, which, _ in dealt:
+            customers, tables = back[spot]
+            totals.tables[level][which] = _unpack(tables, np.uint64)
+            if level < 2 or not history:
+                totals.customers[level][which] = _unpack(customers, np.uint64)
+        if history:
+            totals.customers[2] = history[0].customers[2]
+        history.append(totals)
+    return history
+
+
+def _add_up(names: pd.DataFrame, sums: pd.DataFrame) -> pd.DataFrame:
+    """Totals of one spot's restaurants, for every bucket that has some of them."""
+    both = names.merge(sums, on="slot").sort_values("slot")
+    keys = [_unpack_hashes(raw) for raw in both["names"]]
+    edges = np.cumsum([0, *map(len, keys)])
+    where = np.unique(np.concatenate(keys), return_inverse=True)[1] if keys else np.zeros(0, np.int64)
+    out = pd.DataFrame({"slot": both["slot"], "spot": both["spot_x"]})
+    for column in ("customers", "tables"):
+        if both[column].isna().any():  # sent in the first round only
+            out[column] = None
+            continue
+        values = np.concatenate([_unpack(raw, np.uint32) for raw in both[column]]) if keys else np.zeros(0)
+        total = np.bincount(where, values)[where]
+        out[column] = [_pack(total[a:b], np.uint64) for a, b in zip(edges[:-1], edges[1:])]
+    return out
 
 
-def _totals(model: DataFrame, history: list[Totals], vocabulary: int, rules: Restaurants) -> Totals:
-    """Totals of all restaurants after the sweeps so far: at most contexts + parents + 1 rows reach the driver."""
+def _learn(model: DataFrame, vocabulary: int, buckets: int, rules: Restaurants) -> DataFrame:
+    """The totals before and after every sweep, per bucket and spot."""
+    spots = max(8, buckets // 4)
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
-                dishes = _dishes(row)
-                for tables in chain(dishes, history, vocabulary, rules, row["bucket"]):
-                    last = tables
-                found = totals_of(dishes, last)
-                for level, (customers, tables) in enumerate(zip(found.customers, found.tables)):
-                    place = np.flatnonzero(customers)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(place), level, np.int32)), pa.array(place.astype(np.int32)), pa.array(customers[place]), pa.array(tables[place])],
-                        ["level", "place", "customers", "tables"],
-                    )
-
-    sums = model.mapInArrow(add, _SUMS).groupBy("level", "place").agg(F.sum("customers").alias("customers"), F.sum("tables").alias("tables"))
-    rows = sums.toPandas()
-    out = Totals()
-    for level, size in enumerate((1, PARENTS, CONTEXTS)):
-        part = rows[rows["level"] == level]
-        for into, name in ((out.customers, "customers"), (out.tables, "tables")):
-            values = np.zeros(size)
-            values[part["place"].to_numpy(dtype=np.int64)] = part[name].to_numpy()
-            into.append(values)
-    return out
+                for spot, level, _, names in _spots(_dishes(row), _unpack_hashes(row["places"]), spots):
+                    columns = [pa.array([spot], pa.int32()), pa.array([row["slot"]], pa.int64()), pa.array([level], pa.int32())]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array([_pack_hashes(names)], pa.binary())], ["spot", "slot", "level", "names"])
+
+    named = _dealt(model.mapInArrow(name, _NAMES), "restaurant_names", "spot", spots)
+    history = model.sparkSession.createDataFrame([], _TOTALS)
+
+    def add(key: tuple, rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        row = rows.iloc[0]
+        dishes = _dishes(row)
+        dealt = _spots(dishes, _unpack_hashes(row["places"]), spots)
+        known = _history(dishes, dealt, found)
+        for tables in chain(dishes, known, vocabulary, rules, int(row["slot"])):
+            last = tables
+        mine = totals_of(dishes, last)
+        out = []
+        for spot, level, which, _ in dealt:
+            customers = _pack(mine.customers[level][which], np.uint32) if level < 2 or not known else None
+            out.append((spot, row["slot"], customers, _pack(mine.tables[level][which], np.uint32)))
+        return pd.DataFrame(out, columns=["spot", "slot", "customers", "tables"])
+
+    for number in range(rules.sweeps + 1):
+        sums = model.groupBy("slot").cogroup(history.groupBy("slot")).applyInPandas(add, _SUMS)
+        totals = named.groupBy("spot").cogroup(sums.groupBy("spot")).applyInPandas(_add_up, _TOTALS.removesuffix(", sweep int"))
+        history = history.unionByName(materialise(totals, "restaurant-totals").withColumn("sweep", F.lit(number)))
+    return history
 
 
 def score_texts(df: DataFrame, train: Column, rules: Restaurants = Restaurants(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -400,11 +494,13 @@ def score_texts(df: DataFrame, train: Column, rules: Restaurants = Restaurants()
 
     Tokens are dealt by word. A slice ships each (word, context, text) once; words that are
     busy in a slice ship counts only, and their scores come back to the slice, so no bucket
-    gathers a frequent word's tokens. A sweep needs the restaurants' totals (a fixed number
-    of contexts); seatings are redrawn from seeds instead of being stored.
+    gathers a frequent word's tokens. A sweep needs the totals of the restaurants a bucket
+    meets; each bucket sends one number per restaurant to where these are added up and gets
+    the totals back. Seatings are redrawn from seeds instead of being stored.
     """
-    state = _gather(df, train, key, text, rules)
-    model = state.filter("bucket >= 0").select("bucket", "words", "contexts", "counts")
+    state, buckets = _gather(df, train, key, text, rules)
+    parts = ("slot", "words", "places", "endings", "contexts", "counts")
+    model = state.filter("slot >= 0").select(*parts)
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -415,20 +511,15 @@ def score_texts(df: DataFrame, train: Column, rules: Restaurants = Restaurants()
 
     found = model.mapInArrow(sizes, "v long, n long").agg(F.coalesce(F.sum("v"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     vocabulary, trained = int(found[0]), int(found[1])
-    history: list[Totals] = []
-    for _ in range(rules.sweeps + 1):
-        history.append(_totals(model, history, vocabulary, rules))
-    shared = df.sparkSession.sparkContext.broadcast(history)  # (contexts + parents + 1) numbers per sweep
+    history = _learn(model, vocabulary, buckets, rules)
+    spots = max(8, buckets // 4)
 
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in _rows(batch):
-                yield _answer_bucket(row, shared.value, vocabulary, trained, rules)
+    def answer(key: tuple, rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        return _answer_bucket(rows.iloc[0], found, spots, vocabulary, trained, rules)
 
-    answers = state.filter("bucket >= 0").select(
-        "bucket", "words", "contexts", "counts", "slices", "firsts", "pair", "text", "times", "busy_firsts", "busy_pair"
-    ).mapInArrow(answer, _ANSWERS)
-    own = state.filter("bucket < 0").select(
+    refs = state.filter("slot >= 0").select(*parts, "slices", "firsts", "pair", "text", "times", "busy_firsts", "busy_pair")
+    answers = refs.groupBy("slot").cogroup(history.groupBy("slot")).applyInPandas(answer, _ANSWERS)
+    own = state.filter("slot < 0").select(
         "slice", "pair", "text", "times", "keys", "train", F.lit(-1).alias("bucket"),
         *[F.lit(None).cast("binary").alias(c) for c in ("sums", "logs")],
     )
@@ -453,11 +544,12 @@ def score_texts(df: DataFrame, train: Column, rules: Restaurants = Restaurants()
 _ANSWERS = "slice long, bucket int, text binary, sums binary, logs binary"
 
 
-def _answer_bucket(row: dict, history: list[Totals], vocabulary: int, trained: int, rules: Restaurants) -> pa.RecordBatch:
+def _answer_bucket(row: pd.Series, found: pd.DataFrame, spots: int, vocabulary: int, trained: int, rules: Restaurants) -> pd.DataFrame:
     """Per slice: sums over the bucket's rare tokens by text, and the logs of its busy pairs."""
     dishes = _dishes(row)
+    history = _history(dishes, _spots(dishes, _unpack_hashes(row["places"]), spots), found)
     mean, samples = np.zeros(len(dishes.word)), 0
-    for number, tables in enumerate(chain(dishes, history[:-1], vocabulary, rules, row["bucket"])):
+    for number, tables in enumerate(chain(dishes, history[:-1], vocabulary, rules, int(row["slot"]))):
         if number > rules.burn or rules.sweeps <= rules.burn:
             mean += probabilities(dishes, tables, history[number], vocabulary, rules)[2]
             samples += 1
@@ -476,10 +568,8 @@ def _answer_bucket(row: dict, history: list[Totals], vocabulary: int, trained: i
         p, n = pair[a:b], times[a:b]
         sums = np.stack([np.bincount(where, n * v[p], len(ids)) for v in (log, base, known, np.ones(len(log)))]) if len(ids) else np.zeros((4, 0))
         q = busy_pair[busy_firsts[k] : busy_firsts[k + 1]]
-        out.append((int(name), row["bucket"], _pack(ids, np.uint32), _pack(sums, np.float64), _pack(np.stack([log[q], base[q], known[q]]), np.float64)))
-    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-    columns = list(zip(*out)) or [()] * 5
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["slice", "bucket", "text", "sums", "logs"])
+        out.append((int(name), int(row["slot"]), _pack(ids, np.uint32), _pack(sums, np.float64), _pack(np.stack([log[q], base[q], known[q]]), np.float64)))
+    return pd.DataFrame(out, columns=["slice", "bucket", "text", "sums", "logs"])
 
 
 def _finish_slice(pdf: pd.DataFrame, trained: int) -> pd.DataFrame:
