@@ -92,6 +92,21 @@ def test_ranks_are_dense_per_stratum(spark):
         assert row[1] == 1 and row[2] == row[3] == row[4]
 
 
+def test_a_text_with_most_of_a_class_is_ranked_in_parts(spark, monkeypatch):
+    """The window that numbers rows holds no more of one text than a partition of the input."""
+    windows = []
+    of = sampling.Window.partitionBy
+    monkeypatch.setattr(sampling.Window, "partitionBy", staticmethod(lambda *keys: windows.append(keys) or of(*keys)))
+    df = spark.range(0, 4000, 1, 8).select(F.lit("k").alias("k"), F.when(F.col("id") % 10 > 0, "same").otherwise(F.col("id").cast("string")).alias("text"))
+    got = sampling.stratum_ranks(df, "k", "text", 1)
+    assert sorted(r["rank"] for r in got.collect()) == list(range(1, 4001))
+    ranks = sorted(r["rank"] for r in got.filter("text = 'same'").collect())
+    assert ranks == list(range(ranks[0], ranks[0] + 3600))  # equal texts stay neighbours
+    rows = df.withColumn("_hash", F.md5("text")).withColumn("_bucket", F.substring("_hash", 1, 3)).withColumn("_part", F.spark_partition_id())
+    largest = rows.groupBy(*windows[-1]).count().agg(F.max("count")).first()[0]
+    assert largest <= 500
+
+
 def test_class_weights(spark):
     df = spark.createDataFrame([("a",)] * 3 + [("b",)], "category string")
     assert {r.category: r.weight for r in classify.class_weights(df).collect()} == {"a": 4 / 6, "b": 2.0}

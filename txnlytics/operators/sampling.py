@@ -8,36 +8,50 @@ from txnlytics.params import Params
 from txnlytics.session import materialise
 
 _P = Params()
-_BUCKET_DIGITS = 3
+_BUCKET_DIGITS = 3  # at least
+_BUCKET_GROUPS = 4096  # of the largest stratum in a bucket, on average
 
 
 def stratum_ranks(df: DataFrame, stratum: str, row_id: str, seed: int) -> DataFrame:
     """``rank`` 1..n of every row within its stratum in hash order, with ``stratum_rows``.
 
-    The rank is the row's place in its hash bucket plus the rows of the buckets
-    before it. Tasks hold one bucket (1/4096 of a stratum), never a whole stratum,
-    so a class with a third of all rows is ranked in parallel.
+    The rows of an id in one input partition are a group with a count; groups are ranked by
+    running counts, in hash buckets whose number follows the largest stratum's groups. A
+    window holds one bucket's groups or one group's rows, so neither a stratum nor an id
+    with a large share of all rows lands in one task.
     """
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string")))
-    hashed = df.withColumn("_hash", digest).withColumn("_bucket", F.substring("_hash", 1, _BUCKET_DIGITS))
-    sizes = hashed.groupBy(stratum, "_bucket").agg(F.count("*").alias("_n"))
+    rows = materialise(df.withColumn("_hash", digest).withColumn("_part", F.spark_partition_id()), "stratum-rows")
+    groups = materialise(rows.groupBy(stratum, "_hash", "_part").agg(F.count("*").alias("_n")), "stratum-groups")
+    most = groups.groupBy(stratum).count().agg(F.max("count")).first()[0] or 0
+    digits = _BUCKET_DIGITS
+    while 16**digits * _BUCKET_GROUPS < most:
+        digits += 1
+    groups = groups.withColumn("_bucket", F.substring("_hash", 1, digits))
+    sizes = groups.groupBy(stratum, "_bucket").agg(F.sum("_n").alias("_rows"))
     whole = Window.partitionBy(stratum)
     earlier = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialise(
+    buckets = materialise(
         sizes.select(
             stratum,
             "_bucket",
-            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-            F.sum("_n").over(whole).alias("stratum_rows"),
+            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+            F.sum("_rows").over(whole).alias("stratum_rows"),
         ),
         "stratum-offsets",
     )
-    place = F.row_number().over(Window.partitionBy(stratum, "_bucket").orderBy("_hash", row_id))
+    inside = Window.partitionBy(stratum, "_bucket").orderBy("_hash", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = groups.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(buckets, [stratum, "_bucket"])
+    offsets = materialise(
+        begins.select(stratum, "_hash", "_part", (F.col("_before") + F.col("_inside")).alias("_before"), "stratum_rows"),
+        "stratum-begins",
+    )
+    place = F.row_number().over(Window.partitionBy(stratum, "_hash", "_part").orderBy(row_id))
     return (
-        hashed.withColumn("_place", place)
-        .join(offsets, [stratum, "_bucket"])
+        rows.withColumn("_place", place)
+        .join(offsets, [stratum, "_hash", "_part"])
         .withColumn("rank", F.col("_before") + F.col("_place"))
-        .drop("_hash", "_bucket", "_place", "_before")
+        .drop("_hash", "_part", "_place", "_before")
     )
 
 
