@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txnlytics.llm import chat, exact, jaccard, language, mixing, packing, pitman_yor, quality, sharding, suffix
+from txnlytics.llm import (
+    chat, exact, jaccard, language, mixing, packing, pitman_yor, quality, runs, sharding, spelling, suffix, vectors
+)
 from txnlytics.llm.chat import Argument
+from txnlytics.llm.common import words_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,3 +122,53 @@ def op9_source_mixing(spark, folder):
 def op10_suffix_array_dedup(spark, folder):
     cleaned = suffix.remove_repeats(_table(spark, folder, "documents"))
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op11_spelling_variants(spark, folder):
+    """Every run whose checksum 199 divides loses a letter, as a slip of the pen would take it."""
+    rules = spelling.Variants()
+    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    found = _table(spark, folder, "documents").select(ident.alias("ident"), F.explode(spelling.letter_runs(F.col("text"), rules.min_chars)).alias("run"))
+    hashed = found.withColumn("h", F.crc32(F.concat_ws(":", "ident", "run").cast("binary")))
+    gap = (F.col("h") % F.length("run")).cast("int")
+    slipped = F.concat(F.substring("run", F.lit(1), gap), F.substring("run", gap + 2, F.length("run")))
+    words = hashed.select(F.when(F.col("h") % 199 == 0, slipped).otherwise(F.col("run")).alias("word"))
+    return spelling.spelling_forms(spelling.count_words(words, rules=rules), rules)
+
+
+def _with_period(docs: DataFrame) -> DataFrame:
+    """In every tenth text (by checksum of its id) the words from some place on repeat with a period."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    chosen = docs.withColumn("h", h).withColumn("w", F.when(F.col("h") % 10 == 0, words_of(F.col("text"))))
+    g, n = F.floor(F.col("h") / 10), F.size("w")
+    begun = chosen.withColumn("n", n.cast("long")).withColumn("a", F.when(F.col("n") > 0, g % F.col("n")))
+    places = begun.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8)))
+    block = F.slice("w", (F.col("a") + 1).cast("int"), F.col("p").cast("int"))
+    rest = F.col("n") - F.col("a")
+    repeated = F.flatten(F.array_repeat(block, F.ceil(rest / F.col("p")).cast("int")))
+    whole = F.concat(F.slice("w", F.lit(1), F.col("a").cast("int")), F.slice(repeated, F.lit(1), rest.cast("int")))
+    return places.select("doc_id", F.when(F.col("n") > 0, F.array_join(whole, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark, folder):
+    found = runs.periodic_runs(_with_period(_table(spark, folder, "documents").select("doc_id", "text")))
+    order = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    best = found.withColumn("best", F.array_max(order))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(-1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_embedding_near_dedup(spark, folder):
+    return vectors.near_vectors(_table(spark, folder, "embeddings"))

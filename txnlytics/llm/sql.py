@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from txnlytics.llm import mixing, quality
+from txnlytics.llm import mixing, quality, runs, spelling, vectors
 
 _BLANK = r"[\x20\x09-\x0D]+"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -141,10 +141,136 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_
 """
 
 
+#: Table t of the checksum's 256 values for one byte (CRC-32, reflected).
+_CRC_TABLE = """crc AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+         lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS t
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)
+)"""
+
+
+def _crc(codes: str) -> str:
+    """Checksum of a list of byte values; ``t`` is the table above."""
+    step = "lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INTEGER) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), {step}), 4294967295)"
+
+
+def _spelling() -> str:
+    rules = spelling.Variants()
+    return rf"""
+WITH RECURSIVE {_CRC_TABLE}, r AS (
+  SELECT doc_id, run, count(*) AS times FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), '{spelling.UPPER}', '{spelling.LOWER}'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+    FROM documents)
+  WHERE length(run) >= {rules.min_chars} GROUP BY ALL
+), b AS (
+  SELECT run, times, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+    lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [195, CAST(ord(c) - 64 AS BIGINT)] END)) AS codes
+  FROM r
+), h AS (
+  SELECT run, times, {_crc("codes")} AS h FROM b CROSS JOIN crc
+), v AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, times FROM h)
+  WHERE length(word) >= {rules.min_chars} GROUP BY 1 HAVING sum(times) >= {rules.min_count}
+), gap AS (
+  SELECT word, n, i, word[1 : i - 1] AS x, word[i + 1 :] AS y FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)
+), pair AS (
+  SELECT p.word, p.n, q.word AS other, q.n AS other_n FROM gap p JOIN gap q ON p.i = q.i AND p.x = q.x AND p.y = q.y AND p.word <> q.word
+  UNION
+  SELECT g.word, g.n, v.word, v.n FROM gap g JOIN v ON g.x || g.y = v.word
+  UNION
+  SELECT v.word, v.n, g.word, g.n FROM gap g JOIN v ON g.x || g.y = v.word
+), near AS (
+  SELECT word, count(*) AS n_near, min(struct_pack(m := -other_n, w := other)) AS best FROM pair GROUP BY word
+), f AS (
+  SELECT v.word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN -best.m >= {rules.ratio} * n THEN best.w END AS form, CASE WHEN -best.m >= {rules.ratio} * n THEN -best.m END AS form_n
+  FROM v LEFT JOIN near USING (word)
+), chain AS (
+  SELECT word, word AS root, form AS next FROM f
+  UNION ALL
+  SELECT chain.word, f.word, f.form FROM chain JOIN f ON chain.next = f.word
+)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, c.root FROM f JOIN (SELECT word, root FROM chain WHERE next IS NULL) c USING (word)
+"""
+
+
+def _runs() -> str:
+    rules = runs.Runs()
+    return rf"""
+WITH {_CRC_TABLE}, d AS (
+  SELECT rowid_ AS k, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w,
+         {_crc("list_transform(list_filter(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda c: c <> ''), lambda c: CAST(ord(c) AS BIGINT))")} AS h
+  FROM (SELECT *, row_number() OVER () AS rowid_ FROM documents) CROSS JOIN crc
+), a AS (
+  SELECT *, h // 10 AS g, (h // 10) % greatest(length(w), 1) AS a FROM d
+), p AS (
+  SELECT *, 1 + (length(w) - a) // (3 + g % 8) AS p FROM a
+), t AS (
+  SELECT k, doc_id, CASE WHEN h % 10 = 0 THEN list_transform(range(length(w)), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END)
+                    ELSE w END AS w
+  FROM p
+), word AS (
+  SELECT k, length(w) AS n, unnest(w) AS s, unnest(range(length(w))) AS i FROM t
+), same AS (
+  SELECT x.k, y.i - x.i AS q, x.i FROM word x JOIN word y ON x.k = y.k AND x.s = y.s AND y.i > x.i
+  WHERE (y.i - x.i) * {rules.exponent} <= x.n
+), stretch AS (
+  SELECT k, q, min(i) AS start, count(*) + q AS length FROM (
+    SELECT k, q, i, i - row_number() OVER (PARTITION BY k, q ORDER BY i) AS island FROM same)
+  GROUP BY k, q, island HAVING count(*) + q >= greatest({rules.min_words}, {rules.exponent} * q)
+), run AS (
+  SELECT k, start, length, q AS period FROM stretch s WHERE NOT EXISTS (
+    SELECT 1 FROM stretch o WHERE o.k = s.k AND o.q < s.q AND o.start <= s.start AND o.start + o.length >= s.start + s.length)
+), gone AS (
+  SELECT DISTINCT k, unnest(range(start + period, start + length)) AS i FROM run
+), kept AS (
+  SELECT word.k, string_agg(s, ' ' ORDER BY i) AS c FROM word ANTI JOIN gone USING (k, i) GROUP BY word.k
+), listed AS (
+  SELECT k, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+         first(struct_pack(s := start, l := length, p := period) ORDER BY length DESC, start, period) AS best
+  FROM run GROUP BY k
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(best.l AS BIGINT) AS length, CAST(best.p AS BIGINT) AS period,
+       CAST(1000 * best.l // best.p AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(c, '')) AS collapsed_sha256
+FROM t LEFT JOIN listed USING (k) LEFT JOIN kept USING (k)
+"""
+
+
+def _vectors() -> str:
+    return f"""
+WITH RECURSIVE e AS (
+  SELECT row_number() OVER () AS k, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), u AS (
+  SELECT k, v, sqrt(list_dot_product(v, v)) AS norm FROM e
+  WHERE length(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.k AS a, b.k AS b FROM u a JOIN u b ON a.k <> b.k AND length(a.v) = length(b.v)
+  WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= {vectors.Near().cosine}
+), reach AS (
+  SELECT k AS a, k AS b FROM e
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), low AS (
+  SELECT reach.a AS k, min(vec_id) AS component_id FROM reach JOIN e ON reach.b = e.k GROUP BY 1
+), n AS (
+  SELECT a AS k, count(*) AS n FROM link GROUP BY 1
+)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM e LEFT JOIN n USING (k) JOIN low USING (k)
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op4_quality_rules": _quality(),
         "op6_exact_dedup": _exact(),
         "op7_ngram_jaccard_join": _jaccard(),
         "op9_source_mixing": _mixing(),
+        "op11_spelling_variants": _spelling(),
+        "op12_periodic_runs": _runs(),
+        "op13_embedding_near_dedup": _vectors(),
     }
