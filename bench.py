@@ -30,6 +30,8 @@ HEADLINE = (
     "ngram_vocab",
     "tfidf_weights",
     "classify_batch",
+    "classify_fitted",
+    "statement_run",
 )
 
 

@@ -141,10 +141,10 @@ class TestForest:
         for row in got[::97] + got[-2:]:
             paths = []
             for tree in range(5):
-                node = nodes[tree, 0]
+                node = nodes[tree, 1]
                 while node.feature >= 0:
                     left = row[1 + node.feature] <= node.threshold
-                    node = nodes[tree, node.left if left else node.right]
+                    node = nodes[tree, 2 * node.node + (not left)]
                 paths.append(node.path)
             want = -(2 ** (-np.mean(paths) / iforest.expected_path(64)))
             assert row.score == pytest.approx(want, abs=1e-6)

@@ -1,8 +1,10 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
-from txnlytics.operators import classify
+from txnlytics.functions.keys import category_key
+from txnlytics.operators import classify, storage
 from txnlytics.params import CATEGORY_COLOURS, Params
 from txnlytics.plans import jobs, pages
 from txnlytics.sources.store import TableStore
@@ -156,11 +158,53 @@ def test_file_drop_picks_up_each_file_once(spark, tmp_path):
     (tmp_path / "drop" / "a.csv").write_text(statement(months=1, outlier=False))
     first = take()
     assert (first.total_read, first.db_inserted, first.duplicates_removed) == (16, 12, 1)
-    (tmp_path / "drop" / "b.csv").write_text(statement(months=2, outlier=False))
+    # Another layout, a name with blanks, and two files that can't be used.
+    (tmp_path / "drop" / "b [2].csv").write_text(statement(months=2, outlier=False).replace(HEADER, "Dt,Particulars,Withdrawal,Kind\n"))
+    (tmp_path / "drop" / "bad.csv").write_text("when,what\n1/1/2024,x\n")
+    (tmp_path / "drop" / "empty.csv").write_text("")
     second = take()
-    assert second.total_read == 16 + 28 and second.db_inserted == 12
-    assert take().db_inserted == 0
+    assert (second.total_read, second.db_inserted, second.db_skipped) == (28, 12, 12)
+    assert tuple(take()) == (0, 0, 0, 0.0, 0, 0, 0)
     assert store.read("transactions").count() == 24
+    log = {r.file.rsplit("/", 1)[1]: r for r in store.read("file_log").collect()}
+    assert {f: (r.total_read, r.total_dropped) for f, r in log.items()} == {
+        "a.csv": (16, 3), "b%20%5B2%5D.csv": (28, 3), "bad.csv": (0, 0)
+    }  # a scan passes over empty files, so one is taken up when it has content
+    assert "Missing required columns" in log["bad.csv"].problem and log["a.csv"].layout == HEADER.strip()
+
+
+def test_month_totals_follow_appends_and_equal_a_recount(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    jobs.seed_categories(spark, store)
+
+    def total_rows():
+        return sorted(((r.year_month, r.category_id, r.total, r.n) for r in store.read("month_totals").collect()), key=repr)
+
+    def recount():
+        rows = storage.month_totals(store.read("transactions")).collect()
+        return sorted(((r.year_month, r.category_id, r.total, r.n) for r in rows), key=repr)
+
+    (tmp_path / "a.csv").write_text(statement(months=3, outlier=False))
+    jobs.ingest_files(spark, str(tmp_path / "a.csv"), store)
+    assert total_rows() == recount() and len(total_rows()) == 3
+    untouched = [f for f in store.read("month_totals").inputFiles() if "2024-01" in f]
+    (tmp_path / "b.csv").write_text(HEADER + "05/03/2024,NEW SHOP,10.00,Debit\n")
+    jobs.ingest_files(spark, str(tmp_path / "b.csv"), store)
+    assert total_rows() == recount() and sum(n for *_, n in total_rows()) == 37
+    assert [f for f in store.read("month_totals").inputFiles() if "2024-01" in f] == untouched
+
+    # Rows of a category that the dimension lacks count as Other; rows without one do not count.
+    facts = store.read("transactions")
+    some = F.when(F.col("description").startswith("kfc"), category_key(F.lit("Food & Dining"))).when(F.col("description").startswith("uber"), F.lit(-5))
+    store.update("transactions", facts.withColumn("category_id", some))
+    jobs.refresh_totals(store)
+    assert total_rows() == recount()
+    run = jobs.run_forecast(store)
+    got = {r.category: (r.history_months, [h.total for h in r.history]) for r in run.forecasts.collect()}
+    food = [sum(100 * m + i + 0.5 for i in range(0, 12, 3)) for m in (1, 2, 3)]
+    rides = [sum(100 * m + i + 0.5 for i in range(2, 12, 3)) for m in (1, 2, 3)]
+    assert got == {"Food & Dining": (3, food), "Other": (3, rides)}
+    assert store.read("forecasts").count() == 2  # the seeded dimension has an Other of its own
 
 
 def test_model_loads_in_predict(spark, model_path):

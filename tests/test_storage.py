@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from txnlytics.functions.labels import title_case
 from txnlytics.operators import ingest, reports, storage
-from txnlytics.params import FORECASTS
+from txnlytics.params import FORECASTS, TRANSACTIONS
 from txnlytics.sources.store import TableStore
 
 FACTS = "txn_id string, date date, description string, amount decimal(12,2), category string, is_anomaly boolean, confidence double"
@@ -129,22 +129,59 @@ class TestStore:
         assert store.read("transactions").count() == 3
         february = store.read("transactions", ["2024-02"])
         assert february.count() == 2
-        # A frame taken before an update keeps seeing the state it was planned on.
-        store.replace("transactions", february.withColumn("is_anomaly", F.lit(True)), ["2024-02"])
-        assert february.filter("is_anomaly").count() == 0
+        store.update("transactions", february.withColumn("is_anomaly", F.lit(True)))
         now = {(r.year_month, r.is_anomaly) for r in store.read("transactions").collect()}
         assert now == {("2024-01", False), ("2024-02", True)}
+        assert store.read("transactions").columns == TRANSACTIONS.fieldNames()
 
-    def test_concurrent_writer_is_refused(self, spark, tmp_path):
+    def test_an_update_touches_no_other_month(self, spark, tmp_path):
+        store = TableStore(spark, str(tmp_path / "store"))
+        store.append("transactions", self.facts(spark, date(2024, 1, 1), date(2024, 2, 1)))
+        january = [f for f in store.read("transactions").inputFiles() if "2024-01" in f]
+        store.update("transactions", store.read("transactions", ["2024-02"]))
+        store.update("transactions", store.read("transactions", ["2024-02"]).limit(0))
+        assert [f for f in store.read("transactions").inputFiles() if "2024-01" in f] == january
+        assert store.read("transactions").count() == 2
+
+    def test_forecasts_are_partitioned_by_their_month(self, spark, tmp_path):
+        store = TableStore(spark, str(tmp_path / "store"))
+        months = [date(2024, 5, 1), date(2024, 6, 1)]
+        rows = spark.createDataFrame([(k, m, Decimal("1.00"), None, None) for k in (1, 2) for m in months], FORECASTS)
+        store.append("forecasts", rows)
+        store.update("forecasts", store.read("forecasts", months[:1]).withColumn("predicted_amount", F.lit(Decimal("2.00"))))
+        got = sorted((r.category_id, r.forecast_month, r.predicted_amount) for r in store.read("forecasts").collect())
+        assert got == [(k, m, Decimal(2 if m == months[0] else 1)) for k in (1, 2) for m in months]
+        with pytest.raises(ValueError, match="no partitions"):
+            store.update("anomalies", store.read("anomalies"))
+
+    def test_many_appends_are_one_path_and_compact_to_few_files(self, spark, tmp_path):
+        store = TableStore(spark, str(tmp_path / "store"))
+        one = self.facts(spark, date(2024, 1, 1)).coalesce(1)
+        for k in range(100):
+            one.withColumn("year_month", F.lit("2024-01" if k % 10 else "2024-02")).write.mode("append").partitionBy("year_month").parquet(
+                f"{store.root}/transactions"
+            )
+        frame = store.read("transactions")
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryFileIndex(1 paths)" in plan and len(frame.inputFiles()) == 100
+        before = sorted(map(tuple, frame.collect()), key=repr)
+        assert store.compact("transactions", more_than=10) == ["2024-01"]
+        after = store.read("transactions")
+        assert len(after.inputFiles()) < 15 and sorted(map(tuple, after.collect()), key=repr) == before
+        assert store.compact("transactions", more_than=10) == []
+
+    def test_a_failed_write_leaves_the_rows(self, spark, tmp_path):
         store = TableStore(spark, str(tmp_path / "store"))
         store.append("transactions", self.facts(spark, date(2024, 1, 1)))
-        with pytest.raises(RuntimeError, match="another job"):
-            store._publish("transactions", 0, [])
-        assert store.read("transactions").count() == 1
+        broken = store.read("transactions").withColumn("description", F.raise_error(F.lit("stop")).cast("string"))
+        for write in (store.append, store.update):
+            with pytest.raises(Exception, match="stop"):
+                write("transactions", broken)
+        assert [r.description for r in store.read("transactions").collect()] == ["row 2024-01-01"]
 
     def test_month_pruning_reaches_the_scan(self, spark, tmp_path):
         store = TableStore(spark, str(tmp_path / "store"))
         store.append("transactions", self.facts(spark, date(2024, 1, 1), date(2024, 2, 1)))
-        plan = store.read("transactions").filter("year_month = '2024-01'").select("amount")
+        plan = store.read("transactions", ["2024-01"]).select("amount")
         text = plan._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(year_month" in text and "ReadSchema: struct<amount" in text

@@ -1,3 +1,8 @@
+import math
+import re
+from collections import Counter
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,16 +130,14 @@ def test_predictions(spark, model):
 
 def test_optimum_satisfies_the_penalised_objective(labelled, model):
     """Gradient of C * sum(w * loss) + |W|^2 / 2 vanishes at the fitted coefficients."""
-    import numpy as np
-    from pyspark.ml.functions import vector_to_array
-
-    fitted = model.stages[5]
-    rows = model.transform(labelled).select("category", vector_to_array("features").alias("x")).collect()
-    labels = classify.class_labels(model)
-    x = np.array([r.x for r in rows])
+    rows = model.rows(labelled).select("category", "position", "weight").collect()
+    labels = list(model.labels)
+    x = np.zeros((len(rows), len(model.terms)))
+    for k, r in enumerate(rows):
+        x[k, r.position] = r.weight
     y = np.array([labels.index(r.category) for r in rows])
-    w = fitted.coefficientMatrix.toArray()
-    logits = x @ w.T + fitted.interceptVector.toArray()
+    w = model.coefficients
+    logits = x @ w.T + np.array(model.intercepts)
     prob = np.exp(logits - logits.max(axis=1, keepdims=True))
     prob /= prob.sum(axis=1, keepdims=True)
     gradient = 5.0 * (prob - np.eye(3)[y]).T @ x + w
@@ -143,9 +146,11 @@ def test_optimum_satisfies_the_penalised_objective(labelled, model):
 
 def test_model_round_trip(spark, labelled, model, tmp_path):
     path = str(tmp_path / "model")
-    classify.save_model(model, path)
+    classify.save_model(spark, model, path)
+    classify.save_model(spark, model, path)
     loaded = classify.load_model(spark, path)
-    assert classify.class_labels(loaded) == ["Food", "Transport", "Utilities"]
+    assert loaded.labels == ("Food", "Transport", "Utilities")
+    assert (loaded.coefficients == model.coefficients).all() and loaded.idf == model.idf
     columns = ("id", "predicted_category", "predicted_confidence")
     before = classify.predict(labelled, model).select(*columns).collect()
     assert classify.predict(labelled, loaded).select(*columns).collect() == before
@@ -175,3 +180,67 @@ def test_report_without_hits(spark):
     assert got["b"] == (0.0, 0.0, 0.0, 0)
     assert got["a"] == (1.0, 0.5, 0.6667, 2)
     assert got["macro avg"][3] == 3
+
+
+def python_predictions(rows, model):
+    """Probabilities by class of each text, from the model's numbers and plain Python."""
+    out = []
+    for text in rows:
+        found = re.findall("[a-z]+", (text or "").lower())
+        found = [w for w in found if len(w) > 2 and w not in ("the", "and", "for", "ltd", "pvt")]
+        counts = Counter(found + [f"{a} {b}" for a, b in zip(found, found[1:])])
+        x = np.array([(1 + math.log(counts[t])) * w if counts[t] else 0.0 for t, w in zip(model.terms, model.idf)])
+        x = x / np.linalg.norm(x) if x.any() else x
+        e = np.exp((m := model.coefficients @ x + np.array(model.intercepts)) - m.max())
+        out.append(e / e.sum())
+    return out
+
+
+@pytest.mark.parametrize("learn", [classify.fit, classify.fit_centroids])
+@pytest.mark.parametrize("classes", [2, 3])
+def test_scores_equal_plain_python(spark, labelled, learn, classes):
+    some = labelled if classes == 3 else labelled.filter("category <> 'Food'")
+    model = learn(some, Params(vocabulary=40))
+    texts = ["uber uber trip gas bill bill bill", "kfc restaurant", "", None, "nothing known", "LESCO bill"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "_m int, description string")
+    got = {r["_m"]: r for r in classify.predict(df, model).collect()}
+    for k, want in enumerate(python_predictions(texts, model)):
+        order = sorted(range(classes), key=lambda c: (-want[c], c))
+        assert [t.category for t in got[k].top3] == [model.labels[c] for c in order]
+        assert [t.probability for t in got[k].top3] == pytest.approx([want[c] for c in order], abs=6e-5)
+        assert got[k].predicted_category == model.labels[order[0]]
+
+
+def test_scoring_has_no_python_step(labelled, model):
+    plan = classify.predict(labelled, model)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_centroids_separate_the_classes(labelled):
+    model = classify.fit_centroids(labelled)
+    assert np.linalg.norm(model.coefficients, axis=1) == pytest.approx([20.0] * 3)
+    assert classify.accuracy(classify.predict(labelled, model)) == 1.0
+
+
+def test_fold_counts_by_subtraction_equal_a_recount(labelled):
+    folded = sampling.stratified_folds(labelled, "category", "id", Params(folds=3))
+    counts = tfidf.ngram_counts(folded, by=("fold",))
+    for k in range(3):
+        outside = folded.filter(F.col("fold") != k)
+        want = sorted(map(tuple, tfidf.ngram_counts(outside).collect()))
+        assert sorted((r.term, r.n_total, r.n_docs) for r in tfidf.without_fold(counts, k).collect()) == want
+
+
+def test_fold_vocabulary_and_weights_equal_separate_ones(labelled):
+    p = Params(folds=3, vocabulary=20)
+    folded = sampling.stratified_folds(labelled, "category", "id", p).cache()
+    counts = tfidf.ngram_counts(folded, by=("fold",)).cache()
+    for k in range(3):
+        outside = folded.filter(F.col("fold") != k)
+        got = tfidf.collect_vocabulary(tfidf.top_terms(tfidf.without_fold(counts, k), F.lit(outside.count()), p))
+        want = tfidf.collect_vocabulary(tfidf.vocabulary(outside, p=p))
+        assert [(v["term"], v["n_total"], v["n_docs"], v["idf"]) for v in got] == [tuple(v) for v in want]
+        given = classify.fit(outside, p, got)
+        assert np.allclose(given.coefficients, classify.fit(outside, p).coefficients, atol=1e-4)
+    scores = classify.cross_validate(labelled, "id", p)
+    assert len(scores) == 3 and all(0 <= s <= 1 for s in scores)

@@ -33,7 +33,8 @@ def missing_to_null(cell: Column) -> Column:
 def date_text(cell: Column) -> Column:
     """Trimmed cell without a weekday before and a time of day after the date."""
     text = F.regexp_replace(missing_to_null(cell), _SPACE_ENDS, "")
-    return F.regexp_replace(F.regexp_replace(text, _TIME_SUFFIX, ""), _WEEKDAY, "")
+    timeless = F.when(text.contains(":"), F.regexp_replace(text, _TIME_SUFFIX, "")).otherwise(text)
+    return F.when(timeless.rlike("^[A-Za-z]"), F.regexp_replace(timeless, _WEEKDAY, "")).otherwise(timeless)
 
 
 def _century(year: Column) -> Column:
@@ -41,47 +42,62 @@ def _century(year: Column) -> Column:
     return F.when(F.length(year) == 4, year).when(year >= "69", F.concat(F.lit("19"), year)).otherwise(F.concat(F.lit("20"), year))
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _iso(year: Column, month: Column, day: Column) -> Column:
+    """Cast of the parts, so invalid ones cost no parser exception."""
+    return F.concat_ws("-", year, month, day).try_cast("date")
+
+
+_FOUND = "="  # no date holds it
+
+
 def _named_date(text: Column) -> Column:
-    """``15 Jan 2024``, ``15Jan24``, ``Jan 15, 2024``, ``Jan 2024`` (its first day) and the like."""
-    shapes = [(_DAY_FIRST, 1, 2, 3), (_NAME_FIRST, 2, 1, 3), (_MONTH_ONLY, None, 1, 2)]
-    found = []
-    for pattern, day, name, year in shapes:
-        part = lambda k: F.regexp_extract(text, pattern, k)  # noqa: E731, B023
-        known = F.lower(F.substring(part(name), 1, 3))
-        month = F.element_at(F.create_map(*[F.lit(x) for k, m in enumerate(MONTHS, 1) for x in (m, f"{k:02d}")]), known)
-        made = F.concat_ws("-", _century(part(year)), F.coalesce(month, F.lit("x")), F.lit("01") if day is None else part(day))
-        found.append(F.when(text.rlike(pattern), made.try_cast("date")))
-    return F.coalesce(*found)
+    """``15 Jan 2024``, ``15Jan24``, ``Jan 15, 2024``, ``Jan 2024`` (its first day) and the like.
+
+    Each shape is one regular expression, which lays the parts out as ``=year-name-day``.
+    """
+    months = F.create_map(*[F.lit(x) for k, m in enumerate(MONTHS, 1) for x in (m, f"{k:02d}")])
+
+    def laid_out(parts: Column) -> Column:
+        month = F.element_at(months, F.lower(F.substring(parts[1], 1, 3)))
+        return F.when(parts[0].startswith(_FOUND), _iso(_century(F.substring(parts[0], 2, 4)), F.coalesce(month, F.lit("x")), parts[2]))
+
+    def shaped(pattern: str, layout: str) -> Column:
+        return _bound(F.split(F.regexp_replace(text, pattern, _FOUND + layout), "-"), laid_out)
+
+    return F.when(text.rlike(r"^\d"), shaped(_DAY_FIRST, "$3-$2-$1")).otherwise(
+        F.coalesce(shaped(_NAME_FIRST, "$3-$1-$2"), shaped(_MONTH_ONLY, "$2-$1-01"))
+    )
+
+
+def _numeric_date(text: Column) -> Column:
+    """d/m/Y, Y-m-d, d/m/y and Ymd; month-first only where day-first is impossible."""
+
+    def laid_out(parts: Column) -> Column:
+        a, b, c = parts[0], parts[1], parts[2]
+        first, last = F.length(a), F.length(c)
+        return F.when((first == 4) & (last <= 2), _iso(a, b, c)).when(
+            (first <= 2) & last.isin(2, 4), F.coalesce(_iso(_century(c), b, a), _iso(_century(c), a, b))
+        )
+
+    plain = F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)
+    return F.when(text.rlike(r"^\d{1,4}[/.-]\d{1,2}[/.-]\d{1,4}$"), _bound(F.split(F.translate(text, "/.", "--"), "-"), laid_out)).when(
+        text.rlike(r"^\d{8}$"), _iso(*plain)
+    )
 
 
 def parse_date(text: Column) -> Column:
     """Day-first date from one text, each judged on its own; null if none.
 
     Accepts d/m/Y with ``/ - .``, Y-m-d with ``/ - .``, Ymd, d/m/y, and month names
-    before or after the day. Month-first is only tried where day-first is impossible. Numeric shapes
-    are rearranged to ISO and cast, so invalid cells cost no parser exception.
+    before or after the day. Month-first is only tried where day-first is impossible. A look for a letter
+    decides which shapes are tried at all.
     """
-
-    def iso(pattern: str, year: str, month: str, day: str) -> Column:
-        arranged = F.regexp_replace(text, pattern, f"{year}-{month}-{day}")
-        return F.when(text.rlike(pattern), arranged.try_cast("date"))
-
-    long_form = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})$"
-    short_form = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{2})$"
-    year = _century(F.regexp_extract(text, short_form, 3))
-    day, month = F.regexp_extract(text, short_form, 1), F.regexp_extract(text, short_form, 2)
-    short_iso = [
-        F.concat(year, F.lit("-"), a, F.lit("-"), b).try_cast("date")
-        for a, b in ((month, day), (day, month))
-    ]
-    return F.coalesce(
-        iso(long_form, "$3", "$2", "$1"),
-        iso(long_form, "$3", "$1", "$2"),
-        iso(r"^(\d{4})[/.-](\d{1,2})[/.-](\d{1,2})$", "$1", "$2", "$3"),
-        iso(r"^(\d{4})(\d{2})(\d{2})$", "$1", "$2", "$3"),
-        F.when(text.rlike(short_form), F.coalesce(*short_iso)),
-        _named_date(text),
-    )
+    return F.when(text.rlike("[A-Za-z]"), _named_date(text)).otherwise(_numeric_date(text))
 
 
 def amount_text(cell: Column) -> Column:

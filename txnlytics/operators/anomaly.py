@@ -32,14 +32,16 @@ def category_stats(df: DataFrame) -> DataFrame:
     )
 
 
-def zscores(df: DataFrame, p: Params = _P) -> DataFrame:
+def zscores(df: DataFrame, p: Params = _P, moments: DataFrame | None = None) -> DataFrame:
     """Absolute z-score of every row in a category with enough spread and rows.
 
+    ``moments`` are the rows' ``category_stats``, where they are known already.
+
     Statistics are aggregated first (hot categories fold before the shuffle) and
     joined back as a measured lookup, so the facts are neither shuffled nor gathered
     by category.
     """
-    usable = category_stats(df).filter((F.col("n") >= p.z_min_rows) & (F.col("std") > 0))
+    usable = (category_stats(df) if moments is None else moments).filter((F.col("n") >= p.z_min_rows) & (F.col("std") > 0))
     stats = materialise(usable.select("category", "mean", "std"), "category-stats")
     facts = df.withColumn("category", F.coalesce("category", F.lit(UNCATEGORISED)))
     amount = F.col("amount").cast("double")
@@ -52,7 +54,7 @@ def zscores(df: DataFrame, p: Params = _P) -> DataFrame:
     )
 
 
-def zscore_outliers(df: DataFrame, p: Params = _P) -> DataFrame:
+def zscore_outliers(df: DataFrame, p: Params = _P, moments: DataFrame | None = None) -> DataFrame:
     """Detections beyond the threshold on either side of the category mean."""
     z, amount, mean = F.col("z"), F.col("amount"), F.col("mean")
     deviation = amount - mean
@@ -64,7 +66,7 @@ def zscore_outliers(df: DataFrame, p: Params = _P) -> DataFrame:
         F.lit(". Deviation: Rs "), F.when(deviation >= 0, "+").otherwise(""),
         F.format_number(deviation, 0), F.lit("."),
     )
-    return zscores(df, p).filter(z > p.z_threshold).select(
+    return zscores(df, p, moments).filter(z > p.z_threshold).select(
         "txn_id",
         F.lit("zscore").alias("method"),
         zscore_severity(z, p).alias("severity"),
@@ -102,12 +104,14 @@ def merge_detections(first: DataFrame, second: DataFrame) -> DataFrame:
     )
 
 
-def run_summary(merged: DataFrame, facts: DataFrame, stored: DataFrame) -> DataFrame:
+def run_summary(merged: DataFrame, facts: DataFrame, stored: DataFrame, rows: int | None = None) -> DataFrame:
     """One row of counts for a detection run.
 
     ``merged`` is scanned once: its method column already says which detectors
-    flagged a row, so the detectors are not run again for their totals.
+    flagged a row, so the detectors are not run again for their totals. ``rows`` is the
+    number of facts, where it is known already.
     """
+    total = facts.agg(F.count("*").alias("n")).scalar() if rows is None else F.lit(rows).cast("bigint")
     known = stored.select("txn_id").distinct().withColumn("_known", F.lit(True))
     method = F.col("method")
     return merged.join(known, "txn_id", "left").agg(
@@ -115,4 +119,4 @@ def run_summary(merged: DataFrame, facts: DataFrame, stored: DataFrame) -> DataF
         F.count_if(method.isin("isolation_forest", "both")).alias("iforest_flagged"),
         F.count("*").alias("total_flagged"),
         F.count_if(F.col("_known").isNull()).alias("new_records"),
-    ).withColumn("total_transactions", facts.agg(F.count("*").alias("n")).scalar())
+    ).withColumn("total_transactions", total)

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.errors import AnalysisException
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IndexToString, StringIndexerModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from txnlytics.functions.text import not_blank
 from txnlytics.operators.sampling import stratified_folds, stratified_split
-from txnlytics.operators.tfidf import collect_vocabulary, feature_stages
+from txnlytics.operators.tfidf import (
+    collect_vocabulary, ngram_counts, numbers, pinned, sparse_rows, top_terms, vocabulary, without_fold
+)
 from txnlytics.params import Params
 from txnlytics.session import materialise
 
@@ -28,82 +30,167 @@ def usable_labels(df: DataFrame) -> DataFrame:
 
 def class_weights(df: DataFrame) -> DataFrame:
     """(category, n, weight) with the balanced weight rows / (classes * n)."""
-    counts = df.groupBy("category").agg(F.count("*").alias("n"))
+    return balanced_weights(df.groupBy("category").agg(F.count("*").alias("n")))
+
+
+def balanced_weights(counts: DataFrame) -> DataFrame:
+    """The same from (category, n) rows."""
     totals = counts.agg(F.struct(F.sum("n").alias("rows"), F.count("*").alias("classes")).alias("t")).scalar()
     return counts.withColumn("weight", totals["rows"] / (totals["classes"] * F.col("n")))
 
 
-def fit(df: DataFrame, p: Params = _P) -> PipelineModel:
-    """Train on (description, category).
+@dataclass(frozen=True, eq=False)
+class TextModel:
+    """A linear classifier over TF-IDF rows; its size is vocabulary times classes.
 
-    What reaches the driver is part of the model: the vocabulary (``p.vocabulary`` terms)
-    and the class list. Two classes share one coefficient row, as the binomial objective
-    has it. The penalty is scaled so that the optimum is that of
-    C * sum(weight * loss) + |W|^2 / 2 with a free intercept.
+    The margin of a class is its intercept plus the dot product of the row with its
+    ``coefficients`` (one row per class); probabilities are the softmax of the margins.
     """
-    # Training passes over the rows many times: spread them evenly once, over as many
-    # partitions as their size asks for.
+
+    terms: tuple[str, ...]
+    idf: tuple[float, ...]
+    labels: tuple[str, ...]
+    coefficients: np.ndarray
+    intercepts: tuple[float, ...]
+
+    def rows(self, df: DataFrame) -> DataFrame:
+        """``df`` with the sparse TF-IDF arrays that the model sees."""
+        return sparse_rows(df, list(self.terms), list(self.idf))
+
+
+def _prepared(df: DataFrame) -> DataFrame:
+    """Usable labelled rows, spread evenly once, over as many partitions as their size asks for."""
     spread = usable_labels(df).select("description", "category").hint("rebalance")
-    labelled = materialise(spread, "training")
-    classes = class_weights(labelled).orderBy("category").collect()
+    return materialise(spread, "training")
+
+
+def _classes(weights: DataFrame) -> list:
+    classes = weights.orderBy("category").collect()
     if len(classes) < 2:
         raise ValueError("training needs at least two categories")
-    rows = sum(c["n"] for c in classes)
-    indexer = StringIndexerModel.from_labels([c["category"] for c in classes], "category", "label")
-    weights = F.array(*(F.lit(c["weight"]) for c in classes))
-    prepared = indexer.transform(labelled).withColumn("weight", F.get(weights, F.col("label").cast("int")))
-    pipeline = Pipeline(stages=[
-        *feature_stages(collect_vocabulary(labelled, p)),
-        LogisticRegression(
-            family="auto",
-            weightCol="weight",
-            regParam=1.0 / (p.inverse_penalty * rows),
-            standardization=False,
-            maxIter=p.max_iter,
-        ),
-        IndexToString(
-            inputCol="prediction", outputCol="predicted_category", labels=[c["category"] for c in classes]
-        ),
-    ])
-    return pipeline.fit(prepared)
+    return classes
 
 
-def class_labels(model: PipelineModel) -> list[str]:
-    return model.stages[-1].getLabels()
+def fit(df: DataFrame, p: Params = _P, vocab: list | None = None, classes: list | None = None) -> TextModel:
+    """Multinomial logistic regression on (description, category).
 
-
-def predict(df: DataFrame, model: PipelineModel, top: int = 3) -> DataFrame:
+    What reaches the driver is part of the model: the vocabulary (``p.vocabulary`` terms), the
+    class list, unless they are given, and the coefficients. Two classes share one coefficient row, as the binomial objective
+    has it. The penalty is scaled so that the optimum is that of
+    C * sum(weight * loss) + |W|^2 / 2 with a free intercept.
+    """
+    labelled = _prepared(df)
+    classes = classes or _classes(class_weights(labelled))
+    vocab = vocab or collect_vocabulary(vocabulary(labelled, p=p))
+    terms, idf = [v["term"] for v in vocab], [v["idf"] for v in vocab]
+    labels = [c["category"] for c in classes]
+    rows = sum(c["n"] for c in classes)
+    label = F.array_position(F.array(*(F.lit(c) for c in labels)), F.col("category")) - 1
+    weights = F.array(*(F.lit(float(c["weight"])) for c in classes))
+    # The stored form of a sparse vector; read back as vectors, so no Python builds them.
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(len(terms)).alias("size"),
+        F.col("position").alias("indices"), F.col("weight").alias("values"),
+    )
+    numbered = sparse_rows(labelled, terms, idf).select(
+        label.cast("double").alias("label"), F.get(weights, label.cast("int")).alias("weight"), vector.alias("features")
+    )
+    schema = T.StructType([
+        T.StructField("label", T.DoubleType()), T.StructField("weight", T.DoubleType()), T.StructField("features", VectorUDT())
+    ])
+    fitted = LogisticRegression(
+        family="auto",
+        weightCol="weight",
+        regParam=1.0 / (p.inverse_penalty * rows),
+        standardization=False,
+        maxIter=p.max_iter,
+    ).fit(materialise(numbered, "features", schema=schema))
+    coefficients, intercepts = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
+    if len(coefficients) == 1:
+        coefficients, intercepts = np.vstack([0 * coefficients, coefficients]), np.array([0.0, *intercepts])
+    return TextModel(tuple(terms), tuple(idf), tuple(labels), coefficients, tuple(intercepts.tolist()))
+
+
+def fit_centroids(df: DataFrame, p: Params = _P) -> TextModel:
+    """Nearest-centroid classifier on (description, category), in closed form.
+
+    A class is the direction of the sum of its rows' TF-IDF vectors, its margin
+    ``p.centroid_sharpness`` times the cosine with it. One pass over the rows after the
+    vocabulary: sums per class and term, folded before the shuffle. No iterations and
+    no random numbers, so SQL repeats it.
+    """
+    labelled = _prepared(df)
+    vocab = collect_vocabulary(vocabulary(labelled, p=p))
+    terms, idf = [v["term"] for v in vocab], [v["idf"] for v in vocab]
+    labels = [c["category"] for c in _classes(class_weights(labelled))]
+    entries = sparse_rows(labelled, terms, idf).select("category", F.inline(F.arrays_zip("position", "weight")))
+    sums = entries.groupBy("category", "position").agg(F.sum("weight").alias("s"))
+    coefficients = np.zeros((len(labels), len(terms)))
+    for row in sums.collect():  # classes times vocabulary, as the model itself
+        coefficients[labels.index(row["category"]), row["position"]] = row["s"]
+    lengths = np.sqrt((coefficients**2).sum(axis=1, keepdims=True))
+    coefficients = p.centroid_sharpness * np.divide(coefficients, lengths, out=np.zeros_like(coefficients), where=lengths > 0)
+    return TextModel(tuple(terms), tuple(idf), tuple(labels), coefficients, (0.0,) * len(labels))
+
+
+def predict(df: DataFrame, model: TextModel, top: int = 3) -> DataFrame:
     """Rows plus ``predicted_category``, ``predicted_confidence`` and the ``top3`` classes.
 
-    Row-local: no shuffle. Equal probabilities keep class order.
+    Row-local and in the JVM: no shuffle, no Python. Coefficients are array literals that a row's
+    positions index. Equal probabilities keep class order.
     """
-    scored = model.transform(df).withColumn("_p", vector_to_array("probability"))
-    labels = F.array(*(F.lit(c) for c in class_labels(model)))
-    ranked = F.sort_array(
-        F.transform("_p", lambda q, i: F.struct((-q).alias("q"), i.alias("i")))
-    )
-    best = F.transform(
-        F.slice(ranked, 1, top),
+    # The row's columns are numbered on the way, so their names can't meet those made here.
+    numbered = [F.col(f"`{c}`").alias(f"_in{k}") for k, c in enumerate(df.columns)]
+    rows = model.rows(df.select(*numbered, "description"))
+    entries = pinned(rows, _e=F.arrays_zip("position", "weight")).drop("position", "weight")
+
+    def margin(intercept, row):
+        known = numbers(row)
+        return F.aggregate("_e", F.lit(float(intercept)), lambda s, e: s + e["weight"] * F.get(known, e["position"]))
+
+    margins = pinned(entries, _m=F.array(*map(margin, model.intercepts, model.coefficients))).drop("_e")
+    raised = pinned(margins, _x=F.transform("_m", lambda m: F.exp(m - F.array_max("_m")))).drop("_m")
+    scored = pinned(raised, _total=F.aggregate("_x", F.lit(0.0), lambda s, x: s + x))
+    order = F.sort_array(F.transform("_x", lambda x, i: F.struct((-x / F.col("_total")).alias("q"), i.alias("i"))))
+    ranked = pinned(scored, _r=order)
+    labels = F.array(*(F.lit(c) for c in model.labels))
+    named = F.transform(
+        F.slice("_r", 1, top),
         lambda e: F.struct(F.get(labels, e["i"]).alias("category"), F.round(-e["q"], 4).alias("probability")),
     )
-    return scored.select(
-        *df.columns,
-        "predicted_category",
-        F.round(F.array_max("_p"), 4).alias("predicted_confidence"),
-        best.alias("top3"),
+    best = F.get("_r", F.lit(0))
+    return ranked.select(
+        *(F.col(f"_in{k}").alias(c) for k, c in enumerate(df.columns)),
+        F.get(labels, best["i"]).alias("predicted_category"),
+        F.round(-best["q"], 4).alias("predicted_confidence"),
+        named.alias("top3"),
     )
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(spark: SparkSession, model: TextModel, path: str) -> None:
+    """Two small tables below ``path``: terms with their idf and coefficients, classes with their intercepts."""
+    terms = [(i, t, w, model.coefficients[:, i].tolist()) for i, (t, w) in enumerate(zip(model.terms, model.idf))]
+    classes = [(i, c, b) for i, (c, b) in enumerate(zip(model.labels, model.intercepts))]
+    for name, rows, schema in (
+        ("terms", terms, "position int, term string, idf double, coefficients array<double>"),
+        ("classes", classes, "position int, label string, intercept double"),
+    ):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
 
 
-def load_model(spark: SparkSession, path: str) -> PipelineModel:
+def load_model(spark: SparkSession, path: str) -> TextModel:
     """The saved classifier; FileNotFoundError if there is none."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        raise FileNotFoundError(f"no trained model at {path}; run train() with a model path first")
-    return PipelineModel.load(path)
+    try:
+        terms, classes = (spark.read.parquet(f"{path}/{name}").orderBy("position").collect() for name in ("terms", "classes"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no trained model at {path}; run train() with a model path first") from error
+    coefficients = np.array([t["coefficients"] for t in terms]).reshape(len(terms), len(classes)).T
+    return TextModel(
+        tuple(t["term"] for t in terms), tuple(t["idf"] for t in terms), tuple(c["label"] for c in classes),
+        coefficients, tuple(c["intercept"] for c in classes),
+    )
 
 
 def classification_report(df: DataFrame) -> DataFrame:
@@ -171,7 +258,7 @@ def train(df: DataFrame, row_id: str, p: Params = _P, model_path: str | None = N
     )
     scores = cross_validate(labelled, row_id, p)
     if model_path:
-        save_model(model, model_path)
+        save_model(df.sparkSession, model, model_path)
     sizes = split.agg(
         F.count_if(F.col("split") == "train").alias("training_size"),
         F.count_if(F.col("split") == "test").alias("test_size"),
@@ -182,7 +269,7 @@ def train(df: DataFrame, row_id: str, p: Params = _P, model_path: str | None = N
         F.lit(round(float(np.std(scores)), 4)).alias("cv_std"),
         "training_size",
         "test_size",
-        F.lit(len(class_labels(model))).alias("categories"),
+        F.lit(len(model.labels)).alias("categories"),
     )
     report = classification_report(
         tested.select(F.col("category").alias("label"), F.col("predicted_category").alias("prediction"))
@@ -193,13 +280,20 @@ def train(df: DataFrame, row_id: str, p: Params = _P, model_path: str | None = N
 def cross_validate(df: DataFrame, row_id: str, p: Params = _P) -> list[float]:
     """Held-out accuracy of every fold; vocabulary and weights are refitted per fold.
 
-    Folds are submitted side by side, so the cluster is not idle between the many
-    short jobs of one fit.
+    Terms and classes are counted once, per fold: the counts of a training set are the total
+    less its fold's, so no fold scans the texts for its vocabulary. Folds are submitted
+    side by side, so the cluster is not idle between the many short jobs of one fit.
     """
-    folded = materialise(stratified_folds(df, "category", row_id, p), "folds")
+    folded = materialise(stratified_folds(usable_labels(df), "category", row_id, p), "folds")
+    terms = materialise(ngram_counts(folded, by=("fold",)), "fold-terms")
+    sizes = materialise(folded.groupBy("category", "fold").agg(F.count("*").alias("n")), "fold-classes")
 
     def score(k: int) -> float:
-        model = fit(folded.filter(F.col("fold") != k), p)
+        others = sizes.filter(F.col("fold") != k)
+        classes = _classes(balanced_weights(others.groupBy("category").agg(F.sum("n").alias("n"))))
+        rows = F.lit(sum(c["n"] for c in classes))
+        vocab = collect_vocabulary(top_terms(without_fold(terms, k), rows, p))
+        model = fit(folded.filter(F.col("fold") != k), p, vocab, classes)
         return accuracy(predict(folded.filter(F.col("fold") == k), model))
 
     with ThreadPool(p.folds) as pool:

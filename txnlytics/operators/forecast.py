@@ -35,12 +35,18 @@ def monthly_history(txn: DataFrame, p: Params = _P) -> DataFrame:
 
     Rows without a category are left out, unlike in the reports.
     """
-    spent = txn.filter(F.col("category").isNotNull() & is_expense(F.col("category"), p))
-    totals = spent.groupBy(month_label("date").alias("year_month"), "category").agg(
+    labelled = txn.filter(F.col("category").isNotNull())
+    totals = labelled.groupBy(month_label("date").alias("year_month"), "category").agg(
         F.sum("amount").cast("double").alias("total")
     )
-    # One pass over the facts; the numbering reads only this small result.
-    monthly = materialise(totals, "monthly")
+    return history_of_totals(totals, p)
+
+
+def history_of_totals(totals: DataFrame, p: Params = _P) -> DataFrame:
+    """The same from (year_month, category, total) rows, one per month and category."""
+    spent = totals.filter(is_expense(F.col("category"), p)).select("year_month", "category", "total")
+    # One pass over the input; the numbering reads only this small result.
+    monthly = materialise(spent, "monthly")
     # Broadcast is bounded by the calendar, see month_numbers.
     return monthly.join(F.broadcast(month_numbers(monthly)), "year_month").select(
         "year_month", "category", "total", "month_num"

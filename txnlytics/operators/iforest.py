@@ -1,7 +1,9 @@
 """Isolation forest over (log amount, day of week, day of month).
 
 Follows Liu, Ting and Zhou, "Isolation Forest" (2008). Trees grow in parallel from
-small hash-drawn samples, one group per tree; scoring is row-local. Standardising
+small hash-drawn samples, one group per tree; scoring is row-local. Every random number
+is taken from an MD5 digest of what it decides, so a forest depends on its rows and the
+seed alone and SQL can repeat it. Standardising
 the features is left out: axis splits drawn uniformly between a feature's extremes
 give the same trees under any linear rescaling.
 """
@@ -9,6 +11,7 @@ give the same trees under any linear rescaling.
 from __future__ import annotations
 
 import math
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
@@ -22,11 +25,12 @@ from txnlytics.session import materialise
 _P = Params()
 
 FEATURES = ("amount_log", "day_of_week", "day_of_month")
-_HASH_RANGE = 1 << 30
+_HASH_RANGE = 1 << 32
 _SCORE_DIGITS = 6
 _EULER = 0.5772156649015329
 
-NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
+#: Node 1 is the root, 2 n and 2 n + 1 are the children of n; a leaf has feature -1.
+NODE_SCHEMA = "tree int, node int, feature int, threshold double, path double"
 
 
 def expected_path(rows: float) -> float:
@@ -48,10 +52,15 @@ def features(df: DataFrame) -> DataFrame:
     )
 
 
+def _digest(*salt) -> Column:
+    """Digest of the salt and the transaction id."""
+    parts = [s if isinstance(s, Column) else F.lit(str(s)) for s in salt]
+    return F.md5(F.concat_ws(":", *parts, F.coalesce(F.col("txn_id").cast("string"), F.lit(""))))
+
+
 def _draw(*salt) -> Column:
-    """Number in [0, 2^30) fixed by the transaction id and the salt."""
-    parts = [s if isinstance(s, Column) else F.lit(s) for s in salt]
-    return F.pmod(F.xxhash64(F.col("txn_id").cast("string"), *parts), F.lit(_HASH_RANGE))
+    """Number in [0, 2^32) fixed by the transaction id and the salt."""
+    return F.conv(F.substring(_digest(*salt), 1, 8), 16, 10).cast("bigint")
 
 
 def sample_rows(points: DataFrame, rows: int, p: Params) -> DataFrame:
@@ -59,38 +68,41 @@ def sample_rows(points: DataFrame, rows: int, p: Params) -> DataFrame:
 
     One rule for every size: a row enters the pool with probability wanted / rows, and a
     row of the pool joins each tree with probability 2 * tree_rows / pool, both at most 1.
-    The draw is a filter, hence no shuffle of the facts. Repeated ids count once, so a hot
-    id cannot swell a tree's group.
+    The draw is a filter, hence no shuffle of the facts. Repeated ids count once, with the
+    smallest features, so a hot id cannot swell a tree's group.
     """
     wanted = 2 * min(p.tree_rows, rows) * p.trees
     pooled = math.ceil(min(1.0, wanted / rows) * _HASH_RANGE)
     joined = math.ceil(min(1.0, 2 * p.tree_rows / min(rows, wanted)) * _HASH_RANGE)
-    hits = F.filter(F.sequence(F.lit(0), F.lit(p.trees - 1)), lambda t: _draw(p.forest_seed, t) < joined)
-    drawn = points.filter(_draw(p.forest_seed + 1) < pooled).withColumn("tree", F.explode(hits))
-    return drawn.dropDuplicates(["txn_id", "tree"]).withColumn("rank", _draw(p.forest_seed + 2, F.col("tree")))
+    hits = F.filter(F.sequence(F.lit(0), F.lit(p.trees - 1)), lambda t: _draw(p.forest_seed, t.cast("string")) < joined)
+    drawn = points.filter(_draw(f"pool {p.forest_seed}") < pooled).withColumn("tree", F.explode(hits))
+    once = drawn.groupBy("txn_id", "tree").agg(F.min(F.struct(*FEATURES)).alias("x")).select("txn_id", "tree", "x.*")
+    return once.withColumn("rank", _digest(f"rank {p.forest_seed}", F.col("tree").cast("string")))
+
 
+def _uniform(seed: int, tree: int, node: int, what: str) -> float:
+    """Number in [0, 1) with 52 bits."""
+    return int(md5(f"{what} {seed}:{tree}:{node}".encode()).hexdigest()[:13], 16) / 16**13
 
-def _grow(sample: np.ndarray, tree: int, rng: np.random.Generator) -> pd.DataFrame:
+
+def _grow(sample: np.ndarray, tree: int, seed: int) -> pd.DataFrame:
     """One tree as a node table; a leaf's ``path`` is its depth plus the unbuilt rest."""
     limit = math.ceil(math.log2(max(len(sample), 2)))
-    nodes: list[list] = []
-    pending = [(sample, 0, None, None)]
+    nodes: list[tuple] = []
+    pending = [(sample, 0, 1)]
     while pending:
-        rows, depth, parent, side = pending.pop()
-        index = len(nodes)
-        nodes.append([tree, index, -1, 0.0, -1, -1, depth + expected_path(len(rows))])
-        if parent is not None:
-            nodes[parent][side] = index
+        rows, depth, node = pending.pop()
+        path = depth + expected_path(len(rows))
         low, high = rows.min(axis=0), rows.max(axis=0)
         varying = np.flatnonzero(high > low)
         if depth >= limit or len(rows) <= 1 or not len(varying):
+            nodes.append((tree, node, -1, 0.0, path))
             continue
-        feature = int(rng.choice(varying))
-        threshold = float(rng.uniform(low[feature], high[feature]))
-        goes_left = rows[:, feature] <= threshold
-        nodes[index][2:4] = [feature, threshold]
-        pending.append((rows[~goes_left], depth + 1, index, 5))
-        pending.append((rows[goes_left], depth + 1, index, 4))
+        feature = int(varying[int(_uniform(seed, tree, node, "feature") * len(varying))])
+        threshold = float(low[feature] + _uniform(seed, tree, node, "split") * (high[feature] - low[feature]))
+        nodes.append((tree, node, feature, threshold, path))
+        left = rows[:, feature] <= threshold
+        pending += [(rows[left], depth + 1, 2 * node), (rows[~left], depth + 1, 2 * node + 1)]
     columns = [field.split()[0] for field in NODE_SCHEMA.split(", ")]
     return pd.DataFrame(nodes, columns=columns)
 
@@ -103,7 +115,7 @@ def build_forest(points: DataFrame, rows: int, p: Params = _P) -> DataFrame:
         # Sorted by hash rank and id: the tree does not depend on partitioning.
         kept = pdf.sort_values(["rank", "txn_id"]).head(size)
         tree = int(pdf["tree"].iloc[0])
-        return _grow(kept[list(FEATURES)].to_numpy(), tree, np.random.default_rng([seed, tree]))
+        return _grow(kept[list(FEATURES)].to_numpy(), tree, seed)
 
     return sample_rows(points, rows, p).groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
 
@@ -116,10 +128,13 @@ def score_forest(points: DataFrame, forest: DataFrame, rows: int, p: Params = _P
     makes the exact percentile cheap.
     """
     table = forest.toPandas()  # at most trees * (2 * tree_rows - 1) rows
-    trees = [
-        tuple(nodes[c].to_numpy() for c in ("feature", "threshold", "left", "right", "path"))
-        for _, nodes in table.sort_values(["tree", "node"]).groupby("tree")
-    ]
+    trees = []
+    for _, nodes in table.sort_values(["tree", "node"]).groupby("tree"):
+        # Rows of the node table by node number; a node without a row is never reached.
+        row = np.zeros(2 * int(nodes["node"].max()) + 2, dtype=np.int64)
+        row[nodes["node"]] = np.arange(len(nodes))
+        below = [row[2 * nodes["node"].to_numpy() + side] for side in (0, 1)]
+        trees.append((*(nodes[c].to_numpy() for c in ("feature", "threshold")), *below, nodes["path"].to_numpy()))
     shared = points.sparkSession.sparkContext.broadcast(trees)
     scale = expected_path(min(p.tree_rows, rows))
 
@@ -148,9 +163,12 @@ def contamination_offset(scores: DataFrame, p: Params = _P) -> float:
     return histogram.agg(F.percentile("score", F.lit(p.contamination), F.col("n"))).first()[0]
 
 
-def forest_scores(df: DataFrame, p: Params = _P) -> DataFrame | None:
-    """(txn_id, date, amount, decision) for every row; None below the minimum size."""
-    rows = df.count()
+def forest_scores(df: DataFrame, p: Params = _P, rows: int | None = None) -> DataFrame | None:
+    """(txn_id, date, amount, decision) for every row; None below the minimum size.
+
+    ``rows`` is the number of rows, where it is known already.
+    """
+    rows = df.count() if rows is None else rows
     if rows < p.forest_min_rows:
         return None
     points = features(df)
@@ -161,9 +179,9 @@ def forest_scores(df: DataFrame, p: Params = _P) -> DataFrame | None:
     return scores.withColumn("decision", F.col("score") - F.lit(offset)).drop("score")
 
 
-def forest_outliers(df: DataFrame, p: Params = _P) -> DataFrame:
+def forest_outliers(df: DataFrame, p: Params = _P, rows: int | None = None) -> DataFrame:
     """Detections: rows whose decision score is below zero."""
-    scores = forest_scores(df, p)
+    scores = forest_scores(df, p, rows)
     if scores is None:
         empty = df.limit(0).select("txn_id", "date", "amount")
         scores = empty.withColumn("decision", F.lit(0.0))

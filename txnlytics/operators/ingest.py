@@ -163,7 +163,8 @@ def statement_columns(df: DataFrame) -> DataFrame:
 
 def new_transactions(clean: DataFrame) -> DataFrame:
     """Stored form of deduplicated clean rows: keyed, uncategorised, not flagged."""
-    raw_text = F.col("raw_text" if "raw_text" in clean.columns else "description")
+    # Layouts without the plain header have no raw text of their own.
+    raw_text = F.coalesce("raw_text", "description") if "raw_text" in clean.columns else F.col("description")
     return clean.select(
         txn_key("date", "amount", "description").alias("txn_id"),
         "date",

@@ -129,17 +129,29 @@ def uncategorised(facts: DataFrame) -> DataFrame:
     return facts.filter(F.col("category_id").isNull())
 
 
-def merge_categories(new: DataFrame, old: DataFrame, now=None) -> DataFrame:
-    """Dimension after adding the (name, colour) rows whose name it lacks."""
+def month_totals(facts: DataFrame) -> DataFrame:
+    """(year_month, category_id, total, n): folded before the shuffle, so hot categories are cheap."""
+    return facts.groupBy("year_month", "category_id").agg(
+        F.sum("amount").cast("decimal(22,2)").alias("total"), F.count("*").alias("n")
+    )
+
+
+def missing_categories(new: DataFrame, old: DataFrame, now=None) -> DataFrame:
+    """Dimension rows to add: the (name, colour) rows whose name the dimension lacks."""
     missing = new.groupBy("name").agg(F.min("color_hex").alias("color_hex")).join(
         old.select("name"), "name", "left_anti"
     )
-    added = missing.select(
+    return missing.select(
         category_key("name").alias("category_id"),
         "name",
         F.coalesce("color_hex", F.lit(DEFAULT_COLOUR)).alias("color_hex"),
         (F.current_timestamp() if now is None else now).alias("created_at"),
     )
+
+
+def merge_categories(new: DataFrame, old: DataFrame, now=None) -> DataFrame:
+    """Dimension after adding the (name, colour) rows whose name it lacks."""
+    added = missing_categories(new, old, now)
     return old.select("category_id", "name", "color_hex", "created_at").unionByName(added)
 
 
@@ -156,54 +168,77 @@ def integrity_report(
 ) -> DataFrame:
     """(rule, violations) for every declared constraint; zero rows never fail a rule.
 
-    Null rules share one pass per table. Uniqueness counts surplus rows per key, so
-    one heavily repeated key is folded before the shuffle.
+    Each table is scanned once. A row says what it means for every rule it takes part in: a
+    tag (rule, kind of rule, key, whether it is a parent). All tags meet in one
+    grouped count, folded before the shuffle, so one heavily repeated key costs one row per
+    task. A key breaks a uniqueness rule by its surplus rows and a reference rule by its children
+    if no parent has it; null and domain rules have tags of violating rows only.
     """
-
-    def counts(df: DataFrame, rules: dict) -> DataFrame:
-        one_row = df.agg(*(F.count_if(cond).alias(f"c{i}") for i, cond in enumerate(rules.values())))
-        pairs = [
-            F.struct(F.lit(rule).alias("rule"), F.col(f"c{i}").alias("violations"))
-            for i, rule in enumerate(rules)
-        ]
-        return one_row.select(F.inline(F.array(*pairs)))
-
-    def surplus(df: DataFrame, rule: str, *keys: str) -> DataFrame:
-        groups = df.groupBy(*keys).agg(F.count("*").alias("n"))
-        extra = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
-        return groups.agg(extra.alias("violations")).select(F.lit(rule).alias("rule"), "violations")
-
-    def orphans(df: DataFrame, rule: str, parent: DataFrame, key: str) -> DataFrame:
-        # One row per distinct key travels, weighted by its count.
-        keys = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-        lost = keys.join(parent.select(key).distinct(), key, "left_anti")
-        return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations")).select(
-            F.lit(rule).alias("rule"), "violations"
-        )
-
-    parts = [
-        counts(facts, {
-            "transaction date not null": F.col("date").isNull(),
-            "transaction description not null": F.col("description").isNull(),
-            "transaction amount not null": F.col("amount").isNull(),
-        }),
-        counts(categories, {"category name not null": F.col("name").isNull()}),
-        counts(anomalies, {
-            "anomaly transaction not null": F.col("txn_id").isNull(),
-            "anomaly severity in domain": F.col("severity").isNotNull() & ~F.col("severity").isin(*SEVERITIES),
-        }),
-        counts(forecasts, {
-            "forecast category not null": F.col("category_id").isNull(),
-            "forecast month not null": F.col("forecast_month").isNull(),
-        }),
-        surplus(categories, "category name unique", "name"),
-        surplus(anomalies, "one anomaly per transaction", "txn_id"),
-        surplus(forecasts, "one forecast per category and month", "category_id", "forecast_month"),
-        orphans(facts, "transaction category exists", categories, "category_id"),
-        orphans(forecasts, "forecast category exists", categories, "category_id"),
-        orphans(anomalies, "anomaly transaction exists", facts, "txn_id"),
+    schema = "struct<rule string, kind string, key string, parent boolean>"
+
+    def tag(rule: str, kind: str, key=None, parent: bool = False, when=None):
+        key = F.lit("") if key is None else key
+        made = F.struct(F.lit(rule), F.lit(kind), key.cast("string"), F.lit(parent)).cast(schema)
+        return made if when is None else F.when(when, made)
+
+    def null(rule: str, column: str):
+        return tag(rule, "never", when=F.col(column).isNull())
+
+    def child(rule: str, column: str):
+        return tag(rule, "exists", F.col(column), when=F.col(column).isNotNull())
+
+    def parent(rule: str, column: str):
+        return tag(rule, "exists", F.col(column), parent=True, when=F.col(column).isNotNull())
+
+    def unique(rule: str, *columns: str):
+        # Nulls are equal to each other, and to nothing else.
+        return tag(rule, "unique", F.to_json(F.struct(*columns)))
+
+    references = ("transaction category exists", "forecast category exists", "anomaly transaction exists")
+    tagged = [
+        (facts, [
+            null("transaction date not null", "date"),
+            null("transaction description not null", "description"),
+            null("transaction amount not null", "amount"),
+            child(references[0], "category_id"),
+            parent(references[2], "txn_id"),
+        ]),
+        (categories, [
+            null("category name not null", "name"),
+            unique("category name unique", "name"),
+            parent(references[0], "category_id"),
+            parent(references[1], "category_id"),
+        ]),
+        (anomalies, [
+            null("anomaly transaction not null", "txn_id"),
+            tag("anomaly severity in domain", "never", when=F.col("severity").isNotNull() & ~F.col("severity").isin(*SEVERITIES)),
+            unique("one anomaly per transaction", "txn_id"),
+            child(references[2], "txn_id"),
+        ]),
+        (forecasts, [
+            null("forecast category not null", "category_id"),
+            null("forecast month not null", "forecast_month"),
+            unique("one forecast per category and month", "category_id", "forecast_month"),
+            child(references[1], "category_id"),
+        ]),
     ]
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    rules = [
+        "transaction date not null", "transaction description not null", "transaction amount not null", "category name not null",
+        "anomaly transaction not null", "anomaly severity in domain", "forecast category not null", "forecast month not null",
+        "category name unique", "one anomaly per transaction", "one forecast per category and month", *references,
+    ]
+    counts = None
+    for table, tags in tagged:
+        rows = table.select(F.inline(F.array_compact(F.array(*tags))))
+        counts = rows if counts is None else counts.unionByName(rows)
+    keys = counts.groupBy("rule", "kind", "key").agg(
+        F.count_if(~F.col("parent")).alias("n"), F.max("parent").alias("found")
+    )
+    broken = (
+        F.when(F.col("kind") == "unique", F.col("n") - 1)
+        .when(F.col("kind") == "exists", F.when(F.col("found"), 0).otherwise(F.col("n")))
+        .otherwise(F.col("n"))
+    )
+    found = keys.groupBy("rule").agg(F.sum(broken).alias("violations"))
+    every = facts.sparkSession.createDataFrame([(rule,) for rule in rules], "rule string")
+    return every.join(found, "rule", "left").select("rule", F.coalesce("violations", F.lit(0).cast("bigint")).alias("violations"))

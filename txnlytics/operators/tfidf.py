@@ -2,13 +2,7 @@
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark import keyword_only
-from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
-from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from txnlytics.functions.text import words
@@ -26,121 +20,98 @@ def with_bigrams(tokens: Column) -> Column:
     return F.concat(tokens, neighbours)
 
 
-class TermsTransformer(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Text column -> array of cleaned words and bigrams."""
-
-    @keyword_only
-    def __init__(self, inputCol=None, outputCol=None):
-        super().__init__()
-        self._set(**self._input_kwargs)
-
-    def _transform(self, dataset):
-        tokens = words(F.col(self.getInputCol()))
-        return (
-            dataset.withColumn("_tokens", tokens)
-            .withColumn(self.getOutputCol(), with_bigrams(F.col("_tokens")))
-            .drop("_tokens")
-        )
-
-
-@F.udf(VectorUDT(), useArrow=True)
-def _dampen(counts):
-    return counts and SparseVector(counts.size, counts.indices, 1.0 + np.log(counts.values))
-
-
-class SublinearTransformer(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """(terms, sparse counts) -> 1 + ln(count); the one step without a JVM equivalent.
-
-    Counts of a text that repeats no term are all 1 and stay as they are, so the
-    usual short description is never handed to Python.
-    """
-
-    @keyword_only
-    def __init__(self, inputCols=None, outputCol=None):
-        super().__init__()
-        self._set(**self._input_kwargs)
-
-    def _transform(self, dataset):
-        terms, counts = (F.col(c) for c in self.getInputCols())
-        repeats = F.size(F.array_distinct(terms)) < F.size(terms)
-        # A column of its own, so that the terms themselves do not travel past Python.
-        picked = dataset.withColumn("_repeated", F.when(repeats, counts))
-        damped = F.coalesce(_dampen(F.col("_repeated")), counts)
-        return picked.withColumn(self.getOutputCol(), damped).drop("_repeated")
-
-
-def ngram_counts(df: DataFrame, text: str = "description") -> DataFrame:
-    """(term, n_total, n_docs) over all rows; one shuffle of map-side totals.
+def ngram_counts(df: DataFrame, text: str = "description", by: tuple[str, ...] = ()) -> DataFrame:
+    """(``by``, term, n_total, n_docs) over all rows; one shuffle of map-side totals.
 
     Terms are sorted inside each row, so a term that differs from its neighbour is
     its first occurrence there and counts the row once; no document is shuffled.
     """
-    tokens = df.select(words(F.col(text)).alias("_words"))
-    ordered = tokens.select(F.sort_array(with_bigrams(F.col("_words"))).alias("_sorted"))
+    tokens = df.select(*by, words(F.col(text)).alias("_words"))
+    ordered = tokens.select(*by, F.sort_array(with_bigrams(F.col("_words"))).alias("_sorted"))
     behind = F.slice("_sorted", 1, F.greatest(F.size("_sorted") - 1, F.lit(0)))
     previous = F.concat(F.array(F.lit(None).cast("string")), behind)
     # The outer form stops the optimiser from filtering on the array's size first, which
     # would compute the array twice.
     pairs = ordered.select(
-        F.inline_outer(F.arrays_zip(F.col("_sorted").alias("term"), previous.alias("previous")))
+        *by, F.inline_outer(F.arrays_zip(F.col("_sorted").alias("term"), previous.alias("previous")))
     )
     first = F.col("previous").isNull() | (F.col("previous") != F.col("term"))
-    return pairs.filter(F.col("term").isNotNull()).groupBy("term").agg(
+    return pairs.filter(F.col("term").isNotNull()).groupBy(*by, "term").agg(
         F.count("*").alias("n_total"), F.count_if(first).alias("n_docs")
     )
 
 
-def vocabulary(df: DataFrame, text: str = "description", p: Params = _P) -> DataFrame:
+def top_terms(counts: DataFrame, rows: Column, p: Params = _P) -> DataFrame:
     """The most frequent terms that are not in nearly every row, with their idf.
 
     At most ``p.vocabulary`` rows; equal counts are settled by the term. idf is
     ln((1 + rows) / (1 + rows with the term)) + 1.
     """
-    rows = df.agg(F.count("*").alias("n")).scalar()
-    kept = ngram_counts(df, text).filter(F.col("n_docs") <= rows * F.lit(p.max_df))
+    kept = counts.filter(F.col("n_docs") <= rows * F.lit(p.max_df))
     top = kept.orderBy(F.desc("n_total"), "term").limit(p.vocabulary)
     return top.withColumn("idf", F.log((F.lit(1.0) + rows) / (F.lit(1.0) + F.col("n_docs"))) + 1)
 
 
-def feature_stages(vocab: list) -> list:
-    """Pipeline stages from text to unit-length TF-IDF vectors over collected vocabulary rows.
+def vocabulary(df: DataFrame, text: str = "description", p: Params = _P) -> DataFrame:
+    """``top_terms`` of all rows."""
+    rows = df.agg(F.count("*").alias("n")).scalar()
+    return top_terms(ngram_counts(df, text), rows, p)
 
-    Row-local: counts by hash lookup, 1 + ln(count), times idf, divided by the length.
-    """
-    return [
-        TermsTransformer(inputCol="description", outputCol="_terms"),
-        CountVectorizerModel.from_vocabulary([v["term"] for v in vocab], "_terms", "_counts"),
-        SublinearTransformer(inputCols=["_terms", "_counts"], outputCol="_damped"),
-        ElementwiseProduct(
-            scalingVec=Vectors.dense([v["idf"] for v in vocab]), inputCol="_damped", outputCol="_weighted"
-        ),
-        Normalizer(p=2.0, inputCol="_weighted", outputCol="features"),
-    ]
-
-
-def collect_vocabulary(df: DataFrame, p: Params = _P) -> list:
+
+def without_fold(counts: DataFrame, fold: int) -> DataFrame:
+    """Term counts of all rows outside a fold: the total less the fold's, from counts kept per fold."""
+    outside = [F.sum(F.when(F.col("fold") != fold, F.col(c)).otherwise(0)).alias(c) for c in ("n_total", "n_docs")]
+    return counts.groupBy("term").agg(*outside).filter(F.col("n_docs") > 0)
+
+
+def collect_vocabulary(vocab: DataFrame) -> list:
     """Vocabulary rows in a fixed order; at most ``p.vocabulary`` of them."""
-    return vocabulary(df, p=p).orderBy(F.desc("n_total"), "term").collect()
+    return vocab.orderBy(F.desc("n_total"), "term").collect()
+
+
+def pinned(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns computed once per row, however often later expressions name them.
+
+    The generator keeps the optimiser from copying their expressions into those.
+    """
+    made = F.struct(*(c.alias(name) for name, c in columns.items()))
+    return df.select(*(F.col(f"`{c}`") for c in df.columns), F.inline_outer(F.array(made)))
+
+
+def sparse_rows(df: DataFrame, terms: list[str], idf: list[float], text: str = "description") -> DataFrame:
+    """``df`` with ``position`` and ``weight``: the unit-length TF-IDF vector of each row as two arrays.
+
+    Row-local and in the JVM: terms are counted by hash lookup, counts are damped to
+    1 + ln(count), weighted by idf and divided by their length. A row without known terms has empty arrays.
+    """
+    counted = CountVectorizerModel.from_vocabulary(terms, "_terms", "_counts").transform(
+        pinned(df, _words=words(F.col(text))).withColumn("_terms", with_bigrams(F.col("_words")))
+    )
+    known = numbers(idf)
+    sparse = pinned(counted.select(*(F.col(f"`{c}`") for c in df.columns), F.unwrap_udt("_counts").alias("_v")), _u=F.col("_v"))
+    weighted = F.zip_with("_u.indices", "_u.values", lambda i, n: (1 + F.log(n)) * F.get(known, i))
+    raw = pinned(sparse.select(*df.columns, "_u"), position=F.col("_u.indices"), _raw=weighted).drop("_u")
+    length = F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda s, w: s + w * w))
+    scaled = pinned(raw, _length=length)
+    return scaled.withColumn("weight", F.transform("_raw", lambda w: w / F.col("_length"))).drop("_raw", "_length")
+
+
+def numbers(values) -> Column:
+    """A constant array; the optimiser folds it to one literal, whatever its length."""
+    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
 
 
 def tfidf_weights(df: DataFrame, row_id: str, p: Params = _P) -> DataFrame:
     """(row id, term, weight) of every ``description``: the vectors the classifier sees, as rows.
 
-    Apart from the vocabulary there is no shuffle and no Python. The counts stay sparse:
-    each row's arrays of positions and counts are damped, weighted by idf and divided by
-    their length with array functions; position and idf lookups have vocabulary size.
+    Apart from the vocabulary there is no shuffle and no Python.
     """
-    vocab = collect_vocabulary(df, p)
+    vocab = collect_vocabulary(vocabulary(df, p=p))
     names = df.sparkSession.createDataFrame(
         [(i, v["term"]) for i, v in enumerate(vocab)], "position int, term string"
     )
-    counts = PipelineModel(feature_stages(vocab)[:2]).transform(df.select(row_id, "description"))
-    sparse = counts.select(row_id, F.unwrap_udt("_counts").alias("v"))
-    idf = F.array(*[F.lit(v["idf"]) for v in vocab]).cast("array<double>")
-    weights = F.zip_with("v.indices", "v.values", lambda i, n: (1 + F.log(n)) * F.get(idf, i))
-    rows = sparse.select(row_id, F.col("v.indices").alias("position"), weights.alias("weight"))
-    length = F.sqrt(F.aggregate("weight", F.lit(0.0), lambda s, w: s + w * w))
+    rows = sparse_rows(df.select(row_id, "description"), [v["term"] for v in vocab], [v["idf"] for v in vocab])
     # The outer form keeps the optimiser from repeating the arrays in a filter on their size.
-    entries = rows.withColumn("length", length).select(row_id, "length", F.inline_outer(F.arrays_zip("position", "weight")))
+    entries = rows.select(row_id, F.inline_outer(F.arrays_zip("position", "weight")))
     named = entries.filter(F.col("position").isNotNull()).join(F.broadcast(names), "position")
-    return named.select(row_id, "term", (F.col("weight") / F.col("length")).alias("weight"))
+    return named.select(row_id, "term", "weight")

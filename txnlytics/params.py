@@ -57,6 +57,7 @@ DEFAULT_COLOUR = "#888888"
 FALLBACK_COLOUR = "#CCCCCC"
 UNCATEGORISED = "Uncategorized"
 UNKNOWN = "Unknown"
+OTHER = "Other"
 
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
@@ -101,6 +102,7 @@ class Params:
     max_df: float = 0.95
     inverse_penalty: float = 5.0
     max_iter: int = 2000
+    centroid_sharpness: float = 20.0
     test_fraction: float = 0.2
     folds: int = 5
     split_seed: int = 42
@@ -148,3 +150,20 @@ FORECASTS = T.StructType([
     T.StructField("actual_amount", MONEY),
     T.StructField("created_at", T.TimestampType()),
 ])
+
+MONTH_TOTALS = T.StructType([
+    T.StructField("category_id", T.LongType()),
+    T.StructField("total", T.DecimalType(22, 2)),
+    T.StructField("n", T.LongType()),
+    T.StructField("year_month", T.StringType(), False),
+])
+
+FILE_LOG = T.StructType([
+    T.StructField("file", T.StringType(), False),
+    T.StructField("modified", T.TimestampType()),
+    T.StructField("layout", T.StringType()),
+    T.StructField("problem", T.StringType()),
+    T.StructField("total_read", T.LongType()),
+    T.StructField("total_dropped", T.LongType()),
+    T.StructField("logged_at", T.TimestampType()),
+])

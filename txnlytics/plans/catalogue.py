@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,7 +13,9 @@ from txnlytics.functions.text import clean_text as clean_text_of
 from txnlytics.operators import anomaly, classify, forecast, iforest, ingest, reports, sampling, storage, tfidf
 from txnlytics.plans import jobs, views
 from txnlytics.plans.views import SEGMENT_COLOURS, SEGMENT_PARAMS
-from txnlytics.session import materialise
+from txnlytics.session import materialise, run_folder
+from txnlytics.sources.deliveries import read_deliveries
+from txnlytics.sources.store import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,6 +117,14 @@ def ingest_summary(spark, folder):
     return ingest.ingest_summary(_cleaned(spark, folder, copies=True), unique, fresh)
 
 
+@query
+def layout_ingest(spark, folder):
+    """Statement files of two layouts in one folder, surveyed, scanned by layout and cleaned."""
+    found = read_deliveries(spark, views.statement_files(spark, folder))
+    clean = ingest.final_columns(ingest.valid_rows(ingest.clean_rows(found.rows)))
+    return clean.select(_iso("date"), "description", _double("amount"), "raw_text")
+
+
 @query
 def preview_profile(spark, folder):
     rows = views.raw_txn(spark, folder).select("k", "date", "description", "amount")
@@ -399,7 +410,8 @@ def iforest_query(spark, folder):
 def anomaly_run_summary(spark, folder):
     facts = views.evt(spark, folder)
     stored = facts.filter(F.col("txn_id") % 5 == 0).select("txn_id")
-    return anomaly.run_summary(jobs.find_anomalies(facts), facts, stored)
+    merged, rows = jobs.find_anomalies(facts)
+    return anomaly.run_summary(merged, facts, stored, rows)
 
 
 # --- forecast ----------------------------------------------------------------
@@ -492,9 +504,9 @@ def classification_report(spark, folder):
     return classify.classification_report(views.label_predictions(spark, folder))
 
 
-def _scored(spark, folder):
+def _scored(spark, folder, learn=classify.fit_centroids):
     docs = views.documents(spark, folder)
-    return classify.predict(docs, classify.fit(docs))
+    return classify.predict(docs, learn(docs))
 
 
 @query
@@ -502,6 +514,12 @@ def classify_batch(spark, folder):
     return _scored(spark, folder).select("doc_id", "predicted_category", "predicted_confidence")
 
 
+@query
+def classify_fitted(spark, folder):
+    """The same with the fitted model, whose optimiser SQL can't repeat."""
+    return _scored(spark, folder, classify.fit).select("doc_id", "predicted_category", "predicted_confidence")
+
+
 @query
 def predict_top3(spark, folder):
     top = _scored(spark, folder).select("doc_id", F.inline("top3"))
@@ -518,7 +536,7 @@ def classify_update(spark, folder):
         F.when(F.col("doc_id") % 5 != 0, category_key("category")).alias("category_id"),
         F.lit(None).cast("double").alias("confidence"),
     )
-    model = classify.fit(docs.filter(F.col("doc_id") % 5 != 0))
+    model = classify.fit_centroids(docs.filter(F.col("doc_id") % 5 != 0))
     known = docs.select(F.col("category").alias("name")).distinct().select(
         category_key("name").alias("category_id"), "name"
     )
@@ -528,6 +546,35 @@ def classify_update(spark, folder):
     return rest.unionByName(done.select(*rest.columns)).select("doc_id", "category_id", "confidence")
 
 
+@query
+def statement_run(spark, folder):
+    """The whole run over statement files: ingest, categorise, detect and forecast on a store of its own; its figures.
+
+    The model learns from the categorised orders.
+    """
+    store = TableStore(spark, run_folder(spark, "store"))
+    model = run_folder(spark, "model")
+    classify.save_model(spark, classify.fit_centroids(views.txn(spark, folder).select("description", "category")), model)
+    jobs.seed_categories(spark, store, SEGMENT_COLOURS | {"FURNITURE": "#888888"})
+    run = jobs.run_statement(spark, views.statement_files(spark, folder), store, model, p=P)
+
+    def figures(step: str, df, *columns: str):
+        pairs = [F.struct(F.lit(step).alias("step"), F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns]
+        return df.select(F.inline(F.array(*pairs)))
+
+    counts = ("total_read", "total_clean", "total_dropped", "duplicates_removed", "db_inserted", "db_skipped")
+    found = run.detection.summary
+    parts = [
+        figures("ingest", run.ingest, *counts),
+        figures("categorise", run.categorised, "updated"),
+        figures("detect", found, "zscore_flagged", "iforest_flagged", "total_flagged", "new_records", "total_transactions"),
+        figures("store", store.read("transactions").agg(F.count_if("is_anomaly").alias("flagged")), "flagged"),
+        run.forecast.forecasts.select(F.lit("forecast").alias("step"), F.col("category").alias("name"), F.col("predicted").alias("value")),
+        figures("forecast", run.forecast.coverage, "months_of_data", "categories_forecast"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def train_summary(spark, folder):
     return classify.train(views.documents(spark, folder), "doc_id")["summary"]

@@ -127,6 +127,62 @@ MERGED = Z + """, f AS (
     CASE WHEN f.txn_id IS NULL THEN z.z_score END AS z_score
   FROM z FULL JOIN f ON z.txn_id = f.txn_id)"""
 
+_LEVELS = 8  # ceil(log2(256))
+_EULER = "0.5772156649015329"
+
+
+def _path(n: str) -> str:
+    return f"CASE WHEN {n} <= 1 THEN 0.0 WHEN {n} = 2 THEN 1.0 ELSE 2.0 * (ln({n} - 1.0) + {_EULER}) - 2.0 * ({n} - 1.0) / {n} END"
+
+
+def _uniform(what: str) -> str:
+    return f"CAST('0x' || substr(md5('{what} 42:' || tree || ':' || node), 1, 13) AS BIGINT) / 4503599627370496.0"
+
+
+def _forest(source: str) -> str:
+    """Forest of 100 trees over a table: samples, one pair of tables per level, and every row's walk."""
+    parts = [f"""points AS (
+  SELECT row_number() OVER () AS rid, txn_id, date, amount, coalesce(ln(1 + CAST(amount AS DOUBLE)), 0) AS f0,
+    CAST(coalesce(isodow(date) - 1, 0) AS DOUBLE) AS f1, CAST(coalesce(day(date), 0) AS DOUBLE) AS f2 FROM {source}), total AS (
+  SELECT count(*) AS n, least(256, count(*)) AS size, 200 * least(256, count(*)) AS wanted FROM points), rates AS (
+  SELECT ceil(least(1.0, wanted / n) * 4294967296) AS pooled,
+    ceil(least(1.0, 512.0 / least(n, wanted)) * 4294967296) AS joined, size FROM total), pool AS (
+  SELECT points.*, joined, size FROM points, rates WHERE CAST('0x' || substr(md5('pool 42:' || txn_id), 1, 8) AS BIGINT) < pooled), drawn AS (
+  SELECT txn_id, tree, any_value(size) AS size, min(struct_pack(f0 := f0, f1 := f1, f2 := f2)) AS f FROM pool, (SELECT unnest(range(100)) AS tree)
+  WHERE CAST('0x' || substr(md5('42:' || tree || ':' || txn_id), 1, 8) AS BIGINT) < joined GROUP BY ALL), s0 AS (
+  SELECT tree, CAST(1 AS BIGINT) AS node, f.f0 AS f0, f.f1 AS f1, f.f2 AS f2 FROM drawn
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY md5('rank 42:' || tree || ':' || txn_id), txn_id) <= size), depth AS (
+  SELECT tree, ceil(log2(greatest(count(*), 2))) AS deepest FROM s0 GROUP BY tree)"""]
+    for d in range(_LEVELS + 1):
+        parts.append(f"""b{d} AS (
+  SELECT tree, node, count(*) AS n, [min(f0), min(f1), min(f2)] AS low, [max(f0), max(f1), max(f2)] AS high FROM s{d} GROUP BY tree, node), v{d} AS (
+  SELECT *, list_filter([1, 2, 3], lambda k: high[k] > low[k]) AS free FROM b{d}), c{d} AS (
+  SELECT *, CASE WHEN n > 1 AND len(free) > 0 AND {d} < deepest THEN free[1 + CAST(floor({_uniform('feature')} * len(free)) AS BIGINT)] END AS feature
+  FROM v{d} JOIN depth USING (tree)), n{d} AS (
+  SELECT tree, node, feature, low[feature] + {_uniform('split')} * (high[feature] - low[feature]) AS threshold, {d} + {_path('n')} AS path FROM c{d})""")
+        if d < _LEVELS:
+            parts.append(f"""s{d + 1} AS (
+  SELECT s.tree, 2 * s.node + CASE WHEN [f0, f1, f2][feature] <= threshold THEN 0 ELSE 1 END AS node, f0, f1, f2
+  FROM s{d} s JOIN n{d} n ON s.tree = n.tree AND s.node = n.node WHERE feature IS NOT NULL)""")
+    parts.append("w0 AS (SELECT rid, tree, CAST(1 AS BIGINT) AS node, f0, f1, f2 FROM points, (SELECT tree FROM depth))")
+    for d in range(_LEVELS):
+        parts.append(f"""w{d + 1} AS (
+  SELECT rid, w.tree, 2 * w.node + CASE WHEN [f0, f1, f2][feature] <= threshold THEN 0 ELSE 1 END AS node, f0, f1, f2
+  FROM w{d} w JOIN n{d} n ON w.tree = n.tree AND w.node = n.node WHERE feature IS NOT NULL)""")
+    ends = " UNION ALL ".join(
+        f"SELECT rid, path FROM w{d} w JOIN n{d} n ON w.tree = n.tree AND w.node = n.node WHERE feature IS NULL" for d in range(_LEVELS + 1)
+    )
+    parts.append(f"""ends AS ({ends}), scores AS (
+  SELECT rid, round(-pow(2.0, -(sum(path) / (SELECT count(*) FROM depth)) / (SELECT {_path('size')} FROM total)), 6) AS score FROM ends GROUP BY rid), decided AS (
+  SELECT txn_id, date, amount, score - (SELECT quantile_cont(score, 0.05) FROM scores) AS decision FROM scores JOIN points USING (rid)), forest AS (
+  SELECT txn_id, 'isolation_forest' AS method,
+    CASE WHEN decision < -0.2 THEN 'high' WHEN decision < -0.1 THEN 'medium' ELSE 'low' END AS severity,
+    'Isolation Forest detected unusual pattern. Transaction amount Rs ' || format('{{:,.0f}}', CAST(amount AS DOUBLE)) || ' on ' ||
+    strftime(date, '%Y-%m-%d') || ' shows abnormal behaviour across multiple dimensions. Anomaly score: ' ||
+    format('{{:.4f}}', decision) || '.' AS reason FROM decided WHERE decision < 0)""")
+    return ", ".join(parts)
+
+
 FLAGGED = Z + """, anomalies AS (
   SELECT txn_id, reason, severity FROM z UNION ALL
   SELECT -event_id - 1, 'orphan', 'low' FROM events WHERE event_id % 1000 = 0), flagged AS (
@@ -189,6 +245,34 @@ VOCAB = CLEANED + """, terms AS (
   SELECT term, CAST(n_total AS BIGINT) AS n_total, n_docs, ln((1.0 + n) / (1.0 + n_docs)) + 1 AS idf
   FROM per_term, size WHERE n_docs <= 0.95 * n ORDER BY n_total DESC, term LIMIT 3000)"""
 
+CENTROIDS = """docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, lang AS category FROM documents), learned AS (
+  SELECT * FROM docs WHERE category IS NOT NULL AND regexp_matches(text, '\\S') {where}), cleaned AS (
+  SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[a-z]+'),
+    lambda w: length(w) > 2 AND w NOT IN ('the', 'and', 'for', 'ltd', 'pvt')) AS words
+  FROM docs), terms AS (
+  SELECT doc_id, unnest(words) AS term FROM cleaned UNION ALL
+  SELECT doc_id, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))
+  FROM cleaned), counted AS (
+  SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL), per_term AS (
+  SELECT term, sum(tf) AS n_total, count(*) AS n_docs FROM counted SEMI JOIN learned USING (doc_id) GROUP BY term), size AS (
+  SELECT count(*) AS n FROM learned), vocab AS (
+  SELECT term, ln((1.0 + n) / (1.0 + n_docs)) + 1 AS idf
+  FROM per_term, size WHERE n_docs <= 0.95 * n ORDER BY n_total DESC, term LIMIT 3000), weighted AS (
+  SELECT doc_id, term, (1 + ln(tf)) * idf AS w FROM counted JOIN vocab USING (term)), lengths AS (
+  SELECT doc_id, sqrt(sum(w * w)) AS l FROM weighted GROUP BY doc_id), unit AS (
+  SELECT doc_id, term, w / l AS u FROM weighted JOIN lengths USING (doc_id)), sums AS (
+  SELECT category, term, sum(u) AS s FROM unit JOIN learned USING (doc_id) GROUP BY ALL), sizes AS (
+  SELECT category, sqrt(sum(s * s)) AS l FROM sums GROUP BY category), centroid AS (
+  SELECT category, term, 20.0 * s / l AS c FROM sums JOIN sizes USING (category)), dots AS (
+  SELECT doc_id, category, sum(u * c) AS m FROM unit JOIN centroid USING (term) GROUP BY ALL), margins AS (
+  SELECT d.doc_id, k.category, coalesce(dots.m, 0) AS m
+  FROM docs d CROSS JOIN (SELECT DISTINCT category FROM learned) k
+  LEFT JOIN dots ON dots.doc_id = d.doc_id AND dots.category = k.category), raised AS (
+  SELECT doc_id, category, exp(m - max(m) OVER (PARTITION BY doc_id)) AS x FROM margins), scored AS (
+  SELECT doc_id, category, x / sum(x) OVER (PARTITION BY doc_id) AS p FROM raised), placed AS (
+  SELECT doc_id, category, p, row_number() OVER (PARTITION BY doc_id ORDER BY p DESC, category) AS place FROM scored)"""
+
 RANKED = """ranked AS (
   SELECT doc_id, lang AS category, count(*) OVER (PARTITION BY lang) AS n,
     row_number() OVER (PARTITION BY lang ORDER BY md5('42:' || doc_id), doc_id) AS rn
@@ -241,6 +325,31 @@ SELECT original_rows AS total_read, (SELECT count(*) FROM uniq) AS total_clean,
   clean_rows - (SELECT count(*) FROM uniq) AS duplicates_removed,
   (SELECT count(*) FROM fresh) AS db_inserted,
   (SELECT count(*) FROM uniq) - (SELECT count(*) FROM fresh) AS db_skipped FROM report"""
+    sql["layout_ingest"] = f"""WITH {COPIES}, {_parsed('rows')}
+SELECT strftime(date, '%Y-%m-%d') AS date, description, CAST(amount AS DOUBLE) AS amount,
+  CASE WHEN k % 3 <> 0 THEN raw_text END AS raw_text FROM valid"""
+    sql["statement_run"] = f"""WITH {COPIES}, {_parsed('rows')}, {REPORT}, {UNIQUE}, facts AS (
+  SELECT sha256(strftime(date, '%Y-%m-%d') || '|' || amount || '|' || description) AS txn_id, date, amount,
+    upper(split_part(description, ' ', 1)) AS category FROM uniq), stats AS (
+  SELECT category, count(*) AS n, avg(CAST(amount AS DOUBLE)) AS mean, stddev_pop(CAST(amount AS DOUBLE)) AS std
+  FROM facts GROUP BY category), z AS (
+  SELECT txn_id FROM facts JOIN stats USING (category) WHERE n >= 3 AND std > 0 AND abs((CAST(amount AS DOUBLE) - mean) / std) > 2.5),
+  {_forest("facts")}, found AS (
+  SELECT z.txn_id IS NOT NULL AS by_z, forest.txn_id IS NOT NULL AS by_forest FROM z FULL JOIN forest ON z.txn_id = forest.txn_id), totals AS (
+  SELECT strftime(date, '%Y-%m') AS year_month, category, CAST(sum(amount) AS DOUBLE) AS total
+  FROM facts WHERE category NOT IN ('HOUSEHOLD', 'MACHINERY') GROUP BY ALL), months AS (
+  SELECT year_month, row_number() OVER (ORDER BY year_month) AS month_num FROM (SELECT DISTINCT year_month FROM totals)), history AS (
+  SELECT year_month, category, total, month_num FROM totals JOIN months USING (year_month)), {FORECAST.format(h="history")}, counted AS (
+  SELECT original_rows AS r, clean_rows AS c, (SELECT count(*) FROM uniq) AS u FROM report)
+SELECT 'ingest' AS step, unnest(['total_read', 'total_clean', 'total_dropped', 'duplicates_removed', 'db_inserted', 'db_skipped']) AS name,
+  CAST(unnest([r, u, r - c, c - u, u, 0]) AS DOUBLE) AS value FROM counted UNION ALL
+SELECT 'categorise', 'updated', u FROM counted UNION ALL
+SELECT 'detect', unnest(['zscore_flagged', 'iforest_flagged', 'total_flagged', 'new_records', 'total_transactions']),
+  unnest([count(*) FILTER (by_z), count(*) FILTER (by_forest), count(*), count(*), (SELECT u FROM counted)]) FROM found UNION ALL
+SELECT 'store', 'flagged', count(*) FROM found UNION ALL
+SELECT 'forecast', category, predicted FROM forecasts UNION ALL
+SELECT 'forecast', 'months_of_data', count(*) FROM months UNION ALL
+SELECT 'forecast', 'categories_forecast', count(*) FROM forecasts"""
     sql["preview_profile"] = f"""WITH {RAW}
 SELECT k, date, description, amount, (SELECT count(*) FROM raw) AS total_rows, 4 AS total_columns
 FROM raw ORDER BY k LIMIT 5"""
@@ -424,6 +533,21 @@ SELECT category, upper(category) AS title, predicted, {_rs('predicted')} AS labe
 SELECT doc_id, term, round(w / norm, 6) AS weight FROM w JOIN norms USING (doc_id)"""
     sql["class_weights"] = f"""WITH {DOCS}, c AS (SELECT category, count(*) AS n FROM docs GROUP BY category)
 SELECT category, n, round((SELECT count(*) FROM docs) / ((SELECT count(*) FROM c) * n), 6) AS weight FROM c"""
+    sql["iforest"] = f"WITH {EVT}, {_forest('evt')} SELECT txn_id, method, severity, reason FROM forest"
+    sql["anomaly_run_summary"] = f"""WITH {Z}, {_forest("evt")}, merged AS (
+  SELECT coalesce(z.txn_id, forest.txn_id) AS txn_id, z.txn_id IS NOT NULL AS by_z, forest.txn_id IS NOT NULL AS by_forest
+  FROM z FULL JOIN forest ON z.txn_id = forest.txn_id)
+SELECT count(*) FILTER (by_z) AS zscore_flagged, count(*) FILTER (by_forest) AS iforest_flagged, count(*) AS total_flagged,
+  count(*) FILTER (txn_id % 5 <> 0) AS new_records, (SELECT count(*) FROM events) AS total_transactions FROM merged"""
+    everything = CENTROIDS.format(where="")
+    sql["classify_batch"] = f"""WITH {everything}
+SELECT doc_id, category AS predicted_category, round(p, 4) AS predicted_confidence FROM placed WHERE place = 1"""
+    sql["predict_top3"] = f"""WITH {everything}
+SELECT doc_id, category, round(p, 4) AS probability FROM placed WHERE place <= 3"""
+    sql["classify_update"] = f"""WITH {CENTROIDS.format(where="AND doc_id % 5 <> 0")}
+SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN {_key("d.category")} ELSE {_key("b.category")} END AS category_id,
+  CASE WHEN doc_id % 5 = 0 OR d.category IS NULL THEN round(b.p, 4) END AS confidence
+FROM docs d JOIN placed b USING (doc_id) WHERE b.place = 1"""
     sql["stratified_split"] = f"""WITH {RANKED}
 SELECT doc_id, category, CASE WHEN rn <= n - round(n * 0.2) THEN 'train' ELSE 'test' END AS split FROM ranked"""
     sql["cv_folds"] = f"WITH {RANKED} SELECT doc_id, category, CAST((rn - 1) % 5 AS INTEGER) AS fold FROM ranked"

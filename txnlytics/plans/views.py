@@ -12,7 +12,7 @@ from txnlytics.functions.keys import category_key
 from txnlytics.functions.labels import lookup
 from txnlytics.operators.ingest import ORDER_COLUMN
 from txnlytics.params import MONEY, Params
-from txnlytics.session import materialise
+from txnlytics.session import materialise, run_folder
 
 # Income and transfer stand-ins among the market segments.
 SEGMENT_PARAMS = Params(income_category="HOUSEHOLD", transfer_category="MACHINERY")
@@ -117,9 +117,9 @@ def statement(spark: SparkSession, folder: str, copies: bool = False) -> DataFra
     return raw_txn(spark, folder, copies).drop("k", "copy")
 
 
-def two_column_statement(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders under foreign headers, with debit and credit amounts apart."""
-    rows = raw_txn(spark, folder)
+def two_column_statement(spark: SparkSession, folder: str, rows: DataFrame | None = None) -> DataFrame:
+    """Orders (or some of their rows) under foreign headers, with debit and credit amounts apart."""
+    rows = raw_txn(spark, folder) if rows is None else rows
     debit = F.col("k") % 2 == 0
     return rows.select(
         F.col("date").alias(" Transaction Date "),
@@ -130,6 +130,22 @@ def two_column_statement(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def statement_files(spark: SparkSession, folder: str) -> str:
+    """Orders, copies included, as CSV files of two layouts in one folder; every third is in the foreign layout."""
+    path = run_folder(spark, "statements")
+    rows = raw_txn(spark, folder, copies=True)
+    foreign = F.col("k") % 3 == 0
+    layouts = [
+        rows.filter(~foreign).select("date", "description", "amount"),
+        two_column_statement(spark, folder, rows.filter(foreign)),
+    ]
+    for layout in layouts:
+        layout.write.mode("append").options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(path)
+    return path
+
+
 def evt(spark: SparkSession, folder: str) -> DataFrame:
     """Events as transactions of skewed size; the type is the category."""
     kind = F.col("event_type")

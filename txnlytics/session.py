@@ -45,16 +45,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
+def run_folder(spark: SparkSession, label: str) -> str:
+    """Name of a new folder in the shared one."""
+    return f"{checkpoint_dir(spark)}/txnlytics/{label}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, label: str, compression: str = "snappy", schema=None) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it.
 
     Used where a result is read more than once or joined as a lookup. It survives
     the loss of executors, and the scan's file size is known to the optimiser, so
     a lookup is broadcast only when it really is below
     ``spark.sql.autoBroadcastJoinThreshold``; above that the join is a shuffle
-    join whose hot keys the adaptive skew handling splits.
+    join whose hot keys the adaptive skew handling splits. ``schema`` names other types
+    with the same stored form, such as vectors for structs.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/txnlytics/{label}-{uuid.uuid4().hex}"
+    path = run_folder(spark, label)
     df.write.parquet(path, compression=compression)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)

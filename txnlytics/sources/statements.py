@@ -10,7 +10,7 @@ from txnlytics.operators.classify import usable_labels
 from txnlytics.operators.ingest import ORDER_COLUMN, ValidationError
 
 CORRUPT = "_corrupt"
-_BOM = "﻿"
+BOM = "\ufeff"
 
 
 def statement_options(multiline: bool) -> dict:
@@ -39,7 +39,7 @@ def read_headers(spark: SparkSession, path, multiline: bool = True) -> list[str]
         raise ValidationError(f"cannot read statement {path}: {condition}") from error
     if not first:
         raise ValidationError(f"statement {path} is empty")
-    return [(cell or "").lstrip(_BOM) for cell in first[0]]
+    return [(cell or "").lstrip(BOM) for cell in first[0]]
 
 
 def unique_headers(headers: list[str]) -> list[str]:
@@ -79,18 +79,15 @@ def usable_rows(scan: DataFrame, headers: list[str]) -> DataFrame:
     return kept.select(*cells, *(c for c in scan.columns if c.startswith("_") and c != CORRUPT))
 
 
-def read_statements(spark: SparkSession, path, multiline: bool = True) -> DataFrame:
-    """Raw statement rows of one layout, in file order by the ``_ord`` column.
+def scan_layout(spark: SparkSession, path, headers: list[str], multiline: bool, check: bool = False) -> DataFrame:
+    """Raw rows of files that share one header, in file order by the ``_ord`` column.
 
-    All files must share one header: a file with another one fails the read instead
-    of being read by position. ``multiline=False`` lets large files be split, at the
-    price of no line breaks inside quotes.
+    ``check`` makes Spark compare every file's header with ``headers``.
     """
-    headers = read_headers(spark, path, multiline)
     unique = len({h.lower() for h in headers}) == len(headers)
     scan = (
         spark.read.options(**statement_options(multiline))
-        .option("enforceSchema", str(not unique or not all(headers)).lower())
+        .option("enforceSchema", str(not (check and unique and all(headers))).lower())
         .schema(statement_schema(headers))
         .csv(path)
     )
@@ -102,6 +99,16 @@ def read_statements(spark: SparkSession, path, multiline: bool = True) -> DataFr
     return usable_rows(scan.withColumn(ORDER_COLUMN, order), headers)
 
 
+def read_statements(spark: SparkSession, path, multiline: bool = True) -> DataFrame:
+    """Raw statement rows of one layout.
+
+    All files must share one header: a file with another one fails the read instead
+    of being read by position (``deliveries`` reads several layouts). ``multiline=False``
+    lets large files be split, at the price of no line breaks inside quotes.
+    """
+    return scan_layout(spark, path, read_headers(spark, path, multiline), multiline, check=True)
+
+
 def read_labels(spark: SparkSession, path) -> DataFrame:
     """(description, category) rows for training; unusable rows left out."""
     headers = read_headers(spark, path)

@@ -1,20 +1,20 @@
-"""Durable parquet tables whose readers always see one consistent state.
+"""Durable tables: plain Parquet folders written by Spark's own writer.
 
-A table is a set of immutable partition folders named in a numbered manifest.
-Writing adds folders, then publishes the next manifest: a failed or repeated job
-leaves the table as it was, and no folder that is being read is ever overwritten.
-The fact table is partitioned by ``year_month``, so an update rewrites the months it
-touches and nothing else. Publishing relies on a file system whose rename is atomic.
+The fact table is partitioned by month, saved forecasts by the month they are for. New
+rows are appended; changed rows replace the partitions they lie in (dynamic partition
+overwrite), so an update rewrites the months it touches and nothing else. One job at a
+time may write a table; appends and updates may be repeated after a failure.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
+from collections import Counter
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txnlytics.params import ANOMALIES, CATEGORIES, FORECASTS, TRANSACTIONS
+from txnlytics.params import ANOMALIES, CATEGORIES, FILE_LOG, FORECASTS, MONTH_TOTALS, TRANSACTIONS
+from txnlytics.session import materialise
 
 MONTH = "year_month"
 
@@ -23,99 +23,72 @@ SCHEMAS = {
     "transactions": TRANSACTIONS,
     "anomalies": ANOMALIES,
     "forecasts": FORECASTS,
+    "month_totals": MONTH_TOTALS,
+    "file_log": FILE_LOG,
 }
-PARTITIONED = {"transactions"}
+PARTITION = {"transactions": MONTH, "month_totals": MONTH, "forecasts": "forecast_month"}
 
 
 class TableStore:
-    """The four tables below one root folder on any Hadoop file system."""
+    """The tables below one root folder on any Hadoop file system."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        jvm = spark._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    # -- reading ---------------------------------------------------------------
-
-    def read(self, table: str, months: list[str] | None = None) -> DataFrame:
-        """Current rows; ``months`` restricts a partitioned table to those folders."""
-        parts = self._parts(table)
-        if months is not None:
-            wanted = set(months)
-            parts = [p for p in parts if _month_of(p) in wanted]
+
+    def _path(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def read(self, table: str, parts: list | None = None) -> DataFrame:
+        """Current rows; ``parts`` restricts a partitioned table to those months.
+
+        A scan of one folder however often the table was written. Frames should be taken
+        anew after an update, whose files replace those they were planned on.
+        """
         schema = SCHEMAS[table]
-        if not parts:
+        try:
+            rows = self.spark.read.schema(schema).parquet(self._path(table))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
-        base = f"{self.root}/{table}/data"
-        return (
-            self.spark.read.schema(T.StructType([*schema.fields, T.StructField("gen", T.StringType())]))
-            .option("basePath", base)
-            .parquet(*(f"{base}/{p}" for p in parts))
-            .select(*schema.fieldNames())
-        )
-
-    # -- writing ---------------------------------------------------------------
+        if parts is not None:
+            rows = rows.filter(F.col(PARTITION[table]).isin(*parts))
+        return rows.select(*schema.fieldNames())
 
-    def append(self, table: str, rows: DataFrame) -> None:
-        before = self._version(table)
-        self._publish(table, before, self._parts(table) + self._write(table, rows))
-
-    def replace(self, table: str, rows: DataFrame, months: list[str] | None = None) -> None:
-        """New content of the whole table or, if given, of those months only."""
-        before, parts = self._version(table), self._parts(table)
-        gone = set(months) if months is not None else None
-        kept = [] if gone is None else [p for p in parts if _month_of(p) not in gone]
-        self._publish(table, before, kept + self._write(table, rows))
-
-    def _write(self, table: str, rows: DataFrame) -> list[str]:
-        generation = f"gen={uuid.uuid4().hex}"
-        target = f"{self.root}/{table}/data/{generation}"
+    def _writer(self, table: str, rows: DataFrame, mode: str):
         rows = rows.select(*SCHEMAS[table].fieldNames())
-        if table not in PARTITIONED:
-            rows.write.parquet(target)
-            return [generation]
+        part = PARTITION.get(table)
+        if part is None:
+            return rows.write.mode(mode)
         # Rebalancing splits a hot month over several files and keeps small ones whole.
-        rows.hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(target)
-        folders = self._fs.listStatus(self._path(target))
-        names = [f.getPath().getName() for f in folders if f.isDirectory()]
-        return [f"{generation}/{name}" for name in sorted(names) if name.startswith(f"{MONTH}=")]
-
-    # -- manifests ---------------------------------------------------------------
-
-    def _manifest(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/manifest/{version:010d}.json"
-
-    def _version(self, table: str) -> int:
-        folder = self._path(f"{self.root}/{table}/manifest")
-        if not self._fs.exists(folder):
-            return 0
-        names = [f.getPath().getName() for f in self._fs.listStatus(folder)]
-        return max((int(n[:-5]) for n in names if n.endswith(".json")), default=0)
-
-    def _parts(self, table: str) -> list[str]:
-        version = self._version(table)
-        if not version:
-            return []
-        text = self.spark.read.text(self._manifest(table, version), wholetext=True).first()[0]
-        return json.loads(text)["parts"]
-
-    def _publish(self, table: str, before: int, parts: list[str]) -> None:
-        # Renaming onto an existing name fails, so two writers cannot both win.
-        final = self._path(self._manifest(table, before + 1))
-        draft = self._path(f"{self.root}/{table}/manifest/draft-{uuid.uuid4().hex}")
-        stream = self._fs.create(draft)
-        stream.write(bytearray(json.dumps({"parts": parts}).encode()))
-        stream.close()
-        if self._fs.exists(final) or not self._fs.rename(draft, final):
-            raise RuntimeError(f"table {table} was changed by another job; run again")
-
-
-def _month_of(part: str) -> str | None:
-    return part.rsplit(f"{MONTH}=", 1)[1] if f"{MONTH}=" in part else None
-
-
-def months_in(rows: DataFrame) -> list[str]:
-    """Distinct months of ``rows``; at most 12 per calendar year."""
-    return sorted(r[0] for r in rows.select(MONTH).distinct().collect())
+        return rows.hint("rebalance", part).write.mode(mode).partitionBy(part)
+
+    def append(self, table: str, rows: DataFrame) -> None:
+        self._writer(table, rows, "append").parquet(self._path(table))
+
+    def update(self, table: str, rows: DataFrame) -> None:
+        """``rows`` become the content of the partitions that occur in them; the others stay as they are."""
+        if table not in PARTITION:
+            raise ValueError(f"table {table} has no partitions to update")
+        # Pinned, since the rows usually derive from the very files that are replaced.
+        pinned = materialise(rows.select(*SCHEMAS[table].fieldNames()), f"update-{table}")
+        self._writer(table, pinned, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(self._path(table))
+
+    def compact(self, table: str, more_than: int = 16) -> list[str]:
+        """Rewrites the partitions of more than ``more_than`` files in fewer; returns their values.
+
+        Small appends leave small files; rows do not change. The count uses the file
+        list that every scan has.
+        """
+        part = PARTITION[table]
+        names = (f.rsplit(f"{part}=", 1)[1].split("/", 1)[0] for f in self.read(table).inputFiles())
+        parts = sorted(name for name, files in Counter(names).items() if files > more_than)
+        if parts:
+            self.update(table, self.read(table).filter(F.col(part).cast("string").isin(*parts)))
+        return parts
+
+
+def parts_in(rows: DataFrame, column: str = MONTH) -> list:
+    """Distinct values of a partition column; at most 12 per calendar year."""
+    return sorted(r[0] for r in rows.select(column).distinct().collect())

@@ -1,9 +1,11 @@
-"""File-drop ingest: new statement files are picked up exactly once.
+"""File-drop ingest: new statement files, of whatever layouts, are taken up exactly once.
 
-Two plain steps. A stream scans and cleans each new file - row by row, so without
-state or watermark - into a landing table. A batch step then deduplicates landed
-rows and appends those the store lacks. Repeating either step is harmless: the
-stream's checkpoint remembers its files, and the append skips what is stored.
+Two plain steps. A stream lists arriving files - names only, so without state - into a
+landing table. A batch step then surveys those not in the store's file log, scans them by
+layout, appends the rows the store lacks and logs every file with its counts or its
+problem. Repeating either step is harmless: the stream's checkpoint remembers its files,
+and a file whose rows were stored but not yet logged adds nothing when it is read again.
+It does not use ``foreachBatch``, which would open a callback port.
 """
 
 from __future__ import annotations
@@ -12,46 +14,33 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txnlytics.operators import ingest
+from txnlytics.plans import jobs
 from txnlytics.session import materialise
-from txnlytics.sources.statements import (
-    read_headers,
-    statement_options,
-    statement_schema,
-    usable_rows,
-)
-from txnlytics.sources.store import TableStore, months_in
+from txnlytics.sources.deliveries import Delivery, file_counts, read_deliveries, readable
+from txnlytics.sources.store import TableStore
 
 LOAD_DATE = "load_date"
 
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+_LANDED = f"file string, modified timestamp, bytes bigint, {LOAD_DATE} date"
 
-def cleaned_stream(spark: SparkSession, folder: str, multiline: bool = True) -> DataFrame:
-    """Streaming frame of cleaned rows, invalid ones included with their ``drop_step``."""
-    headers = read_headers(spark, folder, multiline)
-    scan = (
-        spark.readStream.options(**statement_options(multiline))
-        .option("enforceSchema", "false")
-        .schema(statement_schema(headers))
-        .csv(folder)
-    )
-    # Arrival order of files. Streams cannot number rows, so among copies inside one
-    # file the smaller raw text is kept; the other stored columns are equal anyway.
-    order = F.struct(
-        F.col("_metadata.file_modification_time").alias("arrived"),
+
+def arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """Streaming frame of the files in a folder that are not empty; their content is not read."""
+    found = spark.readStream.format("binaryFile").schema(_FILES).load(folder)
+    modified = F.col("_metadata.file_modification_time")
+    return found.select(
         F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
+        modified.alias("modified"),
+        F.col("_metadata.file_size").alias("bytes"),
+        F.to_date(modified).alias(LOAD_DATE),
     )
-    located = scan.withColumn(ingest.ORDER_COLUMN, order)
-    named = ingest.normalise_columns(usable_rows(located, headers))
-    cleaned = ingest.clean_rows(ingest.statement_columns(named))
-    return cleaned.withColumn(LOAD_DATE, F.to_date(f"{ingest.ORDER_COLUMN}.arrived"))
 
 
-def start_file_drop(
-    spark: SparkSession, folder: str, landing: str, checkpoint: str, multiline: bool = True
-) -> StreamingQuery:
-    """Clean every file not seen before into the landing table, then stop."""
+def start_file_drop(spark: SparkSession, folder: str, landing: str, checkpoint: str) -> StreamingQuery:
+    """Land the name of every file not seen before, then stop."""
     return (
-        cleaned_stream(spark, folder, multiline)
+        arrivals(spark, folder)
         .writeStream.format("parquet")
         .partitionBy(LOAD_DATE)
         .option("path", landing)
@@ -62,20 +51,44 @@ def start_file_drop(
     )
 
 
-def absorb_landing(
-    spark: SparkSession, landing: str, store: TableStore, load_dates: list[str] | None = None
-) -> DataFrame:
-    """Append landed rows the store lacks; returns the run's counts.
+def _log_rows(spark: SparkSession, files: list, found: Delivery, counts: DataFrame | None) -> DataFrame:
+    """One log row per file; a blank file is read with no rows."""
+    listed = spark.createDataFrame(
+        [(f["file"], f["modified"], found.layout.get(f["file"]), found.problem.get(f["file"])) for f in files],
+        "file string, modified timestamp, layout string, problem string",
+    )
+    if counts is None:
+        counts = spark.createDataFrame([], "file string, total_read bigint, total_dropped bigint")
+    zero = F.lit(0).cast("bigint")
+    return listed.join(counts, "file", "left").select(
+        "file", "modified", "layout", "problem",
+        F.coalesce("total_read", zero).alias("total_read"), F.coalesce("total_dropped", zero).alias("total_dropped"),
+        F.current_timestamp().alias("logged_at"),
+    )
+
+
+def absorb_landing(spark: SparkSession, landing: str, store: TableStore, load_dates: list[str] | None = None) -> DataFrame:
+    """Ingest the landed files that the store's log lacks; returns the counts of this run.
 
-    ``load_dates`` limits the scan to those landing partitions.
+    ``load_dates`` limits the scan to those landing partitions. A file that can't be used is
+    logged with its problem and does not hold up the others; a changed file is a new one.
     """
-    landed = spark.read.parquet(landing)
+    landed = spark.read.schema(_LANDED).parquet(landing)
     if load_dates is not None:
         landed = landed.filter(F.col(LOAD_DATE).isin(*load_dates))
-    cleaned = landed.drop(LOAD_DATE)
-    unique = materialise(ingest.dedupe(ingest.valid_rows(cleaned)), "unique")
-    rows = ingest.new_transactions(ingest.final_columns(unique))
-    fresh = materialise(ingest.append_new(rows, store.read("transactions", months_in(rows))), "fresh")
-    if not fresh.isEmpty():
-        store.append("transactions", fresh)
-    return ingest.ingest_summary(cleaned, unique, fresh)
+    fresh = landed.select("file", "modified").distinct().join(store.read("file_log"), ["file", "modified"], "left_anti")
+    # The names of new files, as any scan of them needs on the driver.
+    files = fresh.orderBy("file").collect()
+    found = read_deliveries(spark, [readable(f["file"]) for f in files]) if files else Delivery()
+    counts = None
+    if found.rows is None:
+        nothing = spark.createDataFrame([], "date date, description string, amount decimal(12,2), drop_step string")
+        summary = ingest.ingest_summary(nothing, nothing.withColumn("copies", F.lit(1)), nothing)
+    else:
+        cleaned = materialise(ingest.clean_rows(found.rows), "cleaned")
+        counts = file_counts(cleaned)
+        summary = jobs.store_cleaned(cleaned, store)
+    summary = materialise(summary, "ingest-summary")
+    if files:
+        store.append("file_log", _log_rows(spark, files, found, counts))
+    return summary
