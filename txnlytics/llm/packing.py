@@ -7,6 +7,7 @@ import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -47,8 +48,8 @@ class Encoder:
     """Token ids of texts.
 
     The vocabulary drops blanks and never joins across them, nor across the border of
-    letters and marks, so a text's ids are those of its units in turn. Texts with other
-    characters are taken word by word.
+    letters and marks, so a text's ids are those of its units in turn. Words with other
+    characters are taken whole. Bytes that are no UTF-8 count as replacement characters.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -76,23 +77,40 @@ class Encoder:
                 begin = end
 
     def _split(self, text: str) -> list[str]:
-        if _OTHER.search(text):
-            # The blank tells whole words from units.
-            return [" " + word for word in _WORDS.findall(text)]
-        return _UNITS.findall(text.lower())
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [self._split(text.decode()) for text in texts]
-        wanted = set().union(*split)
-        fresh = wanted.difference(self.parts)
-        if fresh and len(self.parts) + len(fresh) > REMEMBERED:
-            self.parts, fresh = {}, wanted
+        if not _OTHER.search(text):
+            return _UNITS.findall(text.lower())
+        out: list[str] = []
+        for word in _WORDS.findall(text):
+            if _OTHER.search(word):
+                out.append(" " + word)  # the blank tells whole words from units
+            else:
+                out += _UNITS.findall(word.lower())
+        return out
+
+    def _learn(self, fresh: set[str]) -> None:
         words = [x for x in fresh if x[0] == " "]
         self._learn_parts([x for x in fresh if x[0] != " "])
         for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
             self.parts[word] = np.array(found.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.parts.__getitem__, units)) for units in split]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        split = [self._split(text.decode("utf-8", "replace")) for text in texts]
+        units = list(chain.from_iterable(split))
+        ids = list(map(self.parts.get, units))
+        unknown = [k for k, part in enumerate(ids) if part is None]
+        if unknown:
+            fresh = {units[k] for k in unknown}
+            if len(self.parts) + len(fresh) > REMEMBERED:
+                self.parts = {}
+            self._learn(fresh)
+            for k in unknown:
+                ids[k] = self.parts[units[k]]
+        out, at = [], 0
+        for part in split:
+            out.append(b"".join(ids[at : at + len(part)]))
+            at += len(part)
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
