@@ -63,4 +63,17 @@ def materialise(df: DataFrame, label: str, compression: str = "snappy", schema=N
     spark = df.sparkSession
     path = run_folder(spark, label)
     df.write.parquet(path, compression=compression)
-    return spark.read.schema(schema or df.schema).parquet(path)
+    stored = spark.read.schema(schema or df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(*frames: DataFrame) -> None:
+    """Removes intermediate tables that nothing reads any more, so that rounds of a job don't pile up.
+
+    To be called once everything that derives from them is itself written.
+    """
+    for frame in frames:
+        spark, path = frame.sparkSession, frame.stored_at
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
