@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from txnlytics.session import materialise
+from txnlytics.session import discard, materialise
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -37,7 +37,8 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(lower, F.col("v") == F.col("u")).select(
             F.explode(F.array(F.struct(F.col("v"), F.col("low").alias("m")), F.struct(F.col("m").alias("v"), F.col("low").alias("m")))).alias("e")
         ).select("e.v", "e.m").filter(F.col("v") != F.col("m")).distinct()
-        edges = materialise(small, "links")
+        before, edges = edges, materialise(small, "links")
+        discard(before, large)
         targets = edges.select(F.col("m").alias("t")).distinct()
         loose = edges.join(targets, F.col("v") == F.col("t"), "left_semi")
         doubled = edges.groupBy("v").count().filter(F.col("count") > 1)

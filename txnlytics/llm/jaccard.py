@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from txnlytics.llm.common import WordHasher, mix, slices
 from txnlytics.llm.components import components
-from txnlytics.session import materialise
+from txnlytics.session import discard, materialise
 
 
 @dataclass(frozen=True)
@@ -32,8 +32,8 @@ class Join:
     pivots: int = 8
     depth: int = 4
     ordered: int = 65_536
-    slice_bytes: int = 6 << 20
-    bucket_grams: int = 2_000_000
+    slice_bytes: int = 2 << 20
+    bucket_grams: int = 500_000
 
 
 HEAVY_BIT = np.uint64(1) << np.uint64(63)
@@ -149,6 +149,7 @@ def _frequent(df: DataFrame, text: str, rules: Join) -> tuple[np.ndarray, np.nda
     found = materialise(found, "frequent")
     total = found.filter("gram = -1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     top = found.filter("gram >= 0 and n >= 32").orderBy(F.desc("n"), "gram").limit(rules.ordered).toPandas()
+    discard(found)
     values = top["gram"].to_numpy(dtype=np.int64).view(np.uint64)
     rank = np.arange(len(values), 0, -1, dtype=np.uint64)
     order = np.argsort(values)
@@ -326,7 +327,10 @@ def _candidate_edges(blobs: DataFrame, docs: DataFrame, rules: Join) -> DataFram
         pairs = np.unique(pairs, axis=1)
         return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
 
-    return dealt.select("g", "gram", "i", "j", "node", "n", "place", "classes", "lead").groupBy("g").applyInPandas(compare, "a long, b long").distinct()
+    compared = dealt.select("g", "gram", "i", "j", "node", "n", "place", "classes", "lead").groupBy("g").applyInPandas(compare, "a long, b long")
+    edges = materialise(compared.distinct(), "edges")
+    discard(met, large)
+    return edges
 
 
 # --- joining regions ----------------------------------------------------------------------
@@ -545,9 +549,10 @@ def near_duplicates(df: DataFrame, rules: Join = Join(), key: str = "doc_id", te
     values, rank, total = _frequent(df, text, rules)
     buckets = max(8, total * (100 - rules.percent) // 100 // rules.bucket_grams + 1)
     scanned = materialise(_scan(df, key, text, rules, (values, rank), buckets), "grams")
-    docs = scanned.filter("bucket < 0").select("key", "set_key", "n")
     counted = scanned.filter("bucket < 0").select("set_key", "n", "classes")
-    edges = materialise(_candidate_edges(scanned.filter("bucket >= 0").drop("key", "set_key", "n", "classes"), counted, rules), "edges")
+    edges = _candidate_edges(scanned.filter("bucket >= 0").drop("key", "set_key", "n", "classes"), counted, rules)
+    docs = materialise(scanned.filter("bucket < 0").select("key", "set_key", "n"), "sets")
+    discard(scanned)
     regions = components(edges)
     classes = docs.filter("n > 0").groupBy("set_key").agg(F.min("key").alias("rep"))
     nodes = materialise(
