@@ -52,6 +52,10 @@ RAW = """raw AS (
     CASE WHEN o_orderkey % 41 = 0 THEN 'abc'
          WHEN o_orderkey % 7 = 0 THEN '(' || CAST(o_totalprice AS DECIMAL(12,2)) || ')'
          WHEN o_orderkey % 5 = 0 THEN 'Rs ' || format('{:,.2f}', o_totalprice)
+         WHEN o_orderkey % 11 = 0 THEN '₹' || CAST(o_totalprice AS DECIMAL(12,2)) || ' K'
+         WHEN o_orderkey % 13 = 0 THEN '-$ ' || CAST(o_totalprice AS DECIMAL(12,2))
+         WHEN o_orderkey % 17 = 0 THEN 'Rs. ' || o_orderkey % 1000
+         WHEN o_orderkey % 19 = 0 THEN CAST(o_totalprice AS DECIMAL(12,2)) || '5'
          ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END AS amount,
     0 AS copy
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
@@ -66,8 +70,8 @@ def _parsed(source: str) -> str:
   SELECT k, copy, description AS raw_text,
     CAST(try_strptime(date, ['%d/%m/%Y', '%d-%b-%y', '%d %b %Y', '%Y-%m-%d', '%b %d, %Y', '%Y%m%d', '%d.%m.%Y',
       '%a, %d %b %Y', '%d %B %Y', '%d/%m/%Y, %H:%M']) AS DATE) AS date,
-    abs(try_cast(regexp_replace(regexp_replace(amount, '^\\((.+)\\)$', '-\\1'), '[A-Za-z ,]', '', 'g')
-      AS DECIMAL(12,2))) AS amount,
+    CAST(round_even(abs(try_cast(regexp_replace(regexp_replace(amount, '^\\((.+)\\)$', '-\\1'), '[A-Za-z ,$₹]', '', 'g')
+      AS DOUBLE)) * 100, 0) / 100 AS DECIMAL(12,2)) AS amount,
     nullif(lower(trim(regexp_replace(description, ' +', ' ', 'g'))), '') AS description
   FROM {source}), valid AS (
   SELECT * FROM parsed WHERE date IS NOT NULL AND amount IS NOT NULL AND description IS NOT NULL)"""

@@ -99,6 +99,10 @@ def raw_txn(spark: SparkSession, folder: str, copies: bool = False) -> DataFrame
         F.when(k % 41 == 0, "abc")
         .when(k % 7 == 0, F.concat(F.lit("("), money.cast("string"), F.lit(")")))
         .when(k % 5 == 0, F.concat(F.lit("Rs "), F.format_number(money, 2)))
+        .when(k % 11 == 0, F.concat(F.lit("₹"), money.cast("string"), F.lit(" K")))
+        .when(k % 13 == 0, F.concat(F.lit("-$ "), money.cast("string")))
+        .when(k % 17 == 0, F.concat(F.lit("Rs. "), (k % 1000).cast("string")))  # the dot stays
+        .when(k % 19 == 0, F.concat(money.cast("string"), F.lit("5")))  # a third decimal, half-way
         .otherwise(money.cast("string"))
         .alias("amount"),
     )
