@@ -32,7 +32,7 @@ class Parsing:
 
 # --- text to symbols ----------------------------------------------------------------
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]+")  # letters, and a few signs such as fractions
 _SYMBOL = np.zeros(256, dtype=np.uint8)  # 0: anything between words
 _SYMBOL[97:123] = np.arange(1, 27)
 _SYMBOL[65:91] = np.arange(1, 27)
@@ -40,6 +40,12 @@ _SYMBOL[128:] = np.arange(27, 155)
 ALPHABET = 155
 
 
+def has_letter(text: bytes) -> bool:
+    """Whether a text has a letter (Unicode category L); bytes that are no UTF-8 have none."""
+    decoded = text.decode("utf-8", "replace")
+    return any(any(map(str.isalpha, run.group())) for run in _LETTER.finditer(decoded))
+
+
 def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(symbols of all texts, end of each): Latin letters lowered, runs between words as one symbol."""
     raw = np.frombuffer(b"".join(texts), dtype=np.uint8).copy()
@@ -220,7 +226,7 @@ def identify(df: DataFrame, model: Model, rules: Parsing = Parsing(), text: str
             bodies = batch.column(text).to_pylist()
             for begin, end in slices(bodies, 4 << 20):
                 texts = bodies[begin:end]
-                clear = np.array([bool(_LETTER.search(t.decode())) for t in texts]) & bool(known.languages)
+                clear = np.array([has_letter(t) for t in texts]) & bool(known.languages)
                 name = np.full(len(texts), UNDETERMINED, dtype=object)
                 score = np.zeros(len(texts))
                 if clear.any():
