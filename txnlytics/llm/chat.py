@@ -22,9 +22,9 @@ Schemas = Mapping[str, Mapping[str, Argument]]
 
 # --- Fixed values: JSON spellings of the argument kinds --------------------------
 KIND_PATTERNS = {
-    "integer": r"^-?(0|[1-9][0-9]*)$",
-    "number": r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$",
-    "boolean": "^(true|false)$",
+    "integer": r"^-?(0|[1-9][0-9]*)\z",
+    "number": r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?\z",
+    "boolean": r"^(true|false)\z",
 }
 
 
@@ -55,8 +55,20 @@ def argument_errors(name: Column, arguments: Column, schemas: Schemas) -> Column
     return found
 
 
+def canonical_scalar(text: Column) -> Column:
+    """One spelling for each JSON number or boolean: whole numbers as such, others as the shortest double, no minus zero.
+
+    Whole numbers that are spelled as such keep all their digits; what a double can't hold keeps its spelling.
+    """
+    number = text.try_cast("double")
+    whole = (number == F.floor(number)) & (F.abs(number) < 1e15)
+    short = F.regexp_replace(F.regexp_replace(number.cast("string"), r"\.0(?=E|\z)", ""), "E", "e")
+    plain = text.rlike(KIND_PATTERNS["integer"]) | text.rlike(KIND_PATTERNS["boolean"]) | (F.abs(number) == float("inf"))
+    return F.when(number == 0, "0").when(plain, text).when(whole, number.cast("bigint").cast("string")).otherwise(short)
+
+
 def canonical_arguments(name: Column, arguments: Column, schemas: Schemas) -> Column:
-    """JSON object with sorted keys and no blanks; well-typed numbers and booleans stay bare, the rest are strings."""
+    """JSON object with sorted keys and no blanks; well-typed numbers and booleans are bare, the rest are strings."""
     pairs = F.array_sort(F.map_entries(F.coalesce(arguments, F.create_map().cast("map<string,string>"))))
 
     def bare(key: Column, value: Column) -> Column:
@@ -72,7 +84,7 @@ def canonical_arguments(name: Column, arguments: Column, schemas: Schemas) -> Co
         lambda x: F.concat(
             json_text(x["key"]),
             F.lit(":"),
-            F.when(F.coalesce(bare(x["key"], x["value"]), F.lit(False)), x["value"]).otherwise(json_text(x["value"])),
+            F.when(F.coalesce(bare(x["key"], x["value"]), F.lit(False)), canonical_scalar(x["value"])).otherwise(json_text(x["value"])),
         ),
     )
     return F.concat(F.lit("{"), F.concat_ws(",", members), F.lit("}"))
@@ -85,7 +97,7 @@ def dependency_depth(calls: DataFrame) -> DataFrame:
     pointer, so a chain of n calls takes log2(n) joins on the identifier, each of which
     spreads evenly since identifiers are unique. An ``after`` that names no call is none.
     """
-    ids = calls.select(F.col("call_id").alias("to"))
+    ids = calls.select(F.col("call_id").alias("to")).hint("shuffle_hash")
     state = materialise(
         calls.join(ids, F.col("after") == F.col("to"), "left").select(
             "call_id", F.col("to").alias("next"), F.when(F.col("to").isNotNull(), 1).otherwise(0).cast("long").alias("depth")
@@ -95,7 +107,7 @@ def dependency_depth(calls: DataFrame) -> DataFrame:
     total = state.count()
     reach = 1
     while reach <= total and not state.filter(F.col("next").isNotNull()).isEmpty():
-        ahead = state.select(F.col("call_id").alias("id"), F.col("next").alias("next2"), F.col("depth").alias("depth2"))
+        ahead = state.select(F.col("call_id").alias("id"), F.col("next").alias("next2"), F.col("depth").alias("depth2")).hint("shuffle_hash")
         joined = state.join(ahead, F.col("next") == F.col("id"), "left")
         state = materialise(
             joined.select(
@@ -134,7 +146,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFr
         .agg(F.min("content").alias("content"), F.count("*").alias("n_results"))
     )
     depth = dependency_depth(unique.select("call_id", "after"))
-    joined = unique.join(answered, "call_id", "left").join(depth, "call_id")
+    # Hash joins by identifier; the hashed side has one row per identifier.
+    joined = unique.join(answered.hint("shuffle_hash"), "call_id", "left").join(depth.hint("shuffle_hash"), "call_id")
     errors = argument_errors(F.col("name"), F.col("arguments"), schemas)
     body = F.concat(
         F.lit('{"arguments":'), canonical_arguments(F.col("name"), F.col("arguments"), schemas),

@@ -11,11 +11,10 @@ from txnlytics.llm import (
 )
 from txnlytics.llm.chat import Argument
 from txnlytics.llm.common import words_of
+from txnlytics.llm.sql import SHARDS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SHARDS = tuple(f"shard-{k:03d}" for k in range(64))
-
 TURN_SCHEMAS = {
     "reply": {"length": Argument("integer"), "prompt": Argument("string"), "turn": Argument("integer")},
     "greet": {
@@ -69,7 +68,7 @@ def op3_chat_formatting(spark, folder):
         F.lit("turn"), F.col("turn").cast("string"),
         F.lit("length"), F.when(F.col("turn") % 5 != 4, F.length("text").cast("string")).otherwise("long"),
     )
-    ident = lambda turn: F.concat_ws(":", F.col("conv_id").cast("string"), turn.cast("string"))
+    ident = lambda turn: F.concat(F.col("conv_id").cast("string"), F.lit(":"), turn.cast("string"))
     calls = turns.filter(F.col("role") == "user").select(
         "conv_id",
         ident(F.col("turn")).alias("call_id"),

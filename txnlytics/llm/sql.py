@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from txnlytics.llm import mixing, quality, runs, spelling, vectors
+from txnlytics.llm import mixing, quality, runs, sharding, spelling, vectors
+
+#: The shards of the query.
+SHARDS = tuple(f"shard-{k:03d}" for k in range(64))
 
 _BLANK = r"[\x20\x09-\x0D]+"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -141,6 +144,46 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_
 """
 
 
+def _sharding() -> str:
+    table = "".join(f"{k:03d}" for k in sharding.fill_table(SHARDS))
+    return f"""
+SELECT doc_id, slot, 'shard-' || substr('{table}', slot * 3 + 1, 3) AS shard FROM (
+  SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT) % {sharding.SLOTS} AS slot FROM documents)
+"""
+
+
+def _chat() -> str:
+    text = "CASE WHEN {c} IS NULL THEN 'null' ELSE CAST(to_json({c}) AS VARCHAR) END"
+    return f"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id, turn, role, text, CAST(conv_id AS VARCHAR) || ':' || turn AS ident FROM conversations
+), call AS (
+  SELECT conv_id, turn, ident AS call_id, text AS prompt,
+         CASE WHEN turn = 0 THEN 'greet' WHEN turn % 7 = 6 THEN 'search' ELSE 'reply' END AS name,
+         CASE WHEN turn % 5 <> 4 THEN CAST(length(text) AS VARCHAR) ELSE 'long' END AS length
+  FROM turns WHERE role = 'user' AND ident IS NOT NULL
+), answer AS (
+  SELECT conv_id || ':' || (turn - 1) AS call_id, min(text) AS content, count(*) AS n FROM turns WHERE role <> 'user' GROUP BY 1
+), placed AS (
+  SELECT conv_id, turn, call_id, 0 AS depth FROM call c
+  WHERE NOT EXISTS (SELECT 1 FROM call b WHERE b.conv_id = c.conv_id AND b.turn = c.turn - 2)
+  UNION ALL
+  SELECT c.conv_id, c.turn, c.call_id, p.depth + 1 FROM call c JOIN placed p ON c.conv_id = p.conv_id AND c.turn = p.turn + 2
+), judged AS (
+  SELECT call.*, placed.depth, coalesce(answer.n, 0) AS n_results, content,
+         CASE WHEN name = 'search' THEN ['unknown tool'] ELSE list_sort(list_filter([
+           CASE WHEN prompt IS NULL THEN 'missing prompt' END, CASE WHEN length IS NULL THEN 'missing length' END,
+           CASE WHEN length = 'long' THEN 'not integer: length' END], lambda e: e IS NOT NULL)) END AS errors
+  FROM call JOIN placed USING (call_id) LEFT JOIN answer USING (call_id)
+)
+SELECT conv_id, call_id, CAST(depth AS BIGINT) AS depth, n_results, array_to_string(errors, '; ') AS errors, len(errors) = 0 AS valid,
+       '{{"arguments":{{"length":' || CASE WHEN length IS NULL THEN 'null' WHEN name = 'search' OR length = 'long' THEN '"' || length || '"' ELSE length END
+       || ',"prompt":' || {text.format(c="prompt")} || ',"turn":' || CASE WHEN name = 'search' THEN '"' || turn || '"' ELSE CAST(turn AS VARCHAR) END
+       || '}},"id":"' || call_id || '","name":"' || name || '","result":' || {text.format(c="content")} || '}}' AS json
+FROM judged
+"""
+
+
 #: Table t of the checksum's 256 values for one byte (CRC-32, reflected).
 _CRC_TABLE = """crc AS (
   SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
@@ -266,9 +309,11 @@ FROM e LEFT JOIN n USING (k) JOIN low USING (k)
 
 def all_sql() -> dict[str, str]:
     return {
+        "op3_chat_formatting": _chat(),
         "op4_quality_rules": _quality(),
         "op6_exact_dedup": _exact(),
         "op7_ngram_jaccard_join": _jaccard(),
+        "op8_sharding": _sharding(),
         "op9_source_mixing": _mixing(),
         "op11_spelling_variants": _spelling(),
         "op12_periodic_runs": _runs(),
