@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txnlytics.llm import exact, jaccard, mixing, packing, quality
+from txnlytics.llm.common import carried, restored
 from txnlytics.session import materialise
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Failing lines go, then documents that the rules reject."""
-    judged = quality.clean_lines(docs).filter("kept")
-    cleaned = judged.withColumn("text", F.col("cleaned_text")).withColumn("n_chars", F.length("text").cast("long"))
-    return cleaned.select(*docs.columns)
+    judged = quality.clean_lines(carried(docs, "text")).filter("kept")
+    text = F.col("cleaned_text")
+    return judged.select(*restored(judged, docs.columns, ("text",), text=text, n_chars=F.length(text).cast("long")))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +28,10 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document has as many rows as the mix takes copies of it."""
-    mixed = mixing.mix_sources(docs, carry=docs.columns).filter("copies > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    used = ("doc_id", "text", "source")
+    mixed = mixing.mix_sources(carried(docs, *used), carry=("text", "source", "_rest")).filter("copies > 0")
+    times = F.array_repeat(F.lit(0), F.col("copies").cast("int"))
+    return mixed.withColumn("_copy", F.explode(times)).select(*restored(mixed, docs.columns, used))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,6 +33,22 @@ def renamed_free(df: DataFrame, *wanted: str) -> DataFrame:
     return df.drop(*[name for name in df.columns if name.lower() in taken])
 
 
+def carried(df: DataFrame, *used: str) -> DataFrame:
+    """The ``used`` columns of ``df``, and all others in one column ``_rest``, where their names can't clash.
+
+    ``restored`` puts them back.
+    """
+    rest = [F.col(f"`{c}`").alias(c) for c in df.columns if c not in used]
+    return df.select(*used, F.struct(*rest or [F.lit(None).cast("int").alias("none")]).alias("_rest"))
+
+
+def restored(df: DataFrame, columns: list[str], used: tuple[str, ...], **changed: Column) -> list[Column]:
+    """The original columns of a frame that ``carried`` its others; ``changed`` ones get a new value."""
+    return [
+        (changed[c] if c in changed else F.col(c) if c in used else F.col("_rest").getField(c)).alias(c) for c in columns
+    ]
+
+
 # --- words of many texts at once ----------------------------------------------
 
 _SPACE = np.zeros(256, dtype=bool)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from txnlytics.llm.common import BLANKS, text_of, without
+from txnlytics.llm.common import BLANKS, carried, restored, text_of, without
 from txnlytics.session import materialise
 
 #: Digests that the summary may hold and that may be broadcast: fixed, whatever the table's size.
@@ -84,13 +84,14 @@ def keep_first_copies(df: DataFrame, key: str = "doc_id", text: str = "text") ->
     found = dedup(df, key, text)
     stays = materialise(_repeats(found, key), "stays")
     body = text_of(text)
-    rows = df.withColumn("_digest", digest_of(body)).withColumn("_chars", F.length(body))
+    rows = carried(df, key, text).withColumn("_digest", digest_of(body)).withColumn("_chars", F.length(body))
     match = rows[key].eqNullSafe(stays["_k"]) & (rows["_digest"] == stays["_d"]) & (rows["_chars"] == stays["_c"])
     joined = rows.join(stays, match)
     once = joined.filter(F.col("_n") == 1)
     order = Window.partitionBy("_digest", "_k").orderBy("_chars")
     several = joined.filter(F.col("_n") > 1).withColumn("_r", F.row_number().over(order)).filter(F.col("_r") == 1)
-    return once.select(*df.columns).unionByName(several.select(*df.columns))
+    back = restored(rows, df.columns, (key, text))
+    return once.select(*back).unionByName(several.select(*back))
 
 
 def _repeats(found: DataFrame, key: str) -> DataFrame:

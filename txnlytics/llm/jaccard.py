@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from txnlytics.llm.common import WordHasher, mix, slices
+from txnlytics.llm.common import WordHasher, carried, mix, restored, slices
 from txnlytics.llm.components import components
 from txnlytics.session import discard, materialise
 
@@ -578,7 +578,7 @@ def keep_one_of_each(df: DataFrame, rules: Join = Join(), key: str = "doc_id", t
     stays. Rows without words belong to no group and all stay.
     """
     name = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text"))
-    keyed = df.withColumn("_name", name)
+    keyed = carried(df, key, text).withColumn("_name", name)
     near = near_duplicates(keyed.select("_name", F.col(text).alias("_text")), rules, "_name", "_text")
     alike = F.col("_name").eqNullSafe(F.col("component_id"))
     stays = near.filter(alike | (F.col("n_shingles") == 0)).groupBy("_name").agg(F.count("*").alias("_n"), F.max("n_shingles").alias("_size"))
@@ -587,4 +587,5 @@ def keep_one_of_each(df: DataFrame, rules: Join = Join(), key: str = "doc_id", t
     single = (F.col("_n") == 1) | (F.col("_size") == 0)
     order = Window.partitionBy("_name").orderBy("_n")
     several = rows.filter(~single).withColumn("_k", F.row_number().over(order)).filter(F.col("_k") == 1)
-    return rows.filter(single).select(*df.columns).unionByName(several.select(*df.columns))
+    back = restored(rows, df.columns, (key, text))
+    return rows.filter(single).select(*back).unionByName(several.select(*back))

@@ -82,13 +82,14 @@ def mix_sources(
     added = ("size", "source_size", "target", "copies", "taken")
     kept = [key, *[c for c in carry if c != key and c.lower() not in added]]
     hashed = F.md5(F.concat(F.lit(mix.seed + ":"), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    # Carried columns are numbered on the way, so their names can't meet those made here.
     sized = df.select(
-        *kept,
+        *(F.col(f"`{c}`").alias(f"_in{k}") for k, c in enumerate(kept)),
         F.regexp_count(text_of(text), F.lit(WORD_RUN)).cast("long").alias("size"),
         F.col(source).alias("_source"),
         hashed.alias("_order"),
     )
-    return _sample(sized, mix).select(*kept, *added)
+    return _sample(sized, mix).select(*(F.col(f"_in{k}").alias(c) for k, c in enumerate(kept)), *added)
 
 
 def _sample(sized: DataFrame, mix: Mix) -> DataFrame:

@@ -295,9 +295,9 @@ def pack(pieces: DataFrame, rules: Packing = Packing(), length: str = "length")
 
     No piece is lost or cut here: a length above ``capacity`` or below 1 (or null) is an
     error. Repeated rows are packed one by one. An empty table gives an empty table.
-    Columns named ``sequence_id`` or ``offset`` are replaced.
+    Columns named ``sequence_id`` or ``offset`` are replaced, ``_item`` and ``_placed`` dropped.
     """
-    kept = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
+    kept = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset", "_item", "_placed")]
     rows = materialise(pieces.select(*kept).withColumn("_item", F.monotonically_increasing_id()), "pieces")
     bad = F.col(length).isNull() | (F.col(length) > rules.capacity) | (F.col(length) < 1)
     if not rows.filter(bad).isEmpty():
@@ -320,9 +320,9 @@ def pack(pieces: DataFrame, rules: Packing = Packing(), length: str = "length")
     )
     inside = Window.partitionBy("sequence_id").orderBy("item").rowsBetween(Window.unboundedPreceding, -1)
     placed = closed.unionByName(again).unionByName(alone).select(
-        "item", "sequence_id", F.coalesce(F.sum("size").over(inside), F.lit(0)).cast("long").alias("offset")
+        F.col("item").alias("_placed"), "sequence_id", F.coalesce(F.sum("size").over(inside), F.lit(0)).cast("long").alias("offset")
     )
-    return rows.join(placed, F.col("_item") == F.col("item")).select(*kept, "sequence_id", "offset")
+    return rows.join(placed, F.col("_item") == F.col("_placed")).select(*(F.col(f"`{c}`") for c in kept), "sequence_id", "offset")
 
 
 def pack_documents(df: DataFrame, rules: Packing = Packing(), key: str = "doc_id", text: str = "text") -> DataFrame:
