@@ -72,7 +72,7 @@ def test_join_equals_all_pairs(spark, words, percent):
 def test_large_regions_are_split_and_joined_exactly(spark, region, depth):
     rows = near_copies(2, 2, 70)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = jaccard.near_duplicates(df, Join(words=4, percent=85, region=region, pivots=3, depth=depth)).collect()
+    got = jaccard.near_duplicates(df, Join(words=4, percent=85, region=region, pivots=3, depth=depth, block_grams=1000)).collect()
     assert sorted(map(tuple, got), key=repr) == linked(rows, 4, 85)
 
 

@@ -34,6 +34,7 @@ class Join:
     ordered: int = 65_536
     slice_bytes: int = 2 << 20
     bucket_grams: int = 500_000
+    block_grams: int = 500_000
 
 
 HEAVY_BIT = np.uint64(1) << np.uint64(63)
@@ -400,12 +401,18 @@ def _whole(members: DataFrame, rules: Join) -> DataFrame:
 def _blocks(members: DataFrame, rules: Join) -> DataFrame:
     """Links of regions that no pivot splits: each block of active sets against each block of members, one task a pair.
 
-    Blocks are hash ranges of about 2 * ``region`` sets, so a task's memory is bounded; a
-    block of active sets travels once per block of members and the other way round.
+    Blocks are hash ranges of at most about 2 * ``region`` sets and ``block_grams`` n-grams, so
+    long documents don't swell a task; a block of active sets travels once per block of members and the other way round.
     """
     half = 2 * rules.region
+    grams = F.size("items")
+
+    def blocks(count, total):
+        return F.greatest(F.ceil(count / half), F.ceil(total / rules.block_grams)).cast("int")
+
     sizes = members.groupBy("region").agg(
-        F.ceil(F.sum(F.col("active").cast("int")) / half).cast("int").alias("leads"), F.ceil(F.count("*") / half).cast("int").alias("blocks")
+        blocks(F.sum(F.col("active").cast("int")), F.sum(F.when(F.col("active"), grams).otherwise(0))).alias("leads"),
+        blocks(F.count("*"), F.sum(grams)).alias("blocks"),
     ).filter("leads > 0")
     sized = members.join(sizes, "region")
     draw = F.xxhash64("node", F.lit(3))
