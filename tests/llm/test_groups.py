@@ -189,3 +189,15 @@ def test_pipeline_stages_against_plain_rules(spark, tmp_path):
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     check_packed(rows, 4096)
     assert Counter(r["doc_id"] for r in rows if r["piece"] == 0) == seen[3]
+
+
+def test_pieces_hold_every_gram_once(monkeypatch):
+    monkeypatch.setattr(jaccard, "_PIECE", 50)
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64)) for n in (0, 1, 7, 90, 400)]
+    pieces = list(jaccard._pieces([s.view(np.int64) for s in sets]))
+    assert len(pieces) > 5
+    for k, s in enumerate(sets):
+        assert np.concatenate([p[k] for p in pieces]).tolist() == s.tolist()
+    seen = [set(np.concatenate(p).tolist()) for p in pieces]
+    assert sum(map(len, seen)) == len(set().union(*seen))

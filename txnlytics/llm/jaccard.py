@@ -34,7 +34,7 @@ class Join:
     ordered: int = 65_536
     slice_bytes: int = 2 << 20
     bucket_grams: int = 500_000
-    block_grams: int = 500_000
+    block_grams: int = 6_000_000
 
 
 HEAVY_BIT = np.uint64(1) << np.uint64(63)
@@ -337,27 +337,42 @@ def _candidate_edges(blobs: DataFrame, docs: DataFrame, rules: Join) -> DataFram
 # --- joining regions ----------------------------------------------------------------------
 
 
+_PIECE = 500_000
+
+
+def _pieces(sets: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """The sets (in order, as unsigned numbers) cut into ranges of about ``_PIECE`` grams, the same ranges for all sets."""
+    sets = [np.asarray(s, dtype=np.int64).view(np.uint64) for s in sets]
+    count = max(1, sum(map(len, sets)) // _PIECE)
+    some = np.sort(np.concatenate([s[:: max(1, len(s) // (4 * count))] for s in sets]))
+    bounds = some[np.arange(1, count) * len(some) // count] if count > 1 else some[:0]
+    cuts = [[0, *np.searchsorted(s, bounds).tolist(), len(s)] for s in sets]
+    for k in range(count):
+        yield [s[cut[k] : cut[k + 1]] for s, cut in zip(sets, cuts)]
+
+
 def region_links(sets: list[np.ndarray], active: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Links that connect whatever the similar pairs of one region connect; pairs of two passive sets are left out."""
     n, size = len(sets), np.array([len(s) for s in sets])
     lead = np.flatnonzero(active)
     if not len(lead) or n < 2:
         return []
-    # Sets as rows of zeros and ones over the grams that at least two of them have.
-    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = times > 1
-    column = np.cumsum(shared) - 1
-    use = shared[code]
-    owner, code = np.repeat(np.arange(n), size)[use], column[code[use]]
     common = np.zeros((len(lead), n), dtype=np.float32)
     width = max(1, (8 << 20) // n)
-    order = np.argsort(code, kind="stable")
-    owner, code = owner[order], code[order]
-    for begin in range(0, int(shared.sum()), width):
-        a, b = np.searchsorted(code, [begin, begin + width])
-        table = np.zeros((n, min(width, int(shared.sum()) - begin)), dtype=np.float32)
-        table[owner[a:b], code[a:b] - begin] = 1
-        common += table[lead] @ table.T
+    for part in _pieces(sets):
+        # Sets as rows of zeros and ones over the grams that at least two of them have.
+        _, code, times = np.unique(np.concatenate(part), return_inverse=True, return_counts=True)
+        shared = times > 1
+        column, columns = np.cumsum(shared) - 1, int(shared.sum())
+        use = shared[code]
+        owner, code = np.repeat(np.arange(n), [len(s) for s in part])[use], column[code[use]]
+        order = np.argsort(code, kind="stable")
+        owner, code = owner[order], code[order]
+        for begin in range(0, columns, width):
+            a, b = np.searchsorted(code, [begin, begin + width])
+            table = np.zeros((n, min(width, columns - begin)), dtype=np.float32)
+            table[owner[a:b], code[a:b] - begin] = 1
+            common += table[lead] @ table.T
     parent = list(range(n))
 
     def find(x: int) -> int:
