@@ -44,3 +44,14 @@ def test_entry(spark):
 def test_intermediate_tables_go_to_the_named_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert all(folder in f for f in materialise(spark.range(3), "x").inputFiles())
+
+
+def test_discarded_tables_leave_no_files(spark):
+    from pathlib import Path
+
+    from txnlytics.session import discard, materialise
+
+    kept, gone = (materialise(spark.range(5).toDF("k"), name) for name in ("kept", "gone"))
+    discard(gone)
+    assert Path(kept.stored_at).exists() and not Path(gone.stored_at).exists()
+    assert kept.count() == 5

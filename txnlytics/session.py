@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -71,9 +72,13 @@ def materialise(df: DataFrame, label: str, compression: str = "snappy", schema=N
 def discard(*frames: DataFrame) -> None:
     """Removes intermediate tables that nothing reads any more, so that rounds of a job don't pile up.
 
-    To be called once everything that derives from them is itself written.
+    To be called once everything that derives from them is itself written. The shuffles behind
+    them are garbage then too; Spark's cleaner removes their files when the driver has noticed that.
     """
+    gc.collect()
     for frame in frames:
         spark, path = frame.sparkSession, frame.stored_at
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    if frames:
+        frames[0].sparkSession._jvm.System.gc()
