@@ -34,7 +34,7 @@ class Join:
     ordered: int = 65_536
     slice_bytes: int = 2 << 20
     bucket_grams: int = 500_000
-    block_grams: int = 6_000_000
+    block_grams: int = 4_000_000
 
 
 HEAVY_BIT = np.uint64(1) << np.uint64(63)
