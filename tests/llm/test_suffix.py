@@ -92,3 +92,28 @@ def test_loser_tree_merges_sorted_runs_with_their_shared_prefixes():
         keys = [key for key, _, _ in merged]
         assert keys == sorted(sum(runs, []))
         assert [share for _, share, _ in merged[1:]] == [suffix.common_prefix(a, b) for a, b in zip(keys, keys[1:])]
+
+
+def test_many_near_copies_spell_no_table_of_strings(spark, monkeypatch):
+    """What a few open places ask of a large group is counted by context: no table outgrows places times blocks."""
+    rng = random.Random(8)
+    length = 100
+    middle = noise(rng, length - 20)
+    left, right = noise(rng, length), noise(rng, length)
+    texts = [noise(rng, 30) + left[-(k % 37) - 1 :] + middle + right[: (k * 7) % 41 + 1] + noise(rng, 30) for k in range(400)]
+    sizes = {}
+    write = suffix.materialise
+
+    def measured(df, label, *rest, **named):
+        stored = write(df, label, *rest, **named)
+        sizes[label] = max(sizes.get(label, 0), stored.count())
+        return stored
+
+    monkeypatch.setattr(suffix, "materialise", measured)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in suffix.remove_repeats(rows, Repeats(length=length, gram=16)).collect()}
+    for k, expected in enumerate(brute(texts, length)):
+        assert (got[k]["n_bytes"], got[k]["n_removed"], got[k]["n_spans"], got[k]["kept_sha256"]) == expected, k
+    assert sizes["open"] > 0
+    blocks = (length - 16) // 16 + 1
+    assert max(sizes.values()) <= blocks * sizes["items"], sizes
