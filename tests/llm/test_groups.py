@@ -201,3 +201,48 @@ def test_pieces_hold_every_gram_once(monkeypatch):
         assert np.concatenate([p[k] for p in pieces]).tolist() == s.tolist()
     seen = [set(np.concatenate(p).tolist()) for p in pieces]
     assert sum(map(len, seen)) == len(set().union(*seen))
+
+
+def test_large_unrelated_texts_form_no_region(spark, monkeypatch):
+    """Large texts that share a rare passage are no candidates; large near copies of any size still link."""
+    rng = random.Random(5)
+    passage = [f"p{k}" for k in range(60)]
+    long = [[f"w{rng.randrange(10**9)}" for _ in range(rng.randrange(6_000, 9_000))] + passage for _ in range(14)]
+    copies = [long[0][300:], long[0][:-700], long[1][: len(long[1]) // 2], long[2] + [f"n{k}" for k in range(500)], long[2][1_000:]]
+    texts = [" ".join(words) for words in long + copies] + ["a few words only", "A few words only", None]
+    sets = [{tuple(words[k : k + 4]) for k in range(len(words) - 3)} for words in ((t or "").lower().split() for t in texts)]
+    root = list(range(len(texts)))
+    for _ in texts:
+        for a in range(len(texts)):
+            for b in range(a):
+                if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]) > 0:
+                    root[a] = root[b] = min(root[a], root[b])
+    found = {}
+    write = jaccard.materialise
+
+    def measured(df, label, *rest, **named):
+        stored = write(df, label, *rest, **named)
+        if label == "edges":
+            found[label] = stored.count()
+        return stored
+
+    monkeypatch.setattr(jaccard, "materialise", measured)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = {r["doc_id"]: r for r in jaccard.near_duplicates(rows, jaccard.Join(words=4, percent=85)).collect()}
+    assert [got[k]["component_id"] for k in range(len(texts))] == root
+    assert [got[k]["n_shingles"] for k in range(len(texts))] == [len(s) for s in sets]
+    assert 0 < found["edges"] <= len(copies) + 2
+
+
+def test_class_counts_never_differ_by_more_than_the_sets():
+    rng = np.random.default_rng(2)
+    pool = rng.integers(1, 1 << 63, 40_000, dtype=np.uint64)
+    sizes = [1, 90, 2_048, 2_049, 5_000, 9_000, 30_000]
+    sets = [np.unique(rng.choice(pool, n, replace=False)) for n in sizes] + [np.unique(pool[:n]) for n in (4_000, 4_200, 8_000, 8_100)]
+    size = np.array([len(s) for s in sets])
+    counts = jaccard.class_counts(np.concatenate(sets), np.repeat(np.arange(len(sets)), size), size)
+    profiles = jaccard.Profiles(size, counts)
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    apart = profiles.apart(a, b)
+    for x, y, d in zip(a, b, apart):
+        assert d <= len(np.setxor1d(sets[x], sets[y])) and (d == 0 or x != y)

@@ -99,21 +99,59 @@ def set_keys(gram: np.ndarray, owner: np.ndarray, size: np.ndarray) -> np.ndarra
     return mix(total + size.astype(np.uint64)).view(np.int64)
 
 
-#: Pivots that every set is measured against: the universe of grams dealt to so many classes.
-CLASSES = 128
+#: Pivots that every set is measured against: the universe of grams dealt to so many classes, or a power of two
+#: times as many for a set of more than CLASSES * PER_CLASS grams, since the counts of large sets differ too little by chance.
+CLASSES, PER_CLASS = 128, 16
 
 
-def class_counts(gram: np.ndarray, owner: np.ndarray, count: int) -> list[bytes]:
-    """Per text, how many of its grams lie in each class.
+def class_levels(size: np.ndarray) -> np.ndarray:
+    """A set of ``size`` grams is counted over CLASSES * 2 ** level classes."""
+    return np.ceil(np.log2(np.maximum(size / (CLASSES * PER_CLASS), 1))).astype(np.int64)
+
+
+def class_counts(gram: np.ndarray, owner: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """Per text, how many of its grams lie in each class, as the shortest unsigned integers that hold them.
 
     The symmetric difference of a set and a class is a metric whose only unknown is this
     count, so by the triangle inequality the counts of two sets differ, summed over the
     classes, by no more than the sets do.
     """
-    # Counts beyond 65,535 stay there: that only makes the difference smaller.
-    place = owner * CLASSES + (mix(gram + np.uint64(17)) % np.uint64(CLASSES)).astype(np.int64)
-    table = np.bincount(place, minlength=count * CLASSES).clip(max=65_535).astype(np.uint16).reshape(count, CLASSES)
-    return [row.tobytes() for row in table]
+    out: list[bytes] = [b""] * len(size)
+    level, spread = class_levels(size), mix(gram + np.uint64(17))
+    for k in np.unique(level).tolist():
+        texts, width = np.flatnonzero(level == k), CLASSES << k
+        number = np.full(len(size), -1)
+        number[texts] = np.arange(len(texts))
+        use = number[owner] >= 0
+        place = number[owner[use]] * width + (spread[use] % np.uint64(width)).astype(np.int64)
+        for text, row in zip(texts.tolist(), np.bincount(place, minlength=len(texts) * width).reshape(-1, width)):
+            out[text] = row.astype(np.min_scalar_type(row.max())).tobytes()
+    return out
+
+
+class Profiles:
+    """Class counts of sets, by level: finer counts of a larger set add up to the coarser ones of a smaller."""
+
+    def __init__(self, size: np.ndarray, counts: list[bytes]) -> None:
+        self.level = class_levels(size)
+        own = [np.frombuffer(c, dtype=f"u{len(c) // (CLASSES << k)}").astype(np.int32) for c, k in zip(counts, self.level.tolist())]
+        self.row, self.table = {}, {}
+        for k in np.unique(self.level).tolist():
+            sets = np.flatnonzero(self.level >= k)
+            self.row[k] = np.zeros(len(own), np.int64)
+            self.row[k][sets] = np.arange(len(sets))
+            self.table[k] = np.stack([own[x].reshape(-1, CLASSES << k).sum(axis=0, dtype=np.int32) for x in sets.tolist()])
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Sum over the classes of how far the counts of sets a and b differ, over the classes of the smaller set."""
+        out, level = np.zeros(len(a), np.int64), np.minimum(self.level[a], self.level[b])
+        for k in np.unique(level).tolist():
+            at, row, table = np.flatnonzero(level == k), self.row[k], self.table[k]
+            step = max(1, (2 << 20) // (CLASSES << k))
+            for begin in range(0, len(at), step):
+                part = at[begin : begin + step]
+                out[part] = np.abs(table[row[a[part]]] - table[row[b[part]]]).sum(axis=1)
+        return out
 
 
 def _texts(batch: pa.RecordBatch, name: str = "body") -> list[bytes]:
@@ -176,7 +214,7 @@ def _scan(df: DataFrame, key: str, text: str, rules: Join, heavy, buckets: int)
                 keys = set_keys(gram, owner, size)
                 count, none = end - begin, lambda n: pa.nulls(n, pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("key").slice(begin, count), pa.array(keys), pa.array(size), pa.array(class_counts(gram, owner, count), pa.binary()),
+                    [batch.column("key").slice(begin, count), pa.array(keys), pa.array(size), pa.array(class_counts(gram, owner, size), pa.binary()),
                      pa.array(np.full(count, -1, np.int32)),
                      none(count), none(count), none(count), none(count)], names,
                 )
@@ -255,7 +293,7 @@ def bucket_members(grams: np.ndarray, sets: np.ndarray, sizes: np.ndarray, place
     return pd.DataFrame({"gram": grams[use].view(np.int64), "node": sets[use], "n": sizes[use], "place": places[use]})
 
 
-def near_in_cell(size: np.ndarray, reach: np.ndarray, counts: np.ndarray, lead: np.ndarray, percent: int) -> list[tuple[int, int]]:
+def near_in_cell(size: np.ndarray, reach: np.ndarray, profiles: Profiles, member: np.ndarray, lead: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Pairs of one gram's sets that connect all pairs (with a leading set) which the bounds let pass."""
     parent = list(range(len(size)))
 
@@ -270,7 +308,7 @@ def near_in_cell(size: np.ndarray, reach: np.ndarray, counts: np.ndarray, lead:
         near = (size <= reach[x]) & (size[x] <= reach)
         near[x] = False
         rows = np.flatnonzero(near)
-        apart = np.abs(counts[rows] - counts[x]).sum(axis=1)
+        apart = profiles.apart(np.full(len(rows), member[x]), member[rows])
         for y in rows[apart * (100 + percent) <= (100 - percent) * (size[rows] + size[x])].tolist():
             a, b = find(x), find(y)
             if a != b:
@@ -303,25 +341,26 @@ def _candidate_edges(blobs: DataFrame, docs: DataFrame, rules: Join) -> DataFram
     own = F.coalesce(block, F.lit(0))
     leads = rows.select("*", own.alias("i"), each.alias("j"), F.lit(True).alias("lead"))
     others = rows.filter("blocks is not null").select("*", each.alias("i"), own.alias("j"), F.lit(False).alias("lead"))
-    groups = max(1, met.count() // 50_000)
+    groups = max(1, met.count() // 10_000)
     dealt = leads.unionByName(others).withColumn("g", F.when(F.col("blocks").isNull(), F.pmod(F.xxhash64("gram"), F.lit(groups))).otherwise(F.xxhash64("gram", "i", "j")))
 
     def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["gram", "i", "j", "lead", "node"], ascending=[True, True, True, False, True]).drop_duplicates(["gram", "i", "j", "node"])
         node, size, place = (pdf[c].to_numpy(dtype=np.int64) for c in ("node", "n", "place"))
         gram, lead = pdf["gram"].to_numpy(dtype=np.int64), pdf["lead"].to_numpy(dtype=bool)
-        table = np.frombuffer(b"".join(pdf["classes"]), dtype=np.uint16).reshape(-1, CLASSES).astype(np.int32)
+        _, one, member = np.unique(node, return_index=True, return_inverse=True)
+        profiles = Profiles(size[one], pdf["classes"].iloc[one].tolist())
         reach = _reach(size, place, rules.percent)
         first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
         length = np.diff(np.append(first, len(gram)))
         two = first[length == 2]
-        apart = np.abs(table[two] - table[two + 1]).sum(axis=1)
+        apart = profiles.apart(member[two], member[two + 1])
         fit = (size[two] <= reach[two + 1]) & (size[two + 1] <= reach[two]) & (lead[two] | lead[two + 1])
         two = two[fit & (apart * (100 + rules.percent) <= (100 - rules.percent) * (size[two] + size[two + 1]))]
         out = [np.stack([node[two], node[two + 1]])]
         for at, n in zip(first[length > 2].tolist(), length[length > 2].tolist()):
             part = slice(at, at + n)
-            found = near_in_cell(size[part], reach[part], table[part], lead[part], rules.percent)
+            found = near_in_cell(size[part], reach[part], profiles, member[part], lead[part], rules.percent)
             if found:
                 out.append(node[part][np.array(found).T])
         pairs = np.sort(np.concatenate(out, axis=1), axis=0)
