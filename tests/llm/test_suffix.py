@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from txnlytics.llm import suffix
+from txnlytics.llm import queries, suffix
 from txnlytics.llm.suffix import Repeats
 
 
@@ -117,3 +117,23 @@ def test_many_near_copies_spell_no_table_of_strings(spark, monkeypatch):
     assert sizes["open"] > 0
     blocks = (length - 16) // 16 + 1
     assert max(sizes.values()) <= blocks * sizes["items"], sizes
+
+
+def test_planted_passages_show_in_n_removed_not_in_n_bytes(spark, tmp_path):
+    """Through the query: passages of over 50 words go if they have 400 bytes; n_bytes is the input's size with or without one."""
+    rng = random.Random(9)
+    words = lambda n, size: " ".join("".join(rng.choice("abcdefghé") for _ in range(size)) for _ in range(n))
+    long, short = [words(60, 8) for _ in range(6)], [words(55, 5) for _ in range(6)]
+    assert all(len(p.encode()) >= 400 for p in long) and all(len(p.encode()) + 2 < 400 for p in short)
+    holders = [(p, f"{words(40, 7)} {p} {words(40, 7)}") for p in (long + short) * 2]
+    texts = [t for _, t in holders] + [words(140, 7) for _ in range(24)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op10_suffix_array_dedup(spark, str(tmp_path)).collect()}
+    for k, expected in enumerate(brute(texts, 400)):
+        r = got[k]
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == expected, k
+        assert r["n_bytes"] == len(texts[k].encode())
+    for k, (passage, _) in enumerate(holders):
+        size = len(passage.encode())
+        assert got[k]["n_removed"] >= size if size >= 400 else got[k]["n_removed"] == 0, k
+    assert all(got[k]["n_removed"] == 0 for k in range(len(holders), len(texts)))
