@@ -207,6 +207,28 @@ def test_month_totals_follow_appends_and_equal_a_recount(spark, tmp_path):
     assert store.read("forecasts").count() == 2  # the seeded dimension has an Other of its own
 
 
+def test_forecasts_beyond_a_single_amount_are_saved(spark, tmp_path):
+    """Month totals outgrow DECIMAL(12,2); a store whose forecasts were saved in that type is read and updated."""
+    store = TableStore(spark, str(tmp_path / "store"))
+    jobs.seed_categories(spark, store)
+    key = category_key(F.lit("Transport"))
+    saved = spark.range(2).select(
+        key.alias("category_id"), F.lit("12.50").cast("decimal(12,2)").alias("predicted_amount"),
+        F.lit("7.25").cast("decimal(12,2)").alias("actual_amount"), F.current_timestamp().alias("created_at"),
+        F.add_months(F.lit(date(2024, 4, 1)), F.col("id").cast("int")).alias("forecast_month"),
+    )
+    saved.write.partitionBy("forecast_month").parquet(f"{store.root}/forecasts")
+    lines = [f"0{d}/0{m}/2024,UBER TRIP {d},9000000000.25,Debit" for m in (1, 2, 3) for d in (1, 2, 3, 4)]
+    (tmp_path / "a.csv").write_text(HEADER + "\n".join(lines) + "\n")
+    jobs.ingest_files(spark, str(tmp_path / "a.csv"), store)
+    store.update("transactions", store.read("transactions").withColumn("category_id", key))
+    jobs.refresh_totals(store)
+    run = jobs.run_forecast(store)
+    assert run.forecasts.first().predicted == 36000000001.0
+    got = {r.forecast_month: (str(r.predicted_amount), str(r.actual_amount)) for r in store.read("forecasts").collect()}
+    assert got == {date(2024, 4, 1): ("36000000001.00", "7.25"), date(2024, 5, 1): ("12.50", "7.25")}
+
+
 def test_model_loads_in_predict(spark, model_path):
     model = classify.load_model(spark, model_path)
     df = spark.createDataFrame([("LESCO BILL 123",)], "description string")

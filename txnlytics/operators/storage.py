@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from txnlytics.functions.keys import category_key
-from txnlytics.params import DEFAULT_COLOUR, MONEY, SEVERITIES, UNCATEGORISED, UNKNOWN
+from txnlytics.params import DEFAULT_COLOUR, SEVERITIES, TOTAL, UNCATEGORISED, UNKNOWN
 
 
 def attach_category(
@@ -95,7 +95,7 @@ def upsert_forecasts(new: DataFrame, old: DataFrame, categories: DataFrame, now=
     """
     ids = categories.select(F.col("name").alias("category"), "category_id")
     incoming = new.join(ids, "category").select(
-        "category_id", "forecast_month", F.col("predicted").cast(MONEY).alias("_new")
+        "category_id", "forecast_month", F.col("predicted").cast(TOTAL).alias("_new")
     )
     created = F.current_timestamp() if now is None else now
     return incoming.join(old, ["category_id", "forecast_month"], "full_outer").select(
@@ -132,7 +132,7 @@ def uncategorised(facts: DataFrame) -> DataFrame:
 def month_totals(facts: DataFrame) -> DataFrame:
     """(year_month, category_id, total, n): folded before the shuffle, so hot categories are cheap."""
     return facts.groupBy("year_month", "category_id").agg(
-        F.sum("amount").cast("decimal(22,2)").alias("total"), F.count("*").alias("n")
+        F.sum("amount").cast(TOTAL).alias("total"), F.count("*").alias("n")
     )
 
 

@@ -115,6 +115,8 @@ class Params:
 # --- Table schemas -----------------------------------------------------------
 
 MONEY = T.DecimalType(12, 2)
+# What is added up over a month, which outgrows a single amount; the type of a sum over MONEY.
+TOTAL = T.DecimalType(22, 2)
 
 CATEGORIES = T.StructType([
     T.StructField("category_id", T.LongType(), False),
@@ -146,14 +148,14 @@ ANOMALIES = T.StructType([
 FORECASTS = T.StructType([
     T.StructField("category_id", T.LongType(), False),
     T.StructField("forecast_month", T.DateType(), False),
-    T.StructField("predicted_amount", MONEY),
-    T.StructField("actual_amount", MONEY),
+    T.StructField("predicted_amount", TOTAL),
+    T.StructField("actual_amount", TOTAL),
     T.StructField("created_at", T.TimestampType()),
 ])
 
 MONTH_TOTALS = T.StructType([
     T.StructField("category_id", T.LongType()),
-    T.StructField("total", T.DecimalType(22, 2)),
+    T.StructField("total", TOTAL),
     T.StructField("n", T.LongType()),
     T.StructField("year_month", T.StringType(), False),
 ])
