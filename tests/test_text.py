@@ -1,4 +1,6 @@
 import math
+import os
+import random
 import re
 from collections import Counter
 
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from txnlytics.functions.text import clean_text
 from txnlytics.operators import classify, sampling, tfidf
 from txnlytics.params import Params
+from txnlytics.session import checkpoint_dir, materialise
 
 CLEANED = {
     "MCDONALDS LAHORE": "mcdonalds lahore",
@@ -244,3 +247,60 @@ def test_fold_vocabulary_and_weights_equal_separate_ones(labelled):
         assert np.allclose(given.coefficients, classify.fit(outside, p).coefficients, atol=1e-4)
     scores = classify.cross_validate(labelled, "id", p)
     assert len(scores) == 3 and all(0 <= s <= 1 for s in scores)
+
+
+@pytest.mark.parametrize("limit", [3, 12, 5000])
+def test_vocabularies_of_overlapping_sets_equal_separate_ones(spark, limit):
+    """Whether bigrams can be left out (few places), are tied for the last one, or must all be counted."""
+    draw = random.Random(7)
+    texts = [" ".join(draw.choice(["kfc", "uber", "gas", "bill", "ride", "lunch"][: 2 + k % 5]) for _ in range(k % 9)) for k in range(120)]
+    df = spark.createDataFrame([(k % 3, t, t.split()) for k, t in enumerate(texts)], "part int, description string, _words array<string>").cache()
+    parts = {f"p{k}": F.col("part") == k for k in range(3)}
+    sets = {"all": (list(parts), 120), 0: (["p1", "p2"], 80), 1: (["p0"], 40)}
+    p = Params(vocabulary=limit)
+    got = tfidf.set_vocabularies(df, parts, sets, p)
+    for key, kept in (("all", df), (0, df.filter("part > 0")), (1, df.filter("part = 0"))):
+        want = tfidf.collect_vocabulary(tfidf.vocabulary(kept, p=p))
+        assert [tuple(v) for v in got[key]] == [tuple(v) for v in want]
+
+
+def test_train_equals_separate_steps(spark, labelled):
+    """One encoding for all fits gives what fits on the texts of each part give."""
+    p = Params(folds=3, vocabulary=30)
+    split = sampling.stratified_split(labelled, "category", "id", p).cache()
+    model = classify.fit(split.filter("split = 'train'"), p)
+    result = classify.train(labelled, "id", p)
+    assert result["model"].terms == model.terms and result["model"].idf == pytest.approx(model.idf)
+    assert result["model"].labels == model.labels
+    assert np.allclose(result["model"].coefficients, model.coefficients, atol=1e-4)
+    tested = classify.predict(split.filter("split = 'test'"), model)
+    assert result["summary"].first().accuracy == round(classify.accuracy(tested), 4)
+    folded = sampling.stratified_folds(labelled, "category", "id", p).cache()
+    for k, score in enumerate(result["cv_scores"]):
+        own = classify.fit(folded.filter(F.col("fold") != k), p)
+        assert score == pytest.approx(classify.accuracy(classify.predict(folded.filter(F.col("fold") == k), own)))
+
+
+def test_training_keeps_no_copies_of_the_texts(spark, monkeypatch, tmp_path):
+    """At no time do the tables of a training run take more than three times the input's size."""
+    draw = random.Random(3)
+    vocabulary = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(400)]
+    texts = [(k, " ".join(draw.choices(vocabulary + ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=9))] * 40, k=300)), "ab"[k % 2]) for k in range(600)]
+    spark.createDataFrame(texts, "id int, description string, category string").repartition(2).write.parquet(str(tmp_path / "in"))
+
+    def size(folder):
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(folder) for f in fs if f.endswith(".parquet"))
+
+    shared = checkpoint_dir(spark).removeprefix("file:")
+    before, taken = size(shared), []
+
+    def watched(*args, **kwargs):
+        made = materialise(*args, **kwargs)
+        taken.append(size(shared) - before)
+        return made
+
+    for module in (classify, sampling, tfidf):
+        monkeypatch.setattr(module, "materialise", watched, raising=False)
+    classify.train(spark.read.parquet(str(tmp_path / "in")), "id", Params(folds=3, max_iter=3))
+    whole = size(tmp_path / "in")
+    assert max(taken) < 3 * whole and size(shared) - before < whole / 4

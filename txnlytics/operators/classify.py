@@ -9,18 +9,20 @@ import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.feature import ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from txnlytics.functions.text import not_blank
-from txnlytics.operators.sampling import stratified_folds, stratified_split
+from txnlytics.functions.text import clean_text, not_blank
+from txnlytics.operators.sampling import split_and_folds
 from txnlytics.operators.tfidf import (
-    collect_vocabulary, ngram_counts, numbers, pinned, sparse_rows, top_terms, vocabulary, without_fold
+    collect_vocabulary, damped_counts, numbers, only_words, pinned, set_vocabularies, sparse_rows, vocabulary, weighted_rows
 )
 from txnlytics.params import Params
-from txnlytics.session import materialise
+from txnlytics.session import discard, materialise
 
 _P = Params()
+_AT_ONCE = 2  # fits side by side; each keeps its training rows in memory, or on disk, while it iterates
 
 
 def usable_labels(df: DataFrame) -> DataFrame:
@@ -57,6 +59,13 @@ class TextModel:
         """``df`` with the sparse TF-IDF arrays that the model sees."""
         return sparse_rows(df, list(self.terms), list(self.idf))
 
+    def reduced(self, terms: list[str]) -> TextModel:
+        """The same over some of its terms, in their order."""
+        at = {term: k for k, term in enumerate(self.terms)}
+        kept = [at[term] for term in terms]
+        idf = tuple(self.idf[k] for k in kept)
+        return TextModel(tuple(terms), idf, self.labels, self.coefficients[:, kept], self.intercepts)
+
 
 def _prepared(df: DataFrame) -> DataFrame:
     """Usable labelled rows, spread evenly once, over as many partitions as their size asks for."""
@@ -83,32 +92,44 @@ def fit(df: DataFrame, p: Params = _P, vocab: list | None = None, classes: list
     classes = classes or _classes(class_weights(labelled))
     vocab = vocab or collect_vocabulary(vocabulary(labelled, p=p))
     terms, idf = [v["term"] for v in vocab], [v["idf"] for v in vocab]
-    labels = [c["category"] for c in classes]
-    rows = sum(c["n"] for c in classes)
-    label = F.array_position(F.array(*(F.lit(c) for c in labels)), F.col("category")) - 1
-    weights = F.array(*(F.lit(float(c["weight"])) for c in classes))
-    # The stored form of a sparse vector; read back as vectors, so no Python builds them.
-    vector = F.struct(
-        F.lit(0).cast("tinyint").alias("type"), F.lit(len(terms)).alias("size"),
-        F.col("position").alias("indices"), F.col("weight").alias("values"),
-    )
-    numbered = sparse_rows(labelled, terms, idf).select(
-        label.cast("double").alias("label"), F.get(weights, label.cast("int")).alias("weight"), vector.alias("features")
-    )
+    vector = _vector(terms, F.col("position"), F.col("weight"))
+    numbered = sparse_rows(labelled, terms, idf).select(*_targets(classes), vector.alias("features"))
     schema = T.StructType([
         T.StructField("label", T.DoubleType()), T.StructField("weight", T.DoubleType()), T.StructField("features", VectorUDT())
     ])
+    coefficients, intercepts = _optimum(materialise(numbered, "features", schema=schema), classes, p)
+    return TextModel(tuple(terms), tuple(idf), tuple(c["category"] for c in classes), coefficients, intercepts)
+
+
+def _vector(terms: list[str], position, values):
+    """The stored form of a sparse vector; read back as vectors, so no Python builds them."""
+    return F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(len(terms)).alias("size"),
+        position.alias("indices"), values.alias("values"),
+    )
+
+
+def _targets(classes: list) -> list:
+    """``label`` and ``weight`` of a row by its category."""
+    label = F.array_position(F.array(*(F.lit(c["category"]) for c in classes)), F.col("category")) - 1
+    weights = F.array(*(F.lit(float(c["weight"])) for c in classes))
+    return [label.cast("double").alias("label"), F.get(weights, label.cast("int")).alias("weight")]
+
+
+def _optimum(numbered: DataFrame, classes: list, p: Params) -> tuple[np.ndarray, tuple[float, ...]]:
+    """Coefficients, one row per class, and intercepts of (label, weight, features) rows."""
+    rows = sum(c["n"] for c in classes)
     fitted = LogisticRegression(
         family="auto",
         weightCol="weight",
         regParam=1.0 / (p.inverse_penalty * rows),
         standardization=False,
         maxIter=p.max_iter,
-    ).fit(materialise(numbered, "features", schema=schema))
+    ).fit(numbered)
     coefficients, intercepts = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
     if len(coefficients) == 1:
         coefficients, intercepts = np.vstack([0 * coefficients, coefficients]), np.array([0.0, *intercepts])
-    return TextModel(tuple(terms), tuple(idf), tuple(labels), coefficients, tuple(intercepts.tolist()))
+    return coefficients, tuple(intercepts.tolist())
 
 
 def fit_centroids(df: DataFrame, p: Params = _P) -> TextModel:
@@ -141,18 +162,7 @@ def predict(df: DataFrame, model: TextModel, top: int = 3) -> DataFrame:
     """
     # The row's columns are numbered on the way, so their names can't meet those made here.
     numbered = [F.col(f"`{c}`").alias(f"_in{k}") for k, c in enumerate(df.columns)]
-    rows = model.rows(df.select(*numbered, "description"))
-    entries = pinned(rows, _e=F.arrays_zip("position", "weight")).drop("position", "weight")
-
-    def margin(intercept, row):
-        known = numbers(row)
-        return F.aggregate("_e", F.lit(float(intercept)), lambda s, e: s + e["weight"] * F.get(known, e["position"]))
-
-    margins = pinned(entries, _m=F.array(*map(margin, model.intercepts, model.coefficients))).drop("_e")
-    raised = pinned(margins, _x=F.transform("_m", lambda m: F.exp(m - F.array_max("_m")))).drop("_m")
-    scored = pinned(raised, _total=F.aggregate("_x", F.lit(0.0), lambda s, x: s + x))
-    order = F.sort_array(F.transform("_x", lambda x, i: F.struct((-x / F.col("_total")).alias("q"), i.alias("i"))))
-    ranked = pinned(scored, _r=order)
+    ranked = _ranked(model.rows(df.select(*numbered, "description")), model.coefficients, model.intercepts)
     labels = F.array(*(F.lit(c) for c in model.labels))
     named = F.transform(
         F.slice("_r", 1, top),
@@ -167,6 +177,21 @@ def predict(df: DataFrame, model: TextModel, top: int = 3) -> DataFrame:
     )
 
 
+def _ranked(rows: DataFrame, coefficients: np.ndarray, intercepts: tuple[float, ...]) -> DataFrame:
+    """Rows of ``position`` and ``weight`` with ``_r``: (-probability, class number), the likeliest class first."""
+    entries = pinned(rows, _e=F.arrays_zip("position", "weight")).drop("position", "weight")
+
+    def margin(intercept, row):
+        known = numbers(row)
+        return F.aggregate("_e", F.lit(float(intercept)), lambda s, e: s + e["weight"] * F.get(known, e["position"]))
+
+    margins = pinned(entries, _m=F.array(*map(margin, intercepts, coefficients))).drop("_e")
+    raised = pinned(margins, _x=F.transform("_m", lambda m: F.exp(m - F.array_max("_m")))).drop("_m")
+    scored = pinned(raised, _total=F.aggregate("_x", F.lit(0.0), lambda s, x: s + x))
+    order = F.sort_array(F.transform("_x", lambda x, i: F.struct((-x / F.col("_total")).alias("q"), i.alias("i"))))
+    return pinned(scored, _r=order)
+
+
 def save_model(spark: SparkSession, model: TextModel, path: str) -> None:
     """Two small tables below ``path``: terms with their idf and coefficients, classes with their intercepts."""
     terms = [(i, t, w, model.coefficients[:, i].tolist()) for i, (t, w) in enumerate(zip(model.terms, model.idf))]
@@ -244,25 +269,114 @@ def accuracy(predicted: DataFrame) -> float:
     return predicted.agg(F.avg((F.col("category") == F.col("predicted_category")).cast("double"))).first()[0]
 
 
+@dataclass(frozen=True, eq=False)
+class TrainingRows:
+    """Labelled rows encoded once for the training part of the split and that of every fold.
+
+    ``stored`` has category, split, fold and ``counts``, the damped counts of ``terms``: the terms of any of these parts'
+    vocabularies. A part's features are its counts times its own idf, 0 for terms outside its vocabulary, so no fit or
+    test reads a text and none writes its features. ``sizes`` counts rows by category, split and fold.
+    """
+
+    stored: DataFrame
+    sizes: DataFrame
+    terms: tuple[str, ...]
+    vocabularies: dict
+    p: Params
+
+    def idf(self, part) -> list[float]:
+        known = {v["term"]: v["idf"] for v in self.vocabularies[part]}
+        return [known.get(term, 0.0) for term in self.terms]
+
+    def fit(self, part) -> TextModel:
+        """The part's model over all ``terms``; those outside its vocabulary have no weight."""
+        classes, idf = _part_classes(self.sizes, part), self.idf(part)
+        rows = self.stored.filter(_trains(part)).select(*_targets(classes), F.col("counts"))
+        scaled = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="counts", outputCol="scaled").transform(rows)
+        features = Normalizer(p=2.0, inputCol="scaled", outputCol="features").transform(scaled)
+        coefficients, intercepts = _optimum(features.select("label", "weight", "features"), classes, self.p)
+        return TextModel(self.terms, tuple(idf), tuple(c["category"] for c in classes), coefficients, intercepts)
+
+    def tested(self, part, model: TextModel) -> DataFrame:
+        """(category, predicted_category) of the rows that the part doesn't train on, by its ``fit``."""
+        counts = F.unwrap_udt("counts")
+        rows = pinned(self.stored.filter(~_trains(part)).select("category", "counts"), _v=counts).select(
+            "category", F.col("_v.indices").alias("position"), F.col("_v.values").alias("damped")
+        )
+        ranked = _ranked(weighted_rows(rows, list(model.idf)), model.coefficients, model.intercepts)
+        labels = F.array(*(F.lit(c) for c in model.labels))
+        return ranked.select("category", F.get(labels, F.get("_r", F.lit(0))["i"]).alias("predicted_category"))
+
+    def fold_scores(self) -> list[float]:
+        """Held-out accuracy of every fold.
+
+        Folds are submitted some at a time, so the cluster is not idle between the many short jobs of one fit.
+        """
+
+        def score(fold: int) -> float:
+            return accuracy(self.tested(fold, self.fit(fold)))
+
+        with ThreadPool(_AT_ONCE) as pool:
+            return pool.map(inheritable_thread_target(self.stored.sparkSession)(score), range(self.p.folds), 1)
+
+
+def _trains(part):
+    """Whether a row is trained on: in ``train`` of the split, or outside a fold."""
+    return F.col("split") == "train" if part == "train" else F.col("fold") != part
+
+
+def _part_classes(sizes: DataFrame, part) -> list:
+    return _classes(balanced_weights(sizes.filter(_trains(part)).groupBy("category").agg(F.sum("n").alias("n"))))
+
+
+def encode(df: DataFrame, row_id: str, p: Params = _P) -> TrainingRows:
+    """Usable labelled rows, split, dealt to folds and encoded.
+
+    Each text is taken apart once. From there on its words go along, in one copy, until the vocabularies are
+    known and they have become counts; every table but the counts is removed when nothing reads it any more.
+    """
+    texts = usable_labels(df).select(row_id, "category", clean_text(F.col("description")).alias("_text"))
+    cells = split_and_folds(texts, "category", row_id, p)
+    sizes = materialise(cells.groupBy("category", "split", "fold").agg(F.count("*").alias("n")), "training-sizes")
+    folds = {k: f"fold{k}" for k in range(p.folds)}
+    conditions = {"train": _trains("train")} | {name: F.col("fold") == k for k, name in folds.items()}
+    names = {"train": ["train"]} | {k: [n for j, n in folds.items() if j != k] for k in folds}
+    rows = {part: sum(c["n"] for c in _part_classes(sizes, part)) for part in names}
+    # A text without words is one empty word when split.
+    tokens = F.when(F.col("_text") != "", F.split("_text", " ")).otherwise(F.array().cast("array<string>"))
+    words = pinned(cells, _words=tokens).drop("_text")
+    found = set_vocabularies(words, conditions, {part: (names[part], rows[part]) for part in names}, p)
+    terms = sorted({v["term"] for vocab in found.values() for v in vocab})
+    known = only_words(words, sorted({word for term in terms for word in term.split(" ")})) if terms else words
+    encoded = damped_counts(known, terms, F.col("_words"), gaps=True).select(
+        "category", "split", "fold", _vector(terms, F.col("position"), F.col("damped")).alias("counts")
+    )
+    schema = T.StructType([
+        *encoded.select("category", "split", "fold").schema.fields, T.StructField("counts", VectorUDT())
+    ])
+    stored = materialise(encoded, "training-counts", "zstd", schema)
+    discard(cells)
+    return TrainingRows(stored, sizes, tuple(terms), found, p)
+
+
 def train(df: DataFrame, row_id: str, p: Params = _P, model_path: str | None = None) -> dict:
     """Split, fit, evaluate, cross-validate and optionally save.
 
     Returns the model, the held-out report and a one-row summary DataFrame.
     """
-    labelled = usable_labels(df).select(row_id, "description", "category")
-    split = materialise(stratified_split(labelled, "category", row_id, p), "split")
-    training, testing = (split.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
-    model = fit(training, p)
-    tested = materialise(
-        predict(testing, model).select("category", "predicted_category"), "tested"
-    )
-    scores = cross_validate(labelled, row_id, p)
+    rows = encode(df, row_id, p)
+    fitted = rows.fit("train")
+    tested = materialise(rows.tested("train", fitted), "tested")
+    scores = rows.fold_scores()
+    discard(rows.stored)
+    model = fitted.reduced([v["term"] for v in rows.vocabularies["train"]])
     if model_path:
         save_model(df.sparkSession, model, model_path)
-    sizes = split.agg(
-        F.count_if(F.col("split") == "train").alias("training_size"),
-        F.count_if(F.col("split") == "test").alias("test_size"),
-    )
+
+    def size(split: str):
+        return F.coalesce(F.sum(F.when(F.col("split") == split, F.col("n"))), F.lit(0).cast("bigint"))
+
+    sizes = rows.sizes.agg(size("train").alias("training_size"), size("test").alias("test_size"))
     summary = sizes.select(
         F.lit(round(accuracy(tested), 4)).alias("accuracy"),
         F.lit(round(float(np.mean(scores)), 4)).alias("cv_mean"),
@@ -278,23 +392,8 @@ def train(df: DataFrame, row_id: str, p: Params = _P, model_path: str | None = N
 
 
 def cross_validate(df: DataFrame, row_id: str, p: Params = _P) -> list[float]:
-    """Held-out accuracy of every fold; vocabulary and weights are refitted per fold.
-
-    Terms and classes are counted once, per fold: the counts of a training set are the total
-    less its fold's, so no fold scans the texts for its vocabulary. Folds are submitted
-    side by side, so the cluster is not idle between the many short jobs of one fit.
-    """
-    folded = materialise(stratified_folds(usable_labels(df), "category", row_id, p), "folds")
-    terms = materialise(ngram_counts(folded, by=("fold",)), "fold-terms")
-    sizes = materialise(folded.groupBy("category", "fold").agg(F.count("*").alias("n")), "fold-classes")
-
-    def score(k: int) -> float:
-        others = sizes.filter(F.col("fold") != k)
-        classes = _classes(balanced_weights(others.groupBy("category").agg(F.sum("n").alias("n"))))
-        rows = F.lit(sum(c["n"] for c in classes))
-        vocab = collect_vocabulary(top_terms(without_fold(terms, k), rows, p))
-        model = fit(folded.filter(F.col("fold") != k), p, vocab, classes)
-        return accuracy(predict(folded.filter(F.col("fold") == k), model))
-
-    with ThreadPool(p.folds) as pool:
-        return pool.map(inheritable_thread_target(df.sparkSession)(score), range(p.folds))
+    """Held-out accuracy of every fold; vocabulary and weights are refitted per fold."""
+    rows = encode(df, row_id, p)
+    scores = rows.fold_scores()
+    discard(rows.stored)
+    return scores

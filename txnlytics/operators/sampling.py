@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txnlytics.params import Params
-from txnlytics.session import materialise
+from txnlytics.session import discard, materialise
 
 _P = Params()
 _BUCKET_DIGITS = 3  # at least
@@ -20,14 +20,19 @@ def stratum_ranks(df: DataFrame, stratum: str, row_id: str, seed: int) -> DataFr
     window holds one bucket's groups or one group's rows, so neither a stratum nor an id
     with a large share of all rows lands in one task.
     """
+    return _ranked(df, stratum, row_id, seed)[0]
+
+
+def _ranked(df: DataFrame, stratum: str, row_id: str, seed: int, compression: str = "snappy") -> tuple[DataFrame, list[DataFrame]]:
+    """``stratum_ranks`` and the tables it is made of."""
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string")))
-    rows = materialise(df.withColumn("_hash", digest).withColumn("_part", F.spark_partition_id()), "stratum-rows")
-    groups = materialise(rows.groupBy(stratum, "_hash", "_part").agg(F.count("*").alias("_n")), "stratum-groups")
-    most = groups.groupBy(stratum).count().agg(F.max("count")).first()[0] or 0
+    rows = materialise(df.withColumn("_hash", digest).withColumn("_part", F.spark_partition_id()), "stratum-rows", compression)
+    counted = materialise(rows.groupBy(stratum, "_hash", "_part").agg(F.count("*").alias("_n")), "stratum-groups")
+    most = counted.groupBy(stratum).count().agg(F.max("count")).first()[0] or 0
     digits = _BUCKET_DIGITS
     while 16**digits * _BUCKET_GROUPS < most:
         digits += 1
-    groups = groups.withColumn("_bucket", F.substring("_hash", 1, digits))
+    groups = counted.withColumn("_bucket", F.substring("_hash", 1, digits))
     sizes = groups.groupBy(stratum, "_bucket").agg(F.sum("_n").alias("_rows"))
     whole = Window.partitionBy(stratum)
     earlier = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -47,26 +52,43 @@ def stratum_ranks(df: DataFrame, stratum: str, row_id: str, seed: int) -> DataFr
         "stratum-begins",
     )
     place = F.row_number().over(Window.partitionBy(stratum, "_hash", "_part").orderBy(row_id))
-    return (
+    ranked = (
         rows.withColumn("_place", place)
         .join(offsets, [stratum, "_hash", "_part"])
         .withColumn("rank", F.col("_before") + F.col("_place"))
         .drop("_hash", "_part", "_place", "_before")
     )
+    return ranked, [rows, counted, buckets, offsets]
+
+
+def _split(p: Params) -> Column:
+    train_rows = F.col("stratum_rows") - F.round(F.col("stratum_rows") * p.test_fraction)
+    return F.when(F.col("rank") <= train_rows, "train").otherwise("test")
+
+
+def _fold(p: Params) -> Column:
+    return F.pmod(F.col("rank") - 1, F.lit(p.folds)).cast("int")
 
 
 def stratified_split(df: DataFrame, stratum: str, row_id: str, p: Params = _P) -> DataFrame:
     """``split`` = train or test; each stratum gives round(fraction * n) rows to the test."""
     ranked = stratum_ranks(df, stratum, row_id, p.split_seed)
-    train_rows = F.col("stratum_rows") - F.round(F.col("stratum_rows") * p.test_fraction)
-    return ranked.withColumn("split", F.when(F.col("rank") <= train_rows, "train").otherwise("test")).drop(
-        "rank", "stratum_rows"
-    )
+    return ranked.withColumn("split", _split(p)).drop("rank", "stratum_rows")
 
 
 def stratified_folds(df: DataFrame, stratum: str, row_id: str, p: Params = _P) -> DataFrame:
     """``fold`` 0..k-1, fold sizes of a stratum differing by at most one."""
     ranked = stratum_ranks(df, stratum, row_id, p.split_seed)
-    return ranked.withColumn("fold", F.pmod(F.col("rank") - 1, F.lit(p.folds)).cast("int")).drop(
-        "rank", "stratum_rows"
-    )
+    return ranked.withColumn("fold", _fold(p)).drop("rank", "stratum_rows")
+
+
+def split_and_folds(df: DataFrame, stratum: str, row_id: str, p: Params = _P) -> DataFrame:
+    """``split`` and ``fold`` in place of the row id, from one ranking and written once.
+
+    What the ranking wrote is removed, so one copy of the rows is left.
+    """
+    ranked, made = _ranked(df, stratum, row_id, p.split_seed, "zstd")
+    placed = ranked.withColumn("split", _split(p)).withColumn("fold", _fold(p)).drop("rank", "stratum_rows", row_id)
+    stored = materialise(placed, "cells", "zstd")
+    discard(*made)
+    return stored
